@@ -7,7 +7,7 @@ table meets a dimension at most once and rows are never multiplied.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import cents, cents_to_money
@@ -48,7 +48,10 @@ def category_revenue_share(transactions: DataFrame, items: DataFrame,
         F.sum(cents(line_revenue())).alias("_cents"))
     per_category = (per_product.join(products.select("product_id", "category_id"), "product_id")
                                .groupBy("category_id").agg(F.sum("_cents").alias("_cents")))
-    total = per_category.agg(cents_to_money(F.sum("_cents"))).scalar()
+    # The grand total is a window over the per-category aggregate: one row per
+    # category (a catalog-sized frame), so the join chain runs once instead of
+    # again inside a scalar subquery.
+    total = cents_to_money(F.sum("_cents").over(Window.partitionBy()))
     revenue = cents_to_money("_cents")
     return per_category.select(
         "category_id",

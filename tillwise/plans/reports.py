@@ -102,8 +102,9 @@ def region_dashboard(stores: DataFrame, transactions: DataFrame, items: DataFram
     """Per store region: revenue (each transaction once), average item
     discount, top product (most lines, then lowest id) and lines sold.
 
-    Lines are reduced once to (region, product) before anything else; the
-    discount average and the top product are both derived from that."""
+    Item lines are reduced once to (region, product); one pass over that
+    small frame (left-joined to the product names) yields the discount
+    average, the top product and the line count together."""
     tx = transactions.join(stores.select("store_id", "region"), "store_id")
     revenue = tx.groupBy("region").agg(
         cents_to_money(F.sum(cents("total_amount"))).alias("total_revenue"))
@@ -113,15 +114,16 @@ def region_dashboard(stores: DataFrame, transactions: DataFrame, items: DataFram
         F.count("transaction_id").alias("product_sales"),
         F.sum(to_units("discount")).alias("_du"),
         F.count("discount").alias("_dn"))
-    discount = per_product.groupBy("region").agg(
-        F.try_divide(F.sum("_du").cast("double") / 100, F.sum("_dn"))
-         .alias("average_discount"))
-    named = per_product.join(products.select("product_id", "product_name"), "product_id")
-    top = named.groupBy("region").agg(
-        F.min(F.struct((-F.col("product_sales")).alias("k"), F.col("product_id").alias("id"),
-                       F.col("product_name").alias("name"))).alias("_top"),
-        F.sum("product_sales").alias("total_sales"))
-    return (revenue.join(discount, "region")
-                   .join(top.select("region", F.col("_top.name").alias("top_product"),
-                                    "total_sales"), "region")
+    names = products.select("product_id", "product_name", F.lit(True).alias("_known"))
+    named = per_product.join(names, "product_id", "left")
+    known = F.col("_known").isNotNull()
+    summary = named.groupBy("region").agg(
+        F.try_divide(F.sum("_du").cast("double") / 100, F.sum("_dn")).alias("average_discount"),
+        F.min(F.when(known, F.struct((-F.col("product_sales")).alias("k"),
+                                     F.col("product_id").alias("id"),
+                                     F.col("product_name").alias("name")))).alias("_top"),
+        F.sum(F.when(known, F.col("product_sales"))).alias("total_sales"))
+    return (revenue.join(summary.where(F.col("_top").isNotNull()), "region")
+                   .select("region", "total_revenue", "average_discount",
+                           F.col("_top.name").alias("top_product"), "total_sales")
                    .orderBy(F.desc("total_sales"), F.asc("region")))
