@@ -8,9 +8,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def repartition_by(df: DataFrame, *cols: str, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition rows by ``cols`` (every row kept) so that a later join
-    or aggregate on the same keys needs no further exchange."""
+def repartition_by(df: DataFrame, *cols: str, num_partitions: int | None = None,
+                   split_hot_keys: bool = True) -> DataFrame:
+    """Cluster rows by ``cols`` (every row kept).
+
+    With ``split_hot_keys`` (default) this is a REBALANCE by the columns:
+    rows are hash-clustered like ``repartition(cols)``, small partitions are
+    coalesced and a partition holding a hot key (say a third of all rows) is
+    split by AQE instead of landing in one task.  ``split_hot_keys=False``
+    gives the strict hash layout a later co-partitioned join can rely on."""
+    if split_hot_keys:
+        return df.hint("rebalance", *cols)
     if num_partitions:
         return df.repartition(num_partitions, *cols)
     return df.repartition(*cols)

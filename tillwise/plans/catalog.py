@@ -427,7 +427,7 @@ def _weekly_year(spark, sf_dir):
 @query("rep_discount_impact")
 def _discount_impact(spark, sf_dir):
     r = Retail(spark, sf_dir)
-    return reports.discount_impact(r.products, r.items)
+    return reports.discount_impact(r.products, r.items, r.raw("items"))
 
 
 @query("rep_promo_revenue")

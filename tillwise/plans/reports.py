@@ -24,15 +24,37 @@ def weekly_revenue(stores: DataFrame, transactions: DataFrame,
         cents_to_money(F.sum(cents("total_amount"))).alias("weekly_revenue"))
 
 
-def discount_impact(products: DataFrame, items: DataFrame) -> DataFrame:
+def max_priced_discount(products: DataFrame, raw_items: DataFrame) -> DataFrame:
+    """One-row frame: the highest discount among lines that carry a price
+    after imputation (i.e. whose product has at least one priced line) and
+    whose product exists.  Computed from one per-product aggregate of the
+    raw lines, so no line-level join is needed for this scalar."""
+    per_product = raw_items.groupBy("product_id").agg(
+        F.max("discount").alias("_max"), F.count("unit_price").alias("_priced"))
+    return (per_product.where(F.col("_priced") > 0)
+                       .join(products.select("product_id"), "product_id", "left_semi")
+                       .agg(F.max("_max").alias("max_discount")))
+
+
+def discount_impact(products: DataFrame, items: DataFrame,
+                    raw_items: DataFrame | None = None) -> DataFrame:
     """Gross and discounted revenue per product over the lines sold at the
-    highest discount; identical lines count once."""
-    priced = (items.where(F.col("unit_price").isNotNull())
-                   .join(products.select("product_id"), "product_id", "left_semi"))
-    top = priced.agg(F.max("discount")).scalar()
-    lines = (priced.where(F.col("discount") == top)
-                   .select("transaction_id", "product_id", "quantity", "unit_price", "discount")
-                   .distinct())
+    highest discount; identical lines count once.
+
+    ``raw_items`` (the lines before price imputation) lets the maximum be
+    found from a per-product aggregate; without it the cleaned lines are
+    scanned for it.  The max filter is applied before the product
+    semi-join, so only top-discount lines are shuffled."""
+    if raw_items is not None:
+        top = max_priced_discount(products, raw_items).scalar()
+    else:
+        top = (items.where(F.col("unit_price").isNotNull())
+                    .join(products.select("product_id"), "product_id", "left_semi")
+                    .agg(F.max("discount")).scalar())
+    lines = (items.where(F.col("unit_price").isNotNull() & (F.col("discount") == top))
+                  .join(products.select("product_id"), "product_id", "left_semi")
+                  .select("transaction_id", "product_id", "quantity", "unit_price", "discount")
+                  .distinct())
     gross = line_revenue()
     net = gross - (F.col("discount") / 100 * F.col("unit_price")) * F.col("quantity")
     return lines.groupBy("product_id").agg(
