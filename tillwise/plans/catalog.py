@@ -208,25 +208,28 @@ def _signup_year(spark, sf_dir):
 
 # ------------------------------------------------------------------ validation
 
+_RULES: dict[str, Callable[[Retail], DataFrame]] = {
+    "orphan_items": lambda r: validate.orphan_items(r.items, r.transactions),
+    "inventory_store": lambda r: validate.orphan_inventory(r.inventory, r.stores),
+    "negative_quantity": lambda r: validate.negative_values(r.inventory, "quantity"),
+    "promo_product": lambda r: validate.orphan_promotions(r.promotions, r.products),
+    "store_size": lambda r: validate.invalid_store_sizes(r.stores, "size"),
+}
+
+
 def _rules(r: Retail) -> dict[str, DataFrame]:
-    return {
-        "orphan_items": validate.orphan_items(r.items, r.transactions),
-        "inventory_store": validate.orphan_inventory(r.inventory, r.stores),
-        "negative_quantity": validate.negative_values(r.inventory, "quantity"),
-        "promo_product": validate.orphan_promotions(r.promotions, r.products),
-        "store_size": validate.invalid_store_sizes(r.stores, "size"),
-    }
+    return {name: rule(r) for name, rule in _RULES.items()}
 
 
 @query("validate_orphan_items")
 def _orphan_items(spark, sf_dir):
-    return _rules(Retail(spark, sf_dir))["orphan_items"].select(
+    return _RULES["orphan_items"](Retail(spark, sf_dir)).select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")
 
 
 @query("validate_inventory_store")
 def _inventory_store(spark, sf_dir):
-    return _rules(Retail(spark, sf_dir))["inventory_store"].select(
+    return _RULES["inventory_store"](Retail(spark, sf_dir)).select(
         "store_id", "product_id", "date", "quantity", "reorder_point")
 
 

@@ -10,14 +10,28 @@ aggregate) and the two tiny nation/region dimension joins.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import SCHEMAS
 
 
+# One DataFrame handle per (session, driver table).  The driver tables are
+# read-only, so the file listing and footer read are done once per session
+# instead of once per query (about 0.2 s each on the driver).  Landing-folder
+# snapshots, which change, are never cached.
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{os.path.abspath(sf_dir)}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _day(base: str, offset: Column) -> Column:
