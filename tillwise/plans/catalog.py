@@ -72,92 +72,92 @@ def _src_ingest_date(spark, sf_dir):
 
 @query("clean_dedup_transactions")
 def _dedup(spark, sf_dir):
-    raw = Retail(spark, sf_dir).raw("transactions")
+    raw = Retail.of(spark, sf_dir).raw("transactions")
     return clean.dedup_latest(raw, ["transaction_id", "store_id"],
                               ["transaction_date", "total_amount"])
 
 
 @query("filter_valid_amount")
 def _valid_amount(spark, sf_dir):
-    return Retail(spark, sf_dir).transactions
+    return Retail.of(spark, sf_dir).transactions
 
 
 @query("filter_recent_transactions")
 def _recent(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return clean.recent(r.transactions, "transaction_date", r.as_of, 36).select(
         "transaction_id", "customer_id", "transaction_date", "total_amount")
 
 
 @query("date_transaction_month")
 def _month(spark, sf_dir):
-    return Retail(spark, sf_dir).transactions.select(
+    return Retail.of(spark, sf_dir).transactions.select(
         "transaction_id", "transaction_date", "month")
 
 
 @query("filter_discounted_items")
 def _discounted(spark, sf_dir):
-    return clean.drop_null(Retail(spark, sf_dir).items, "discount")
+    return clean.drop_null(Retail.of(spark, sf_dir).items, "discount")
 
 
 @query("clean_discount_flag")
 def _discount_flag(spark, sf_dir):
-    raw = Retail(spark, sf_dir).raw("items")
+    raw = Retail.of(spark, sf_dir).raw("items")
     return raw.select("transaction_id", "product_id", "discount",
                       clean.discount_flag("discount").alias("high_discount_flag"))
 
 
 @query("clean_impute_price")
 def _impute_price(spark, sf_dir):
-    return Retail(spark, sf_dir).items.select(
+    return Retail.of(spark, sf_dir).items.select(
         "transaction_id", "product_id", "quantity", "unit_price")
 
 
 @query("proj_line_revenue")
 def _line_revenue(spark, sf_dir):
-    return Retail(spark, sf_dir).items.select(
+    return Retail.of(spark, sf_dir).items.select(
         "transaction_id", "product_id", "quantity", "unit_price",
         clean.line_revenue().alias("line_revenue"))
 
 
 @query("clean_price_band")
 def _price_band(spark, sf_dir):
-    return Retail(spark, sf_dir).products.select("product_id", "base_price", "price_range")
+    return Retail.of(spark, sf_dir).products.select("product_id", "base_price", "price_range")
 
 
 @query("filter_product_like")
 def _product_like(spark, sf_dir):
-    return clean.name_like(Retail(spark, sf_dir).products, "product_name", "%Eco%").select(
+    return clean.name_like(Retail.of(spark, sf_dir).products, "product_name", "%Eco%").select(
         "product_id", "product_name", "category_id", "base_price", "supplier_id")
 
 
 @query("clean_critical_stock")
 def _critical_stock(spark, sf_dir):
-    return Retail(spark, sf_dir).inventory.select(
+    return Retail.of(spark, sf_dir).inventory.select(
         "store_id", "product_id", "quantity_percent", "critical_quantity_gap_flag")
 
 
 @query("clean_inventory_gap")
 def _inventory_gap(spark, sf_dir):
-    return Retail(spark, sf_dir).inventory.select(
+    return Retail.of(spark, sf_dir).inventory.select(
         "store_id", "product_id", "quantity", "reorder_point", "quantity_gap",
         "quantity_percent")
 
 
 @query("clean_region")
 def _region(spark, sf_dir):
-    return Retail(spark, sf_dir).stores.select("store_id", "region", "new_region")
+    return Retail.of(spark, sf_dir).stores.select("store_id", "region", "new_region")
 
 
 @query("clean_fill_size")
 def _fill_size(spark, sf_dir):
-    return clean.fill_with_mode(Retail(spark, sf_dir).stores, "size").select(
+    return clean.fill_with_mode(Retail.of(spark, sf_dir).stores, "size").select(
         "store_id", "region", "size")
 
 
 @query("clean_fill_size_by_region")
 def _fill_size_region(spark, sf_dir):
-    return clean.fill_with_mode(Retail(spark, sf_dir).stores, "size", ["region"]).select(
+    return clean.fill_with_mode(Retail.of(spark, sf_dir).stores, "size", ["region"]).select(
         "store_id", "region", "size")
 
 
@@ -167,13 +167,13 @@ def _named_customers(r: Retail) -> DataFrame:
 
 @query("clean_demographics_unknown")
 def _demographics_unknown(spark, sf_dir):
-    return _named_customers(Retail(spark, sf_dir)).select(
+    return _named_customers(Retail.of(spark, sf_dir)).select(
         "customer_id", "segment", "name", "sex", "age")
 
 
 @query("clean_impute_reliability")
 def _impute_reliability(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return clean.impute_reliability(r.suppliers, r.products).select(
         "supplier_id", "country", "reliability_score", "imputed_reliability_score")
 
@@ -182,28 +182,28 @@ def _impute_reliability(spark, sf_dir):
 
 @query("str_split_demographics")
 def _split(spark, sf_dir):
-    return split_demographics(Retail(spark, sf_dir).customers).select(
+    return split_demographics(Retail.of(spark, sf_dir).customers).select(
         "customer_id", "name", "sex", "age")
 
 
 @query("str_trim_location")
 def _trim(spark, sf_dir):
-    return trim_column(Retail(spark, sf_dir).stores, "location").select("store_id", "location")
+    return trim_column(Retail.of(spark, sf_dir).stores, "location").select("store_id", "location")
 
 
 @query("str_upper_size")
 def _upper(spark, sf_dir):
-    return upper_column(Retail(spark, sf_dir).stores, "size").select("store_id", "size")
+    return upper_column(Retail.of(spark, sf_dir).stores, "size").select("store_id", "size")
 
 
 @query("str_full_location")
 def _full_location(spark, sf_dir):
-    return Retail(spark, sf_dir).stores.select("store_id", "full_location")
+    return Retail.of(spark, sf_dir).stores.select("store_id", "full_location")
 
 
 @query("date_signup_year")
 def _signup_year(spark, sf_dir):
-    return Retail(spark, sf_dir).customers.select("customer_id", "signup_date", "year")
+    return Retail.of(spark, sf_dir).customers.select("customer_id", "signup_date", "year")
 
 
 # ------------------------------------------------------------------ validation
@@ -223,46 +223,46 @@ def _rules(r: Retail) -> dict[str, DataFrame]:
 
 @query("validate_orphan_items")
 def _orphan_items(spark, sf_dir):
-    return _RULES["orphan_items"](Retail(spark, sf_dir)).select(
+    return _RULES["orphan_items"](Retail.of(spark, sf_dir)).select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")
 
 
 @query("validate_inventory_store")
 def _inventory_store(spark, sf_dir):
-    return _RULES["inventory_store"](Retail(spark, sf_dir)).select(
+    return _RULES["inventory_store"](Retail.of(spark, sf_dir)).select(
         "store_id", "product_id", "date", "quantity", "reorder_point")
 
 
 @query("validate_non_negative")
 def _non_negative(spark, sf_dir):
-    inv = validate.with_sign_status(Retail(spark, sf_dir).inventory, "quantity")
+    inv = validate.with_sign_status(Retail.of(spark, sf_dir).inventory, "quantity")
     return inv.where(F.col("quantity_status") == "invalid").select(
         "store_id", "product_id", "quantity", "quantity_status")
 
 
 @query("validate_promo_product")
 def _promo_product(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return validate.promo_validity(r.promotions, r.products).select(
         "promo_id", "product_id", "is_valid")
 
 
 @query("validate_store_size")
 def _store_size(spark, sf_dir):
-    return validate.valid_store_sizes(Retail(spark, sf_dir).stores, "size").select(
+    return validate.valid_store_sizes(Retail.of(spark, sf_dir).stores, "size").select(
         "store_id", "size", "new_region")
 
 
 @query("validate_summary")
 def _summary(spark, sf_dir):
-    return validate.validation_summary(_rules(Retail(spark, sf_dir)))
+    return validate.validation_summary(_rules(Retail.of(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ joins
 
 @query("join_three_way")
 def _three_way(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.chain_join(
         [r.transactions.select("transaction_id", "store_id", "customer_id", "transaction_date"),
          r.items.select("transaction_id", "product_id", "quantity", "unit_price"),
@@ -272,31 +272,31 @@ def _three_way(spark, sf_dir):
 
 @query("join_category_revenue_share")
 def _category_share(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.category_revenue_share(r.transactions, r.items, r.products)
 
 
 @query("join_promo_customers")
 def _promo_customers(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.promo_customers(r.transactions, r.items, r.promotions, _named_customers(r))
 
 
 @query("join_region_reliability")
 def _region_reliability(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.region_reliability(r.suppliers, r.products, r.stores)
 
 
 @query("join_region_best_supplier")
 def _region_best(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.region_best_supplier(r.suppliers, r.products, r.stores)
 
 
 @query("join_stockouts")
 def _stockouts(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.stockouts(r.inventory, validate.valid_store_sizes(r.stores)).select(
         "store_id", "product_id", "quantity", "reorder_point", "new_region", "size",
         "stock_out")
@@ -304,13 +304,13 @@ def _stockouts(spark, sf_dir):
 
 @query("join_segment_revenue")
 def _segment_revenue(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.segment_revenue(r.customers, r.transactions)
 
 
 @query("join_recent_customers")
 def _recent_customers(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     customers = stamp_ingest_date(r.raw("customers"), r.ingest_date)
     return joins.recent_customer_transactions(customers, r.transactions, r.as_of).select(
         "customer_id", "segment", "transaction_id", "year")
@@ -318,13 +318,13 @@ def _recent_customers(spark, sf_dir):
 
 @query("join_promo_interval")
 def _promo_interval(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.promo_interval_join(r.transactions, r.items, r.promotions)
 
 
 @query("join_broadcast_stores")
 def _broadcast_stores(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return joins.dimension_join(
         r.transactions.select("transaction_id", "store_id", "total_amount"),
         r.stores.select("store_id", "new_region", "size"), "store_id")
@@ -334,25 +334,25 @@ def _broadcast_stores(spark, sf_dir):
 
 @query("agg_median_lead_time")
 def _median(spark, sf_dir):
-    return aggregates.median_by(Retail(spark, sf_dir).suppliers, "country", "lead_time",
+    return aggregates.median_by(Retail.of(spark, sf_dir).suppliers, "country", "lead_time",
                                 "median_lead_time")
 
 
 @query("agg_mode_size")
 def _mode(spark, sf_dir):
-    return aggregates.mode_of(Retail(spark, sf_dir).stores, "size")
+    return aggregates.mode_of(Retail.of(spark, sf_dir).stores, "size")
 
 
 @query("agg_distinct_rows")
 def _distinct(spark, sf_dir):
-    return aggregates.distinct_rows(Retail(spark, sf_dir).raw("transactions"))
+    return aggregates.distinct_rows(Retail.of(spark, sf_dir).raw("transactions"))
 
 
 # ------------------------------------------------------------------ windows
 
 def _running(func: str, out: str):
     def build(spark, sf_dir):
-        tx = Retail(spark, sf_dir).transactions
+        tx = Retail.of(spark, sf_dir).transactions
         return windows.window_aggregate(tx, "store_id", "transaction_date", func,
                                         "total_amount", out).select(
             "transaction_id", "store_id", "transaction_date", out)
@@ -366,7 +366,7 @@ QUERIES["window_running_count"] = _running("count", "running_count")
 
 @query("window_rolling_7_rows")
 def _rolling_rows(spark, sf_dir):
-    tx = Retail(spark, sf_dir).transactions
+    tx = Retail.of(spark, sf_dir).transactions
     return windows.rolling_rows(tx, "store_id", ["transaction_date", "transaction_id"],
                                 "total_amount", 6, "avg", "rolling_avg_7_rows").select(
         "transaction_id", "store_id", "transaction_date", "rolling_avg_7_rows")
@@ -374,7 +374,7 @@ def _rolling_rows(spark, sf_dir):
 
 @query("window_rolling_7_days")
 def _rolling_days(spark, sf_dir):
-    tx = Retail(spark, sf_dir).transactions
+    tx = Retail.of(spark, sf_dir).transactions
     return windows.rolling_days(tx, "store_id", "transaction_date", "total_amount", 7,
                                 "avg", "rolling_avg_7_days").select(
         "transaction_id", "store_id", "transaction_date", "rolling_avg_7_days")
@@ -384,32 +384,32 @@ def _rolling_days(spark, sf_dir):
 
 @query("calc_retention")
 def _retention(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return calc.retention(r.customers, r.transactions)
 
 
 @query("calc_monthly_growth")
 def _growth(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return calc.monthly_growth(r.items, r.transactions, r.products)
 
 
 @query("calc_consistent_growth")
 def _consistent(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return calc.consistent_growth(calc.monthly_growth(r.items, r.transactions, r.products),
                                   GROWTH_START_MONTH)
 
 
 @query("calc_supplier_rank")
 def _rank(spark, sf_dir):
-    return calc.supplier_rank(Retail(spark, sf_dir).suppliers).select(
+    return calc.supplier_rank(Retail.of(spark, sf_dir).suppliers).select(
         "supplier_id", "country", "reliability_score", "reliability_rank")
 
 
 @query("calc_category_lead_time")
 def _lead_time(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return calc.category_lead_time(r.products, r.suppliers)
 
 
@@ -417,43 +417,43 @@ def _lead_time(spark, sf_dir):
 
 @query("rep_weekly_revenue")
 def _weekly(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.weekly_revenue(r.stores, r.transactions)
 
 
 @query("rep_weekly_revenue_by_year")
 def _weekly_year(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.weekly_revenue(r.stores, r.transactions, by_year=True)
 
 
 @query("rep_discount_impact")
 def _discount_impact(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.discount_impact(r.products, r.items, r.raw("items"))
 
 
 @query("rep_promo_revenue")
 def _promo_revenue(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.promo_revenue(r.transactions, r.items, r.promotions)
 
 
 @query("rep_promo_uplift")
 def _promo_uplift(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.promo_uplift(r.transactions, r.items, r.promotions)
 
 
 @query("rep_top_stores")
 def _top_stores(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.top_stores(r.stores, r.transactions, r.suppliers, r.products, 5)
 
 
 @query("rep_region_dashboard")
 def _dashboard(spark, sf_dir):
-    r = Retail(spark, sf_dir)
+    r = Retail.of(spark, sf_dir)
     return reports.region_dashboard(r.stores, r.transactions, r.items, r.products)
 
 
@@ -461,6 +461,6 @@ def _dashboard(spark, sf_dir):
 
 @query("layout_repartition_product")
 def _repartition(spark, sf_dir):
-    items = Retail(spark, sf_dir).items
+    items = Retail.of(spark, sf_dir).items
     return layout.repartition_by(items, "product_id").select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")

@@ -21,6 +21,21 @@ INGEST_DATE = "2001-08-01"
 
 
 class Retail:
+    """Raw and cleaned frames of one snapshot.  ``Retail.of`` returns one
+    shared instance per (session, folder, dates), so the cleaned plans are
+    built once and reused by every report (plans only; no data is cached)."""
+
+    _shared: dict[tuple, "Retail"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of=AS_OF,
+           ingest_date=INGEST_DATE) -> "Retail":
+        key = (id(spark), sf_dir, str(as_of), str(ingest_date))
+        r = cls._shared.get(key)
+        if r is None or r.spark is not spark:
+            r = cls._shared[key] = cls(spark, sf_dir, as_of, ingest_date)
+        return r
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF,
                  ingest_date=INGEST_DATE, raw: dict[str, DataFrame] | None = None):
         self.spark = spark

@@ -191,9 +191,19 @@ _BUILDERS = {
 }
 
 
+_DERIVED: dict[tuple, DataFrame] = {}
+
+
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw retail dataset derived lazily from the driver tables."""
-    return _BUILDERS[name](spark, sf_dir)
+    """One raw retail dataset derived lazily from the driver tables.
+
+    The plan is built once per (session, folder, dataset) and the handle is
+    reused: it is a pure function of read-only tables."""
+    key = (id(spark), os.path.abspath(sf_dir), name)
+    df = _DERIVED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _DERIVED[key] = _BUILDERS[name](spark, sf_dir)
+    return df
 
 
 def derive_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
