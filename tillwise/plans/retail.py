@@ -12,7 +12,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean
+from ..session import shared_path
 from ..sources import testdata
+from ..sources.scan import read_dataset
+from ..sources.schemas import DATASETS
 
 # Fixed arguments for the driver's data: the snapshot is dated on the last
 # order date, and "recent" is measured from the same day.
@@ -81,3 +84,34 @@ class Retail:
     @cached_property
     def suppliers(self) -> DataFrame:
         return clean.clean_suppliers(self.raw("suppliers"), self.ingest_date)
+
+    # ------------------------------------------------------------ other inputs
+
+    @classmethod
+    def from_landing(cls, spark: SparkSession, root: str, ingest_date=INGEST_DATE,
+                     as_of=AS_OF, fmt: str = "csv") -> "Retail":
+        """The eight dataset readers: each scans the snapshot delivered on
+        ``ingest_date`` under ``root`` (declared schema) and is then cleaned
+        by the same steps as any other input."""
+        raw = {name: read_dataset(spark, root, name, ingest_date, fmt) for name in DATASETS}
+        return cls(spark, root, as_of, ingest_date, raw=raw)
+
+    _CLEANED = ("transactions", "items", "stores", "customers", "products",
+                "inventory", "promotions", "suppliers")
+
+    def materialize(self, path: str | None = None) -> "Retail":
+        """Write every cleaned dataset once as Parquet and return a Retail
+        whose frames read those files.
+
+        This cuts the lineage: reports run on the written tables, and an
+        executor lost later costs a re-read, not a re-run of dedup and
+        imputation.  The files go to the shared folder named by
+        ``spark.checkpoint.dir`` unless ``path`` is given."""
+        base = path or shared_path(self.spark, "tillwise-cleaned",
+                                   f"{abs(hash((self.sf_dir, str(self.as_of), str(self.ingest_date))))}")
+        out = Retail(self.spark, self.sf_dir, self.as_of, self.ingest_date, raw=self._raw)
+        for name in self._CLEANED:
+            target = f"{base}/{name}"
+            getattr(self, name).write.mode("overwrite").parquet(target)
+            out.__dict__[name] = self.spark.read.parquet(target)
+        return out

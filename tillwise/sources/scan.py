@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from .schemas import FILE_NAMES, SCHEMAS
 
 
+# CSV values keep their surrounding spaces both ways (Spark's CSV writer trims
+# them by default); cleaning, not the file format, decides what to trim.
+_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _date_text(ingest_date) -> str:
     if isinstance(ingest_date, (dt.date, dt.datetime)):
         return ingest_date.strftime("%Y-%m-%d")
@@ -30,7 +35,8 @@ def read_dataset(spark: SparkSession, root: str, name: str, ingest_date,
     path = snapshot_path(root, name, ingest_date)
     reader = spark.read.schema(SCHEMAS[name])
     if fmt == "csv":
-        return reader.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+        return (reader.option("header", "true").option("mode", "PERMISSIVE")
+                      .options(**_KEEP_SPACES).csv(path))
     if fmt == "parquet":
         return reader.parquet(path)
     raise ValueError(f"unsupported snapshot format: {fmt!r}")
@@ -47,7 +53,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, ingest_date,
     path = snapshot_path(root, name, ingest_date)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", "true").csv(path)
+        writer.option("header", "true").options(**_KEEP_SPACES).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
