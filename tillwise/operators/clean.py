@@ -232,7 +232,8 @@ def clean_customers(raw: DataFrame, transactions: DataFrame, ingest_date,
                     as_of, months: int = 36) -> DataFrame:
     """Customers with at least one transaction in the last ``months`` months
     of ``as_of`` (one row per customer), with the signup year."""
-    active = recent(transactions, "transaction_date", as_of, months).select("customer_id")
+    # distinct ids: a customer with a huge share of transactions is one row
+    active = recent(transactions, "transaction_date", as_of, months).select("customer_id").distinct()
     return (stamp_ingest_date(raw, ingest_date)
             .join(active, "customer_id", "left_semi")
             .withColumn("year", F.year("signup_date")))

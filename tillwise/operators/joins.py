@@ -14,6 +14,15 @@ from ..functions.money import cents, cents_to_money
 from .clean import line_revenue, recent
 
 
+def key_set(df: DataFrame, *cols: str) -> DataFrame:
+    """Distinct key values for the right side of a semi/anti join.
+
+    AQE can split a skewed *left* side of a semi/anti join but not the right
+    one; reducing the right side to distinct keys (map-side combined) makes a
+    hot key one row.  Its hash partitioning is the one the join needs."""
+    return df.select(*cols).distinct()
+
+
 def chain_join(frames: list[DataFrame], keys: list[str], how: str = "inner") -> DataFrame:
     """frames[0] JOIN frames[1] USING keys[0] JOIN frames[2] USING keys[1] ..."""
     if len(keys) != len(frames) - 1:
@@ -63,17 +72,18 @@ def promo_customers(transactions: DataFrame, items: DataFrame, promotions: DataF
                     customers: DataFrame) -> DataFrame:
     """Customers (of the given population) who bought a product that has a
     promotion (any date): customer_id and name, one row per customer."""
-    promo_lines = items.join(promotions.select("product_id"), "product_id", "left_semi")
-    buyers = transactions.join(promo_lines.select("transaction_id"), "transaction_id",
-                               "left_semi").select("customer_id")
-    return customers.join(buyers, "customer_id", "left_semi").select("customer_id", "name")
+    promo_lines = items.join(key_set(promotions, "product_id"), "product_id", "left_semi")
+    buyers = transactions.join(key_set(promo_lines, "transaction_id"), "transaction_id",
+                               "left_semi")
+    return (customers.join(key_set(buyers, "customer_id"), "customer_id", "left_semi")
+                     .select("customer_id", "name"))
 
 
 def region_reliability(suppliers: DataFrame, products: DataFrame,
                        stores: DataFrame) -> DataFrame:
     """Highest reliability score per (region, supplier) for suppliers that
     supply at least one product, via the store they serve."""
-    active = suppliers.join(products.select("supplier_id"), "supplier_id", "left_semi")
+    active = suppliers.join(key_set(products, "supplier_id"), "supplier_id", "left_semi")
     return (active.join(stores.select("store_id", "new_region"), "store_id")
                   .groupBy("new_region", "supplier_id")
                   .agg(F.max("reliability_score").alias("max_reliability_score")))

@@ -23,7 +23,7 @@ class DataQualityError(ValueError):
 def orphans(df: DataFrame, ref: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` has no match in ``ref`` (null keys included)."""
     ref_key = ref_key or key
-    keys = ref.select(F.col(ref_key).alias("_ref_key"))
+    keys = ref.select(F.col(ref_key).alias("_ref_key")).distinct()
     return df.join(keys, df[key] == keys["_ref_key"], "left_anti")
 
 
