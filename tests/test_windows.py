@@ -55,10 +55,11 @@ def test_rolling_days_matches_range_window(sales):
     assert rows(got, "transaction_id", "v") == rows(want, "transaction_id", "v")
 
 
-@pytest.mark.parametrize("func", ["avg", "sum", "count"])
+@pytest.mark.parametrize("func", ["avg", "sum", "count", "Average"])
 def test_window_aggregate_matches_default_frame(sales, func):
     got = windows.window_aggregate(sales, "store_id", "transaction_date", func,
                                    "total_amount", "v")
+    func = "avg" if func == "Average" else func
     w = Window.partitionBy("store_id").orderBy("transaction_date")
     units = F.sum(to_units("total_amount")).over(w).cast("double") / 100
     expr = {"avg": _exact_avg(w), "sum": units, "count": F.count("total_amount").over(w)}[func]

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.money import to_units
 
 _FUNCS = ("avg", "sum", "count")
+# Accepted spellings of the aggregate names.
+_ALIASES = {"average": "avg", "mean": "avg", "avg": "avg", "sum": "sum", "count": "count"}
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
@@ -50,9 +52,10 @@ def window_aggregate(df: DataFrame, partition: list[str] | str, order: str, func
     default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with an
     equal order value are peers).  ``func`` is avg, sum or count; sums are
     exact at ``scale`` decimals."""
-    func = func.lower()
+    func = _ALIASES.get(func.lower(), func.lower())
     if func not in _FUNCS:
-        raise ValueError(f"unknown window aggregate {func!r}; expected one of {_FUNCS}")
+        raise ValueError(f"unknown window aggregate {func!r}; expected one of "
+                         f"{sorted(_ALIASES)}")
     partition = [partition] if isinstance(partition, str) else list(partition)
     grain = partition + [order]
     per_value = df.groupBy(*grain).agg(F.sum(to_units(col, scale)).alias("_u"),
