@@ -7,6 +7,7 @@ snapshot can wrap the frames they reuse in ``operators.layout.persisted``.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,8 +108,8 @@ class Retail:
         executor lost later costs a re-read, not a re-run of dedup and
         imputation.  The files go to the shared folder named by
         ``spark.checkpoint.dir`` unless ``path`` is given."""
-        base = path or shared_path(self.spark, "tillwise-cleaned",
-                                   f"{abs(hash((self.sf_dir, str(self.as_of), str(self.ingest_date))))}")
+        tag = hashlib.sha1(f"{self.sf_dir}|{self.as_of}|{self.ingest_date}".encode()).hexdigest()
+        base = path or shared_path(self.spark, "tillwise-cleaned", tag[:16])
         out = Retail(self.spark, self.sf_dir, self.as_of, self.ingest_date, raw=self._raw)
         for name in self._CLEANED:
             target = f"{base}/{name}"
