@@ -24,6 +24,10 @@ from . import calc, reports
 from .retail import AS_OF, INGEST_DATE, Retail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# The same queries as functions of a snapshot (any Retail: driver tables,
+# a landing folder, a materialized snapshot).  ``src_*`` keys land files
+# themselves and exist only in QUERIES.
+REPORTS: dict[str, Callable[[Retail], DataFrame]] = {}
 
 
 def query(key: str):
@@ -33,14 +37,26 @@ def query(key: str):
     return register
 
 
+def report(key: str):
+    def register(fn):
+        REPORTS[key] = fn
+        QUERIES[key] = lambda spark, sf_dir: fn(Retail.of(spark, sf_dir))
+        return fn
+    return register
+
+
 def _months_before(as_of: str, months: int) -> str:
     d = dt.date.fromisoformat(as_of)
     y, m = divmod(d.year * 12 + d.month - 1 - months, 12)
     return f"{y:04d}-{m + 1:02d}"
 
 
-# "Last six months" for the consistent-growth report.
-GROWTH_START_MONTH = _months_before(AS_OF, 6)
+def growth_start_month(as_of) -> str:
+    """"Last six months" for the consistent-growth report."""
+    return _months_before(str(as_of), 6)
+
+
+GROWTH_START_MONTH = growth_start_month(AS_OF)
 
 
 def _landing_root(spark: SparkSession, sf_dir: str) -> str:
@@ -70,94 +86,93 @@ def _src_ingest_date(spark, sf_dir):
 
 # ------------------------------------------------------------------ cleaning
 
-@query("clean_dedup_transactions")
-def _dedup(spark, sf_dir):
-    raw = Retail.of(spark, sf_dir).raw("transactions")
+@report("clean_dedup_transactions")
+def _dedup(r):
+    raw = r.raw("transactions")
     return clean.dedup_latest(raw, ["transaction_id", "store_id"],
                               ["transaction_date", "total_amount"])
 
 
-@query("filter_valid_amount")
-def _valid_amount(spark, sf_dir):
-    return Retail.of(spark, sf_dir).transactions
+@report("filter_valid_amount")
+def _valid_amount(r):
+    return r.transactions
 
 
-@query("filter_recent_transactions")
-def _recent(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("filter_recent_transactions")
+def _recent(r):
     return clean.recent(r.transactions, "transaction_date", r.as_of, 36).select(
         "transaction_id", "customer_id", "transaction_date", "total_amount")
 
 
-@query("date_transaction_month")
-def _month(spark, sf_dir):
-    return Retail.of(spark, sf_dir).transactions.select(
+@report("date_transaction_month")
+def _month(r):
+    return r.transactions.select(
         "transaction_id", "transaction_date", "month")
 
 
-@query("filter_discounted_items")
-def _discounted(spark, sf_dir):
-    return clean.drop_null(Retail.of(spark, sf_dir).items, "discount")
+@report("filter_discounted_items")
+def _discounted(r):
+    return clean.drop_null(r.items, "discount")
 
 
-@query("clean_discount_flag")
-def _discount_flag(spark, sf_dir):
-    raw = Retail.of(spark, sf_dir).raw("items")
+@report("clean_discount_flag")
+def _discount_flag(r):
+    raw = r.raw("items")
     return raw.select("transaction_id", "product_id", "discount",
                       clean.discount_flag("discount").alias("high_discount_flag"))
 
 
-@query("clean_impute_price")
-def _impute_price(spark, sf_dir):
-    return Retail.of(spark, sf_dir).items.select(
+@report("clean_impute_price")
+def _impute_price(r):
+    return r.items.select(
         "transaction_id", "product_id", "quantity", "unit_price")
 
 
-@query("proj_line_revenue")
-def _line_revenue(spark, sf_dir):
-    return Retail.of(spark, sf_dir).items.select(
+@report("proj_line_revenue")
+def _line_revenue(r):
+    return r.items.select(
         "transaction_id", "product_id", "quantity", "unit_price",
         clean.line_revenue().alias("line_revenue"))
 
 
-@query("clean_price_band")
-def _price_band(spark, sf_dir):
-    return Retail.of(spark, sf_dir).products.select("product_id", "base_price", "price_range")
+@report("clean_price_band")
+def _price_band(r):
+    return r.products.select("product_id", "base_price", "price_range")
 
 
-@query("filter_product_like")
-def _product_like(spark, sf_dir):
-    return clean.name_like(Retail.of(spark, sf_dir).products, "product_name", "%Eco%").select(
+@report("filter_product_like")
+def _product_like(r):
+    return clean.name_like(r.products, "product_name", "%Eco%").select(
         "product_id", "product_name", "category_id", "base_price", "supplier_id")
 
 
-@query("clean_critical_stock")
-def _critical_stock(spark, sf_dir):
-    return Retail.of(spark, sf_dir).inventory.select(
+@report("clean_critical_stock")
+def _critical_stock(r):
+    return r.inventory.select(
         "store_id", "product_id", "quantity_percent", "critical_quantity_gap_flag")
 
 
-@query("clean_inventory_gap")
-def _inventory_gap(spark, sf_dir):
-    return Retail.of(spark, sf_dir).inventory.select(
+@report("clean_inventory_gap")
+def _inventory_gap(r):
+    return r.inventory.select(
         "store_id", "product_id", "quantity", "reorder_point", "quantity_gap",
         "quantity_percent")
 
 
-@query("clean_region")
-def _region(spark, sf_dir):
-    return Retail.of(spark, sf_dir).stores.select("store_id", "region", "new_region")
+@report("clean_region")
+def _region(r):
+    return r.stores.select("store_id", "region", "new_region")
 
 
-@query("clean_fill_size")
-def _fill_size(spark, sf_dir):
-    return clean.fill_with_mode(Retail.of(spark, sf_dir).stores, "size").select(
+@report("clean_fill_size")
+def _fill_size(r):
+    return clean.fill_with_mode(r.stores, "size").select(
         "store_id", "region", "size")
 
 
-@query("clean_fill_size_by_region")
-def _fill_size_region(spark, sf_dir):
-    return clean.fill_with_mode(Retail.of(spark, sf_dir).stores, "size", ["region"]).select(
+@report("clean_fill_size_by_region")
+def _fill_size_region(r):
+    return clean.fill_with_mode(r.stores, "size", ["region"]).select(
         "store_id", "region", "size")
 
 
@@ -165,45 +180,44 @@ def _named_customers(r: Retail) -> DataFrame:
     return split_demographics(clean.fill_unknown(r.customers, "demographics"))
 
 
-@query("clean_demographics_unknown")
-def _demographics_unknown(spark, sf_dir):
-    return _named_customers(Retail.of(spark, sf_dir)).select(
+@report("clean_demographics_unknown")
+def _demographics_unknown(r):
+    return _named_customers(r).select(
         "customer_id", "segment", "name", "sex", "age")
 
 
-@query("clean_impute_reliability")
-def _impute_reliability(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("clean_impute_reliability")
+def _impute_reliability(r):
     return clean.impute_reliability(r.suppliers, r.products).select(
         "supplier_id", "country", "reliability_score", "imputed_reliability_score")
 
 
 # ------------------------------------------------------------------ text / dates
 
-@query("str_split_demographics")
-def _split(spark, sf_dir):
-    return split_demographics(Retail.of(spark, sf_dir).customers).select(
+@report("str_split_demographics")
+def _split(r):
+    return split_demographics(r.customers).select(
         "customer_id", "name", "sex", "age")
 
 
-@query("str_trim_location")
-def _trim(spark, sf_dir):
-    return trim_column(Retail.of(spark, sf_dir).stores, "location").select("store_id", "location")
+@report("str_trim_location")
+def _trim(r):
+    return trim_column(r.stores, "location").select("store_id", "location")
 
 
-@query("str_upper_size")
-def _upper(spark, sf_dir):
-    return upper_column(Retail.of(spark, sf_dir).stores, "size").select("store_id", "size")
+@report("str_upper_size")
+def _upper(r):
+    return upper_column(r.stores, "size").select("store_id", "size")
 
 
-@query("str_full_location")
-def _full_location(spark, sf_dir):
-    return Retail.of(spark, sf_dir).stores.select("store_id", "full_location")
+@report("str_full_location")
+def _full_location(r):
+    return r.stores.select("store_id", "full_location")
 
 
-@query("date_signup_year")
-def _signup_year(spark, sf_dir):
-    return Retail.of(spark, sf_dir).customers.select("customer_id", "signup_date", "year")
+@report("date_signup_year")
+def _signup_year(r):
+    return r.customers.select("customer_id", "signup_date", "year")
 
 
 # ------------------------------------------------------------------ validation
@@ -221,48 +235,46 @@ def _rules(r: Retail) -> dict[str, DataFrame]:
     return {name: rule(r) for name, rule in _RULES.items()}
 
 
-@query("validate_orphan_items")
-def _orphan_items(spark, sf_dir):
-    return _RULES["orphan_items"](Retail.of(spark, sf_dir)).select(
+@report("validate_orphan_items")
+def _orphan_items(r):
+    return _RULES["orphan_items"](r).select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")
 
 
-@query("validate_inventory_store")
-def _inventory_store(spark, sf_dir):
-    return _RULES["inventory_store"](Retail.of(spark, sf_dir)).select(
+@report("validate_inventory_store")
+def _inventory_store(r):
+    return _RULES["inventory_store"](r).select(
         "store_id", "product_id", "date", "quantity", "reorder_point")
 
 
-@query("validate_non_negative")
-def _non_negative(spark, sf_dir):
-    inv = validate.with_sign_status(Retail.of(spark, sf_dir).inventory, "quantity")
+@report("validate_non_negative")
+def _non_negative(r):
+    inv = validate.with_sign_status(r.inventory, "quantity")
     return inv.where(F.col("quantity_status") == "invalid").select(
         "store_id", "product_id", "quantity", "quantity_status")
 
 
-@query("validate_promo_product")
-def _promo_product(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("validate_promo_product")
+def _promo_product(r):
     return validate.promo_validity(r.promotions, r.products).select(
         "promo_id", "product_id", "is_valid")
 
 
-@query("validate_store_size")
-def _store_size(spark, sf_dir):
-    return validate.valid_store_sizes(Retail.of(spark, sf_dir).stores, "size").select(
+@report("validate_store_size")
+def _store_size(r):
+    return validate.valid_store_sizes(r.stores, "size").select(
         "store_id", "size", "new_region")
 
 
-@query("validate_summary")
-def _summary(spark, sf_dir):
-    return validate.validation_summary(_rules(Retail.of(spark, sf_dir)))
+@report("validate_summary")
+def _summary(r):
+    return validate.validation_summary(_rules(r))
 
 
 # ------------------------------------------------------------------ joins
 
-@query("join_three_way")
-def _three_way(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_three_way")
+def _three_way(r):
     return joins.chain_join(
         [r.transactions.select("transaction_id", "store_id", "customer_id", "transaction_date"),
          r.items.select("transaction_id", "product_id", "quantity", "unit_price"),
@@ -270,61 +282,52 @@ def _three_way(spark, sf_dir):
         ["transaction_id", "product_id"], "inner")
 
 
-@query("join_category_revenue_share")
-def _category_share(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_category_revenue_share")
+def _category_share(r):
     return joins.category_revenue_share(r.transactions, r.items, r.products)
 
 
-@query("join_promo_customers")
-def _promo_customers(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_promo_customers")
+def _promo_customers(r):
     return joins.promo_customers(r.transactions, r.items, r.promotions, _named_customers(r))
 
 
-@query("join_region_reliability")
-def _region_reliability(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_region_reliability")
+def _region_reliability(r):
     return joins.region_reliability(r.suppliers, r.products, r.stores)
 
 
-@query("join_region_best_supplier")
-def _region_best(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_region_best_supplier")
+def _region_best(r):
     return joins.region_best_supplier(r.suppliers, r.products, r.stores)
 
 
-@query("join_stockouts")
-def _stockouts(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_stockouts")
+def _stockouts(r):
     return joins.stockouts(r.inventory, validate.valid_store_sizes(r.stores)).select(
         "store_id", "product_id", "quantity", "reorder_point", "new_region", "size",
         "stock_out")
 
 
-@query("join_segment_revenue")
-def _segment_revenue(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_segment_revenue")
+def _segment_revenue(r):
     return joins.segment_revenue(r.customers, r.transactions)
 
 
-@query("join_recent_customers")
-def _recent_customers(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_recent_customers")
+def _recent_customers(r):
     customers = stamp_ingest_date(r.raw("customers"), r.ingest_date)
     return joins.recent_customer_transactions(customers, r.transactions, r.as_of).select(
         "customer_id", "segment", "transaction_id", "year")
 
 
-@query("join_promo_interval")
-def _promo_interval(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_promo_interval")
+def _promo_interval(r):
     return joins.promo_interval_join(r.transactions, r.items, r.promotions)
 
 
-@query("join_broadcast_stores")
-def _broadcast_stores(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("join_broadcast_stores")
+def _broadcast_stores(r):
     return joins.dimension_join(
         r.transactions.select("transaction_id", "store_id", "total_amount"),
         r.stores.select("store_id", "new_region", "size"), "store_id")
@@ -332,49 +335,49 @@ def _broadcast_stores(spark, sf_dir):
 
 # ------------------------------------------------------------------ aggregates
 
-@query("agg_median_lead_time")
-def _median(spark, sf_dir):
-    return aggregates.median_by(Retail.of(spark, sf_dir).suppliers, "country", "lead_time",
+@report("agg_median_lead_time")
+def _median(r):
+    return aggregates.median_by(r.suppliers, "country", "lead_time",
                                 "median_lead_time")
 
 
-@query("agg_mode_size")
-def _mode(spark, sf_dir):
-    return aggregates.mode_of(Retail.of(spark, sf_dir).stores, "size")
+@report("agg_mode_size")
+def _mode(r):
+    return aggregates.mode_of(r.stores, "size")
 
 
-@query("agg_distinct_rows")
-def _distinct(spark, sf_dir):
-    return aggregates.distinct_rows(Retail.of(spark, sf_dir).raw("transactions"))
+@report("agg_distinct_rows")
+def _distinct(r):
+    return aggregates.distinct_rows(r.raw("transactions"))
 
 
 # ------------------------------------------------------------------ windows
 
 def _running(func: str, out: str):
-    def build(spark, sf_dir):
-        tx = Retail.of(spark, sf_dir).transactions
+    def build(r):
+        tx = r.transactions
         return windows.window_aggregate(tx, "store_id", "transaction_date", func,
                                         "total_amount", out).select(
             "transaction_id", "store_id", "transaction_date", out)
     return build
 
 
-QUERIES["window_running_avg"] = _running("avg", "running_avg")
-QUERIES["window_running_sum"] = _running("sum", "running_sum")
-QUERIES["window_running_count"] = _running("count", "running_count")
+report("window_running_avg")(_running("avg", "running_avg"))
+report("window_running_sum")(_running("sum", "running_sum"))
+report("window_running_count")(_running("count", "running_count"))
 
 
-@query("window_rolling_7_rows")
-def _rolling_rows(spark, sf_dir):
-    tx = Retail.of(spark, sf_dir).transactions
+@report("window_rolling_7_rows")
+def _rolling_rows(r):
+    tx = r.transactions
     return windows.rolling_rows(tx, "store_id", ["transaction_date", "transaction_id"],
                                 "total_amount", 6, "avg", "rolling_avg_7_rows").select(
         "transaction_id", "store_id", "transaction_date", "rolling_avg_7_rows")
 
 
-@query("window_rolling_7_days")
-def _rolling_days(spark, sf_dir):
-    tx = Retail.of(spark, sf_dir).transactions
+@report("window_rolling_7_days")
+def _rolling_days(r):
+    tx = r.transactions
     return windows.rolling_days(tx, "store_id", "transaction_date", "total_amount", 7,
                                 "avg", "rolling_avg_7_days").select(
         "transaction_id", "store_id", "transaction_date", "rolling_avg_7_days")
@@ -382,85 +385,74 @@ def _rolling_days(spark, sf_dir):
 
 # ------------------------------------------------------------------ calculations
 
-@query("calc_retention")
-def _retention(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("calc_retention")
+def _retention(r):
     return calc.retention(r.customers, r.transactions)
 
 
-@query("calc_monthly_growth")
-def _growth(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("calc_monthly_growth")
+def _growth(r):
     return calc.monthly_growth(r.items, r.transactions, r.products)
 
 
-@query("calc_consistent_growth")
-def _consistent(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("calc_consistent_growth")
+def _consistent(r):
     return calc.consistent_growth(calc.monthly_growth(r.items, r.transactions, r.products),
-                                  GROWTH_START_MONTH)
+                                  growth_start_month(r.as_of))
 
 
-@query("calc_supplier_rank")
-def _rank(spark, sf_dir):
-    return calc.supplier_rank(Retail.of(spark, sf_dir).suppliers).select(
+@report("calc_supplier_rank")
+def _rank(r):
+    return calc.supplier_rank(r.suppliers).select(
         "supplier_id", "country", "reliability_score", "reliability_rank")
 
 
-@query("calc_category_lead_time")
-def _lead_time(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("calc_category_lead_time")
+def _lead_time(r):
     return calc.category_lead_time(r.products, r.suppliers)
 
 
 # ------------------------------------------------------------------ reports
 
-@query("rep_weekly_revenue")
-def _weekly(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_weekly_revenue")
+def _weekly(r):
     return reports.weekly_revenue(r.stores, r.transactions)
 
 
-@query("rep_weekly_revenue_by_year")
-def _weekly_year(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_weekly_revenue_by_year")
+def _weekly_year(r):
     return reports.weekly_revenue(r.stores, r.transactions, by_year=True)
 
 
-@query("rep_discount_impact")
-def _discount_impact(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_discount_impact")
+def _discount_impact(r):
     return reports.discount_impact(r.products, r.items, r.raw("items"))
 
 
-@query("rep_promo_revenue")
-def _promo_revenue(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_promo_revenue")
+def _promo_revenue(r):
     return reports.promo_revenue(r.transactions, r.items, r.promotions)
 
 
-@query("rep_promo_uplift")
-def _promo_uplift(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_promo_uplift")
+def _promo_uplift(r):
     return reports.promo_uplift(r.transactions, r.items, r.promotions)
 
 
-@query("rep_top_stores")
-def _top_stores(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_top_stores")
+def _top_stores(r):
     return reports.top_stores(r.stores, r.transactions, r.suppliers, r.products, 5)
 
 
-@query("rep_region_dashboard")
-def _dashboard(spark, sf_dir):
-    r = Retail.of(spark, sf_dir)
+@report("rep_region_dashboard")
+def _dashboard(r):
     return reports.region_dashboard(r.stores, r.transactions, r.items, r.products)
 
 
 # ------------------------------------------------------------------ layout
 
-@query("layout_repartition_product")
-def _repartition(spark, sf_dir):
-    items = Retail.of(spark, sf_dir).items
+@report("layout_repartition_product")
+def _repartition(r):
+    items = r.items
     return layout.repartition_by(items, "product_id").select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")
