@@ -44,7 +44,9 @@ def run_once(spark, key: str) -> float:
 def main() -> None:
     spark = build_session(
         f"local[{CPUS}]", app="tillwise-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", CPUS)),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+               **({"spark.sql.autoBroadcastJoinThreshold": os.environ["BENCH_STATIC_BCAST"]}
+                  if os.environ.get("BENCH_STATIC_BCAST") else {})})
     keys = ONLY or list(QUERIES)
     for k in keys:  # warm-up: JIT, file listing caches, class loading
         run_once(spark, k)

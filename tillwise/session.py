@@ -11,7 +11,13 @@ from pyspark.sql import SparkSession
 #  - AQE re-plans joins from runtime sizes, coalesces small shuffle
 #    partitions and splits skewed ones (hot store / product keys).
 #  - session time zone fixed so date arithmetic is repeatable.
+#  - no broadcast from static estimates (file-size guesses, compressed bytes,
+#    can be far below the in-memory size); a join becomes a broadcast either
+#    by an explicit hint on a dimension with a proven bound, or by AQE after
+#    the side's stage has run and its real size is measured.
 _DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
