@@ -81,3 +81,13 @@ def test_invariants_at_small_scale(spark):
     imputed = QUERIES["clean_impute_price"](spark, SF_SMALL)
     with_value = r.raw("items").where(F.col("unit_price").isNotNull()).select("product_id").distinct()
     assert imputed.where(F.col("unit_price").isNull()).join(with_value, "product_id").count() == 0
+
+
+def test_scale_conf_sizes_shuffles_from_input(spark, scratch):
+    from tillwise.session import input_bytes, scale_conf
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(10 << 40)["spark.sql.shuffle.partitions"] == "20480"
+    write_snapshot(testdata.derive(spark, SF_SMALL, "stores"), scratch, "stores",
+                   "2001-08-01", "parquet")
+    assert input_bytes(spark, scratch) > 0

@@ -17,6 +17,8 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ..operators import validate
+from ..session import apply_scale_conf
+from ..sources.scan import snapshot_dir
 from .catalog import _RULES, REPORTS, _rules
 from .retail import AS_OF, Retail
 
@@ -58,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--strict", action="store_true", help="stop on gated rule violations")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tillwise-daily").getOrCreate()
+    # shuffle partitions sized from the snapshot's bytes (AQE coalesces down)
+    apply_scale_conf(spark, snapshot_dir(args.root, args.date))
     retail = Retail.from_landing(spark, args.root, args.date, args.as_of, args.input_format)
     keys = [k for k in args.reports.split(",") if k] or None
     for key, path in run_reports(retail, args.out, keys, args.strict,

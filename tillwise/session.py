@@ -69,3 +69,37 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/")] + [p.strip("/") for p in parts])
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 512 << 20,
+               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    AQE can coalesce shuffle partitions and split skewed ones, but it never
+    starts with more partitions than the initial count; 200 partitions over
+    100 TB would mean half-terabyte reducers.  Start from about one partition
+    per ``target_partition_bytes`` of input (clamped) and let AQE coalesce
+    toward the advisory size."""
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` from the file system's metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def apply_scale_conf(spark: SparkSession, path: str) -> dict[str, str]:
+    """Size the session's shuffles from the bytes of the input at ``path``."""
+    conf = scale_conf(input_bytes(spark, path))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -21,6 +21,10 @@ def _date_text(ingest_date) -> str:
     return dt.date.fromisoformat(str(ingest_date)).isoformat()
 
 
+def snapshot_dir(root: str, ingest_date) -> str:
+    return f"{root.rstrip('/')}/{_date_text(ingest_date)}"
+
+
 def snapshot_path(root: str, name: str, ingest_date) -> str:
     return f"{root.rstrip('/')}/{_date_text(ingest_date)}/{FILE_NAMES[name]}"
 
