@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as given.  Only
-    when the session has none (local tests) is a private folder created.
+    when the session has none and runs in local mode (tests) is a private
+    folder created; a cluster session without one is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to the other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         configured = tempfile.mkdtemp(prefix="tillwise-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
