@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from tillwise.functions.text import split_demographics

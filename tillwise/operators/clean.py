@@ -171,8 +171,7 @@ def fill_unknown(df: DataFrame, col: str, label: str = "unknown") -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(label)))
 
 
-def supplier_reliability(suppliers: DataFrame, products: DataFrame,
-                         scale: int = 12) -> DataFrame:
+def supplier_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame:
     """Per supplier with a score and at least one product:
     ``weighted_avg_reliability_score`` = avg score / distinct products.
 
