@@ -33,14 +33,21 @@ def chain_join(frames: list[DataFrame], keys: list[str], how: str = "inner") ->
     return out
 
 
+def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """``dim`` with a broadcast hint when it has at most ``max_rows`` rows.
+
+    The check is one job that reads at most ``max_rows + 1`` rows, so it is
+    cheap whatever the size; a larger frame is returned unhinted and its
+    joins are planned from measured sizes by AQE."""
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if small else dim
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, key, how: str = "inner",
                    max_rows: int = 1_000_000) -> DataFrame:
     """Join a fact table to a dimension, broadcasting the dimension only after
-    checking it has at most ``max_rows`` rows (the check reads at most
-    ``max_rows + 1`` rows).  A larger dimension takes the shuffle join that
-    the optimizer / AQE pick."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, key, how)
+    checking its row count (see ``broadcast_if_small``)."""
+    return fact.join(broadcast_if_small(dim, max_rows), key, how)
 
 
 def items_of_valid_transactions(items: DataFrame, transactions: DataFrame) -> DataFrame:

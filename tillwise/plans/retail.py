@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean
+from ..operators.joins import broadcast_if_small
 from ..session import shared_path
 from ..sources import testdata
 from ..sources.scan import read_dataset
@@ -90,11 +91,14 @@ class Retail:
 
     @classmethod
     def from_landing(cls, spark: SparkSession, root: str, ingest_date=INGEST_DATE,
-                     as_of=AS_OF, fmt: str = "csv") -> "Retail":
+                     as_of=AS_OF, fmt: str = "csv", store_limit: int = 100_000) -> "Retail":
         """The eight dataset readers: each scans the snapshot delivered on
         ``ingest_date`` under ``root`` (declared schema) and is then cleaned
         by the same steps as any other input."""
         raw = {name: read_dataset(spark, root, name, ingest_date, fmt) for name in DATASETS}
+        # stores is the one dimension joined everywhere: broadcast it when a
+        # row-count check proves it small (AQE decides otherwise)
+        raw["stores"] = broadcast_if_small(raw["stores"], store_limit)
         return cls(spark, root, as_of, ingest_date, raw=raw)
 
     _CLEANED = ("transactions", "items", "stores", "customers", "products",
