@@ -113,3 +113,28 @@ def test_top_stores_pre_aggregates(spark):
     top = reports.top_stores(stores, tx, suppliers, products, k=5)
     # only stores with supplied products qualify; revenue is not multiplied
     assert rows(top) == [(1, 100.0, 3), (2, 200.0, 1)]
+
+
+def test_chain_join_join_type_is_a_parameter(spark):
+    t = spark.createDataFrame([(1, 10), (2, 20)], "transaction_id long, customer_id long")
+    i = spark.createDataFrame([(1, 100), (1, 101), (3, 102)], "transaction_id long, product_id long")
+    p = spark.createDataFrame([(100, "x")], "product_id long, product_name string")
+    inner = joins.chain_join([t, i, p], ["transaction_id", "product_id"], "inner")
+    assert rows(inner, "transaction_id", "product_id", "product_name") == [(1, 100, "x")]
+    left = joins.chain_join([t, i, p], ["transaction_id", "product_id"], "left")
+    assert rows(left, "transaction_id", "product_id", "product_name") == [
+        (1, 100, "x"), (1, 101, None), (2, None, None)]
+    with pytest.raises(ValueError):
+        joins.chain_join([t, i], ["transaction_id", "product_id"])
+
+
+def test_broadcast_only_after_size_check(spark):
+    fact = spark.createDataFrame([(i, i % 5) for i in range(50)], "id long, k int")
+    dim = spark.createDataFrame([(k, f"d{k}") for k in range(5)], "k int, name string")
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(joins.dimension_join(fact, dim, "k", max_rows=5)).lower()
+    assert "broadcast" not in plan(joins.dimension_join(fact, dim, "k", max_rows=4)).lower()
+    assert joins.dimension_join(fact, dim, "k", max_rows=4).count() == 50
