@@ -11,6 +11,12 @@ that caps parallelism.  The operators here reduce first:
   from per-day counts, cuts each key into fixed-size buckets, copies the
   last N rows of every bucket into the next one as a halo, and evaluates
   the frame inside (key, bucket) partitions, whose size is bounded.
+
+Row numbering stays on per-day counts on purpose.  A range-partitioned
+prefix count would also split a hot day, but its partition bounds come from
+sampling, and a plan that reads the ranged rows twice (counts and join back)
+samples twice over rows whose order may differ; the two sides can then
+disagree.  Numbering inside one (key, day) is exact and deterministic.
 """
 
 from __future__ import annotations
