@@ -79,3 +79,24 @@ def test_number_rows_is_dense_per_key(sales):
                                                  F.count(F.lit(1)).alias("c"))
     for r in per_store.collect():
         assert r["lo"] == 0 and r["hi"] == r["c"] - 1 and r["n"] == r["c"]
+
+
+@pytest.mark.parametrize("target_rows", [1, 3, 10, 1 << 20])
+def test_number_rows_with_id_subranges_is_exact(sales, target_rows):
+    got = windows.number_rows(sales, ["store_id"], ["transaction_date", "transaction_id"],
+                              "rn", target_rows=target_rows)
+    w = Window.partitionBy("store_id").orderBy("transaction_date", "transaction_id")
+    want = sales.withColumn("rn", F.row_number().over(w) - 1)
+    assert rows(got, "transaction_id", "rn") == rows(want, "transaction_id", "rn")
+    assert "_sub" not in got.columns
+
+
+@pytest.mark.parametrize("target_rows,bucket_rows", [(2, 7), (5, 33)])
+def test_rolling_rows_with_split_days(sales, target_rows, bucket_rows):
+    got = windows.rolling_rows(sales, "store_id", ["transaction_date", "transaction_id"],
+                               "total_amount", 6, "avg", "v", bucket_rows=bucket_rows,
+                               target_rows=target_rows)
+    w = (Window.partitionBy("store_id").orderBy("transaction_date", "transaction_id")
+               .rowsBetween(-6, 0))
+    want = sales.withColumn("v", _exact_avg(w))
+    assert rows(got, "transaction_id", "v") == rows(want, "transaction_id", "v")

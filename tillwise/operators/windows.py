@@ -12,17 +12,17 @@ that caps parallelism.  The operators here reduce first:
   last N rows of every bucket into the next one as a halo, and evaluates
   the frame inside (key, bucket) partitions, whose size is bounded.
 
-Row numbering stays on per-day counts on purpose.  A range-partitioned
-prefix count would also split a hot day, but its partition bounds come from
-sampling, and a plan that reads the ranged rows twice (counts and join back)
-samples twice over rows whose order may differ; the two sides can then
-disagree.  Numbering inside one (key, day) is exact and deterministic.
+Row numbering splits a hot day by id value ranges derived from exact
+aggregates, not by range partitioning: range bounds come from sampling, and
+a plan that reads the rows twice (counts and join back) would sample twice
+over rows whose order may differ, so the two sides could disagree.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import to_units
 
@@ -92,34 +92,60 @@ def rolling_days(df: DataFrame, partition: list[str] | str, date_col: str, col:
 
 
 def number_rows(df: DataFrame, partition: list[str], order: list[str],
-                out: str = "_rn") -> DataFrame:
+                out: str = "_rn", target_rows: int = 1 << 20) -> DataFrame:
     """0-based row number per ``partition`` by ``order`` without a window
-    over the whole partition: rows before each first-order value come from
-    a cumulative count over per-value counts; rows within one order value are
-    numbered by the remaining order columns."""
-    head, tail = order[0], order[1:]
-    grain = partition + [head]
-    counts = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*partition).orderBy(head)
+    over the whole partition.
+
+    ``order[0]`` is a coarse column (a date); rows before each of its values
+    come from a cumulative count over per-value counts.  When the tie-break
+    is one integral column (an id), each (key, value) group is further cut
+    into ``ceil(rows / target_rows)`` sub-ranges of equal id width, computed
+    from exact per-group count/min/max, so a hot day of a hot store is
+    numbered by many tasks; the sub-range index is monotone in the id.  All
+    steps are deterministic functions of the data (no sampling).
+    """
+    head, tail = order[0], list(order[1:])
+    grain = list(partition) + [head]
+    ranged = (len(tail) == 1 and
+              isinstance(df.schema[tail[0]].dataType, (T.IntegerType, T.LongType, T.ShortType)))
+    if ranged:
+        tie = tail[0]
+        stats = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_gc"),
+                                       F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
+        parts = F.greatest(F.lit(1), F.ceil(F.col("_gc") / F.lit(target_rows)))
+        stats = stats.select(*grain, "_lo", "_hi", parts.alias("_k"))
+        span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+        sub = F.when(F.col("_k") == 1, F.lit(0)).otherwise(
+            F.floor(((F.col(tie) - F.col("_lo")) * F.col("_k")).cast("double") / span))
+        tagged = (_null_safe_join(df, stats, grain, "inner")
+                  .withColumn("_sub", F.coalesce(sub, F.lit(0)).cast("long"))
+                  .drop("_lo", "_hi", "_k"))
+        fine = grain + ["_sub"]
+    else:
+        tagged, fine = df, grain
+    counts = tagged.groupBy(*fine).agg(F.count(F.lit(1)).alias("_c"))
+    w = (Window.partitionBy(*partition).orderBy(*fine[len(partition):])
                .rowsBetween(Window.unboundedPreceding, -1))
-    before = counts.select(*grain, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(*grain).orderBy(*(tail or [head]))
-    numbered = df.withColumn("_in", F.row_number().over(within))
-    return (_null_safe_join(numbered, before, grain, "inner")
-            .withColumn(out, F.col("_before") + F.col("_in") - 1)
-            .drop("_before", "_in"))
+    before = counts.select(*fine, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*fine).orderBy(*(tail or [head]))
+    numbered = tagged.withColumn("_in", F.row_number().over(within))
+    out_df = (_null_safe_join(numbered, before, fine, "inner")
+              .withColumn(out, F.col("_before") + F.col("_in") - 1)
+              .drop("_before", "_in"))
+    return out_df.drop("_sub") if ranged else out_df
 
 
 def rolling_rows(df: DataFrame, partition: list[str] | str, order: list[str], col: str,
                  preceding: int = 6, func: str = "avg", out: str | None = None,
-                 scale: int = 2, bucket_rows: int = 1 << 20) -> DataFrame:
+                 scale: int = 2, bucket_rows: int = 1 << 20,
+                 target_rows: int = 1 << 20) -> DataFrame:
     """``func(col)`` over the current row and ``preceding`` rows before it
     (ROWS BETWEEN preceding PRECEDING AND CURRENT ROW) per ``partition``,
     ordered by ``order`` (make it total, e.g. date then id)."""
     partition = [partition] if isinstance(partition, str) else list(partition)
     if bucket_rows <= preceding:
         raise ValueError("bucket_rows must exceed the frame length")
-    numbered = number_rows(df, partition, list(order))
+    numbered = number_rows(df, partition, list(order), target_rows=target_rows)
     home = F.floor(F.col("_rn") / bucket_rows)
     in_halo = (F.col("_rn") % bucket_rows) >= (bucket_rows - preceding)
     spread = (numbered
