@@ -14,9 +14,15 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     bound or start > end cover no date and are dropped.  After merging, an
     equi + range join matches each probe at most once, so an existence flag
     needs no de-duplication of the probe side.
+
+    Intervals sharing a start are first reduced to the longest one (a
+    partial aggregate), so the per-key window sees at most one row per
+    distinct start date, bounded by the calendar however many intervals a
+    hot key has.
     """
-    valid = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()
-                     & (F.col(start) <= F.col(end))).select(key, start, end)
+    valid = (df.where(F.col(start).isNotNull() & F.col(end).isNotNull()
+                      & (F.col(start) <= F.col(end)))
+               .groupBy(key, start).agg(F.max(end).alias(end)))
     w = Window.partitionBy(key).orderBy(start, end)
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)
