@@ -138,3 +138,18 @@ def test_broadcast_only_after_size_check(spark):
     assert "broadcast" in plan(joins.dimension_join(fact, dim, "k", max_rows=5)).lower()
     assert "broadcast" not in plan(joins.dimension_join(fact, dim, "k", max_rows=4)).lower()
     assert joins.dimension_join(fact, dim, "k", max_rows=4).count() == 50
+
+
+def test_broadcast_byte_bound(spark):
+    fact = spark.createDataFrame([(i, i % 5) for i in range(50)], "id long, k int")
+    # each row: 8-byte null bitset + two 8-byte slots + "dN" rounded to 8 = 32
+    dim = spark.createDataFrame([(k, f"d{k}") for k in range(5)], "k int, name string")
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+    assert "broadcast" in plan(joins.dimension_join(fact, dim, "k", max_bytes=160))
+    assert "broadcast" not in plan(joins.dimension_join(fact, dim, "k", max_bytes=159))
+    wide = spark.createDataFrame([(k, "x" * 1000) for k in range(5)], "k int, name string")
+    assert "broadcast" not in plan(joins.dimension_join(fact, wide, "k", max_bytes=4096))
+    assert joins.dimension_join(fact, wide, "k", max_bytes=4096).count() == 50

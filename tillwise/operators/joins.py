@@ -33,21 +33,47 @@ def chain_join(frames: list[DataFrame], keys: list[str], how: str = "inner") ->
     return out
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``dim`` with a broadcast hint when it has at most ``max_rows`` rows.
+def _row_bytes(dim: DataFrame):
+    """Per-row size of ``dim`` in Spark's binary row format: a null bitset,
+    one 8-byte slot per column, and each variable-length value rounded up to
+    8 bytes (strings and binaries by their bytes, nested values by their JSON
+    text, which is no smaller than their binary form)."""
+    fixed = 8 * ((len(dim.columns) + 63) // 64) + 8 * len(dim.columns)
+    var = []
+    for f in dim.schema.fields:
+        t = f.dataType.typeName()
+        c = F.col(f"`{f.name}`")
+        if t in ("string", "binary"):
+            n = F.octet_length(c)
+        elif t in ("array", "map", "struct"):
+            n = F.octet_length(F.to_json(c))
+        else:
+            continue
+        var.append(F.coalesce(F.ceil(n / 8) * 8, F.lit(0)))
+    out = F.lit(fixed).cast("long")
+    for v in var:
+        out = out + v
+    return out
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000,
+                       max_bytes: int = 64 << 20) -> DataFrame:
+    """``dim`` with a broadcast hint when it has at most ``max_rows`` rows and
+    at most ``max_bytes`` bytes in Spark's row format.
 
-    The check is one job that reads at most ``max_rows + 1`` rows, so it is
-    cheap whatever the size; a larger frame is returned unhinted and its
-    joins are planned from measured sizes by AQE."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if small else dim
+    The check is one job over at most ``max_rows + 1`` rows that measures
+    both bounds, so it is cheap whatever the size; a larger frame is returned
+    unhinted and its joins are planned from measured sizes by AQE."""
+    n, size = dim.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(dim)), F.lit(0))).first()
+    return F.broadcast(dim) if n <= max_rows and size <= max_bytes else dim
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, key, how: str = "inner",
-                   max_rows: int = 1_000_000) -> DataFrame:
+                   max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Join a fact table to a dimension, broadcasting the dimension only after
-    checking its row count (see ``broadcast_if_small``)."""
-    return fact.join(broadcast_if_small(dim, max_rows), key, how)
+    checking its row count and size (see ``broadcast_if_small``)."""
+    return fact.join(broadcast_if_small(dim, max_rows, max_bytes), key, how)
 
 
 def items_of_valid_transactions(items: DataFrame, transactions: DataFrame) -> DataFrame:

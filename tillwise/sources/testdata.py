@@ -15,8 +15,13 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from .schemas import SCHEMAS
 
+# Broadcast bounds for the derived store dimension.
+STORE_ROWS = 100_000
+STORE_BYTES = 16 << 20
+
 
 # One DataFrame handle per (session, driver table).  The driver tables are
 # read-only, so the file listing and footer read are done once per session
@@ -61,11 +66,11 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ("Small", "S", "Medium", "m", "Large", "L", None, "XXL")]),
             (key % 8 + 1).cast("int")).alias("size"),
         _day("1990-01-01", key).alias("opening_date"))
-    # One store per nation: TPC-H fixes nation at 25 rows at every scale
-    # factor, so this dimension has a proven size bound and is broadcast
-    # wherever it is joined (the optimizer's own estimate for the
-    # nation x region join is an inflated cartesian bound).
-    return F.broadcast(_conform(df, "stores"))
+    # One store per nation (25 rows in TPC-H at every scale factor).  The
+    # broadcast hint is given only after a measured row and byte check (the
+    # optimizer's own estimate for the nation x region join is an inflated
+    # cartesian bound, so it would never choose it).
+    return broadcast_if_small(_conform(df, "stores"), STORE_ROWS, STORE_BYTES)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
