@@ -32,9 +32,11 @@ def dedup_latest(df: DataFrame, keys: list[str], prefer: list[str],
     """One row per ``keys``; the survivor has the greatest ``prefer`` columns.
 
     Ties on ``prefer`` are broken by the remaining columns, so the survivor
-    is fully determined.  Built as ``max(struct(...))`` per key: a hash
-    aggregate with map-side combine, not a sort of the whole table, and a
-    key repeated in a third of the rows is pre-combined before the shuffle.
+    is fully determined.  Built as ``max(struct(...))`` per key with a
+    partial (map-side) aggregate, so a key repeated in a third of the rows
+    is pre-combined inside each map task before the shuffle.  A struct
+    buffer is not fixed-width, so Spark runs it as a sort aggregate: each
+    task sorts its own rows (spilling if needed); there is no global sort.
     Nulls lose against values.
 
     ``cluster_by`` (a subset of ``keys``) hash-partitions the rows on those

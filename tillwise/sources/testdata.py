@@ -160,6 +160,8 @@ def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     start = (key * 13) % 2000
+    # Data-model rule, not a row cap: one product in three carries a
+    # promotion, so the table stays a third of `part` at every scale factor.
     df = p.where(key % 3 == 0).select(
         key.alias("promo_id"),
         _day("1995-01-01", start).alias("start_date"),
