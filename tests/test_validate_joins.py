@@ -153,3 +153,15 @@ def test_broadcast_byte_bound(spark):
     wide = spark.createDataFrame([(k, "x" * 1000) for k in range(5)], "k int, name string")
     assert "broadcast" not in plan(joins.dimension_join(fact, wide, "k", max_bytes=4096))
     assert joins.dimension_join(fact, wide, "k", max_bytes=4096).count() == 50
+
+
+def test_broadcast_byte_bound_nested(spark):
+    fact = spark.createDataFrame([(i, i % 5) for i in range(50)], "id long, k int")
+    # 24 fixed bytes + JSON text "[1,2,3]" (7 bytes) rounded to 8 = 32 per row
+    dim = spark.createDataFrame([(k, [1, 2, 3]) for k in range(5)], "k int, xs array<int>")
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+    assert "broadcast" in plan(joins.dimension_join(fact, dim, "k", max_bytes=160))
+    assert "broadcast" not in plan(joins.dimension_join(fact, dim, "k", max_bytes=159))
