@@ -24,7 +24,7 @@ def split_demographics(df: DataFrame, col: str = "demographics",
     out = df.withColumns({
         "name": split_part(col, 0),
         "sex": F.trim(split_part(col, 1)),
-        "age": F.expr(f"try_cast(trim(get(split(`{col}`, '[|]'), 2)) AS INT)"),
+        "age": F.trim(split_part(col, 2)).try_cast("int"),
     })
     return out.drop(col) if drop_source else out
 
