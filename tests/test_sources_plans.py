@@ -91,3 +91,14 @@ def test_scale_conf_sizes_shuffles_from_input(spark, scratch):
     write_snapshot(testdata.derive(spark, SF_SMALL, "stores"), scratch, "stores",
                    "2001-08-01", "parquet")
     assert input_bytes(spark, scratch) > 0
+
+
+def test_dashboard_shuffles_deduplicated_transactions_once(spark):
+    from tillwise.plans.catalog import QUERIES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["rep_region_dashboard"](spark, SF_SMALL)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange [transaction_id" in plan
