@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
 
+# Functions of this package travel to the executors with the job, so these
+# need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 # The white space of every word rule here: space and U+0009..U+000D.  It is
 # also what ``bytes.split()`` splits on, so UTF-8 bytes need no regex.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +53,12 @@ def held_out(col: str = "doc_id") -> Column:
     return F.crc32(id_text(col).cast("binary")) % 5 == 0
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker (over its tasks)."""
+    name = "tillwise_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], max_bytes: int, col: str,
             max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Regroup record batches by the bytes of binary column ``col``.

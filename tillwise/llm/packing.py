@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_bytes, staged, text_bytes
+from .common import flat_bytes, staged, text_bytes, worker_cache
 
 WINDOW = 1024
 END_ID = 2
@@ -87,9 +87,6 @@ class WordCache:
                 yield b"".join([known[w] if w in known else own[w] for w in words])
 
 
-_CACHES: dict[str, WordCache] = {}  # one per Python worker and vocabulary
-
-
 def cut(n: int, window: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids: only the first may be shorter."""
     first = n % window or window
@@ -107,14 +104,15 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-        if vocabulary not in _CACHES:
+        caches = worker_cache()
+        if vocabulary not in caches:
             path = vocabulary
             if not os.path.exists(path):
                 import public_tokenizers
 
                 path = public_tokenizers.path(vocabulary)
-            _CACHES[vocabulary] = WordCache(path)
-        cache = _CACHES[vocabulary]
+            caches[vocabulary] = WordCache(path)
+        cache = caches[vocabulary]
         for batch in batches:
             flat, at = flat_bytes(batch.column("text"))
             texts = (bytes(flat[a:b]).decode("utf-8", "replace") for a, b in zip(at, at[1:]))

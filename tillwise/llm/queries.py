@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import mixing, packing, quality, toxicity
 from .common import table
 
 
@@ -10,8 +10,14 @@ def _documents(fn):
     return lambda spark, sf_dir: fn(table(spark, sf_dir, "documents"))
 
 
+def _labelled(fn):
+    return lambda spark, sf_dir: fn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_quality_classifier": _labelled(quality.score_documents),
     "op6_mix_sources": _documents(mixing.mix_documents),
+    "op9_toxicity": _labelled(toxicity.score_documents),
     "op10_best_fit_packing": _documents(packing.pack_documents),
 }
 
