@@ -127,7 +127,7 @@ class Subwords:
         """The logit of each text's highest passage; the folded bytes and that passage's place."""
         flat, at = spaced(texts)
         begin, end, owner = passages(flat, at)
-        best = np.full(len(texts), self.bias[1] - self.bias[0])
+        best = np.full(len(texts), float(self.bias[1] - self.bias[0]))
         place = np.zeros((len(texts), 2), np.int64)
         if len(begin):
             z = self.passage_logits(flat, begin, end, table)
@@ -246,7 +246,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, target: str = "toxic",
         for b in rows_of(batches, 4 << 20, "text"):
             score = (np.full(b.num_rows, model) if table is None
                      else model.probability(model.highest(b.column("text"), table)[0]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score.astype(np.float64))], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", text_bytes().alias("text"))
