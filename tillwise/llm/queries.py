@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, toxicity
+from . import edit_fingerprint, mixing, packing, quality, toxicity
 from .common import table
 
 
@@ -15,6 +15,7 @@ def _labelled(fn):
 
 
 QUERIES = {
+    "op1_document_fingerprints": _documents(edit_fingerprint.fingerprint_documents),
     "op3_quality_classifier": _labelled(quality.score_documents),
     "op6_mix_sources": _documents(mixing.mix_documents),
     "op9_toxicity": _labelled(toxicity.score_documents),

@@ -144,9 +144,15 @@ class Subwords:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit + self.shift, -40, 40)))
 
 
-def train(texts: list[bytes], y: np.ndarray, epochs: int = 10, whole_epochs: int = 3, batch: int = 256,
+def train(texts: list[bytes], y: np.ndarray, epochs: int = 10, steps: int = 200, batch: int = 256,
           rate: float = 0.25, seed: int = 11) -> Subwords:
-    """Joint training by Adagrad on softmax cross-entropy, classes weighted evenly."""
+    """Joint training by Adagrad on softmax cross-entropy, classes weighted evenly.
+
+    At least ``epochs`` passes and ``steps`` updates; the first third of the
+    passes learns from whole documents."""
+    batch = min(batch, max(32, len(texts) // 10))
+    epochs = max(epochs, -(-steps // max(1, len(texts) // batch)))
+    whole_epochs = epochs // 3
     rng = np.random.default_rng(seed)
     model = Subwords(rng.uniform(-0.5, 0.5, (BUCKETS, DIM)).astype(np.float32) / DIM,
                      rng.uniform(-0.5, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32))
