@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import edit_fingerprint, mixing, packing, quality, toxicity
+from . import edit_fingerprint, minhash, mixing, packing, quality, toxicity
 from .common import table
 
 
@@ -16,6 +16,7 @@ def _labelled(fn):
 
 QUERIES = {
     "op1_document_fingerprints": _documents(edit_fingerprint.fingerprint_documents),
+    "op2_minhash_near_dedup": _documents(minhash.link_documents),
     "op3_quality_classifier": _labelled(quality.score_documents),
     "op6_mix_sources": _documents(mixing.mix_documents),
     "op9_toxicity": _labelled(toxicity.score_documents),
