@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import edit_fingerprint, minhash, mixing, packing, quality, toxicity
+from . import ann, chat, edit_fingerprint, minhash, mixing, packing, quality, toxicity
 from .common import table
 
 
@@ -18,11 +18,14 @@ QUERIES = {
     "op1_document_fingerprints": _documents(edit_fingerprint.fingerprint_documents),
     "op2_minhash_near_dedup": _documents(minhash.link_documents),
     "op3_quality_classifier": _labelled(quality.score_documents),
+    "op4_chat_formatting": lambda spark, sf_dir: chat.rendered(table(spark, sf_dir, "conversations")),
+    "op5_permutation_index": lambda spark, sf_dir: ann.neighbours(table(spark, sf_dir, "embeddings")),
     "op6_mix_sources": _documents(mixing.mix_documents),
     "op9_toxicity": _labelled(toxicity.score_documents),
     "op10_best_fit_packing": _documents(packing.pack_documents),
 }
 
 ORACLE = {
+    "op4_chat_formatting": chat.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
 }
