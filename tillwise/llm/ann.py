@@ -2,12 +2,13 @@
 
 A bounded seeded sample of the vectors are pivots.  A vector is represented
 by its ``POSTED`` nearest pivots in order.  Vectors are dealt to blocks, and
-a block is a pivot inverted file: for each pivot, who has it and at which
-place.  A query walks the lists of its own nearest pivots and adds up the
-footrule distance: for each of them the difference of places, an absent
-pivot counting as place POSTED.  The best ``KEEP`` share of a block, with
-all ties at the limit, is reranked by the exact inner product in double
-precision; the best of all blocks are the answer.
+a block is a pivot inverted file: each pivot's list says at which place every
+vector of the block has it (POSTED where it is not among the nearest).  A
+query walks the lists of its own ``WALKED`` nearest pivots and adds up the
+footrule distance, the differences of places.  The best ``KEEP`` share of a
+block (at least ``LEAST``), with all ties at the limit, is reranked by the
+exact inner product in double precision; the best of all blocks are the
+answer.
 
 Scale: block count follows the number of vectors, queries are dealt to every
 block in groups of bounded size, so a task holds one block of vectors and
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-PIVOTS = 128  # sampled vectors, at most
-POSTED = 64  # pivots of a vector that are posted, and that a query walks
-KEEP = 0.30  # share of a block that is reranked
+PIVOTS = 256  # sampled vectors, at most; places fit a byte
+POSTED = 128  # pivots of a vector that are posted
+WALKED = 64  # pivots of a query whose lists are read
+KEEP, LEAST = 0.15, 400  # share of a block, and number, that is reranked
 BLOCK, QUERIES = 8192, 1024
 
 
@@ -67,28 +69,31 @@ def sample_pivots(vectors: DataFrame, n: int = PIVOTS, seed: str = "pivots") ->
     return p / np.linalg.norm(p, axis=1, keepdims=True)
 
 
-def nearest_pivots(x: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
-    """The ``posted`` nearest pivots of each row of ``x``, nearest first."""
-    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :posted].astype(np.int16)
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivots of each row of ``x``, nearest first."""
+    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")
 
 
-def footrule(query: np.ndarray, inverted: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-    """Footrule distance of one query permutation to the n vectors of an inverted file."""
-    absent = len(query)
-    total = np.full(n, float((absent - np.arange(absent)).sum()), np.float32)
-    for place, pivot in enumerate(query):
-        who, theirs = inverted[pivot]
-        total[who] += np.abs(theirs - place) - np.float32(absent - place)
-    return total
+def inverted_file(order: np.ndarray, posted: int) -> np.ndarray:
+    """One list per pivot: its place in every vector's order (``posted`` beyond that)."""
+    lists = np.empty(order.shape[::-1], np.uint8)
+    lists[order.T, np.arange(len(order))] = np.minimum(np.arange(order.shape[1]), posted)[:, None]
+    return lists
+
+
+def footrule(query: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """Footrule distance of a query's leading pivots to every vector of a block."""
+    theirs, mine = lists[query], np.arange(len(query), dtype=np.uint8)[:, None]
+    return (np.maximum(theirs, mine) - np.minimum(theirs, mine)).sum(axis=0, dtype=np.uint16)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS, posted: int = POSTED,
-           keep: float = KEEP) -> DataFrame:
+           walked: int = WALKED, keep: float = KEEP, least: int = LEAST) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each query.
 
     ``vectors`` and ``queries`` are written tables of :func:`usable`."""
     pivot = sample_pivots(vectors, pivots)
-    posted = min(posted, len(pivot))
+    posted, walked = min(posted, 255), min(walked, 255, len(pivot))
     n, n_queries = vectors.count(), queries.count()
     blocks, groups = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
     dim = 8 * pivot.shape[1]
@@ -105,14 +110,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PI
             rows = rows.sort_values("vec_id", kind="stable")
             ids, x = rows["vec_id"].to_numpy(), np.frombuffer(b"".join(rows["vector"])).reshape(len(rows), -1)
             mine, y = own["vec_id"].to_numpy(), np.frombuffer(b"".join(own["vector"])).reshape(len(own), -1)
-            order = nearest_pivots(x, pivot, posted)
-            flat, place = order.ravel(), np.tile(np.arange(posted, dtype=np.float32), len(x))
-            by = np.argsort(flat, kind="stable")
-            ends = np.searchsorted(flat[by], np.arange(len(pivot) + 1))
-            inverted = [(by[a:b] // posted, place[by[a:b]]) for a, b in zip(ends, ends[1:])]
-            limit = max(2 * k + 1, int(np.ceil(keep * len(x)))) - 1
-            for i, perm in enumerate(nearest_pivots(y, pivot, posted)):
-                far = footrule(perm, inverted, len(x))
+            lists = inverted_file(nearest_pivots(x, pivot), posted)
+            limit = max(least, 2 * k + 1, int(np.ceil(keep * len(x)))) - 1
+            for i, perm in enumerate(nearest_pivots(y, pivot)[:, :walked]):
+                far = footrule(perm, lists)
                 near = np.arange(len(x)) if limit >= len(x) - 1 else np.flatnonzero(far <= np.partition(far, limit)[limit])
                 near = near[ids[near] != mine[i]]
                 score = (x[near] * y[i]).sum(axis=1)
