@@ -21,6 +21,7 @@ an empty result.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_bytes, staged, text_bytes, worker_cache
+from .common import flat_bytes, rows_of, staged, text_bytes, worker_cache
 
 WINDOW = 1024
 END_ID = 2
@@ -44,47 +45,59 @@ class WordCache:
     """Token ids of a text through a bounded cache of its space-led words.
 
     Byte-level BPE never merges across a space that is followed by a visible
-    character, so a text may be cut there and each word encoded once."""
+    character, so a text may be cut there and each word encoded once.  New
+    words are encoded in one call: in their joined text, the tokens that
+    begin with a space begin the words."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by the word without its space
         self.limit = limit
+        vocab = self.encoder.get_vocab()
+        self.leads = np.zeros(max(vocab.values()) + 1, bool)
+        self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # the space, in this vocabulary's writing
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        words = text.split(" ")
-        out = [words[0]] if words[0] else []
-        for w in words[1:]:
-            if w and not w[0].isspace():
-                out.append(" " + w)
-            elif out:  # a run of white space stays with what precedes it
-                out[-1] += " " + w
-            else:
-                out.append(" " + w)
-        return out
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        ids = self._ids([" " + " ".join(words)])[0]
+        raw, at = ids.tobytes(), (4 * np.flatnonzero(self.leads[ids])).tolist()
+        return dict(zip(words, [raw[i:j] for i, j in zip(at, at[1:] + [len(raw)])], strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian uint32 ids of each text."""
-        known = self.known
+        """Little-endian uint32 ids of each text, in blocks of about 2 MB."""
+        at = 0
+        while at < len(texts):
+            size, begin = 0, at
+            while at < len(texts) and (at == begin or size + len(texts[at]) <= 2 << 20):
+                size += len(texts[at])
+                at += 1
+            yield from self._block(texts[begin:at])
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        known, out = self.known, {}
+        split = [t.split(" ") for t in texts]
+        heads = [w.pop(0) for w in split]  # without a space before it
+        new = set(itertools.chain.from_iterable(split)) - known.keys()
+        odd = {w for w in new if not w or w[0].isspace()}  # a run of white space is not cut
+        if odd:
+            whole = [i for i, w in enumerate(split) if not odd.isdisjoint(w)]
+            out = dict(zip(whole, self._ids([texts[i] for i in whole])))
+        own = self._words(list(new - odd))
+        known.update(own)
+        rest = [i for i in range(len(texts)) if i not in out]
+        for i, head in zip(rest, self._ids([heads[i] for i in rest])):
+            out[i] = head.tobytes() + b"".join(map(known.__getitem__, split[i]))
         if len(known) > self.limit:
-            known.clear()
-        for text in texts:
-            words = self._words(text)
-            new = [w for w in set(words) if w not in known]
-            own = dict(zip(new, self._encode(new))) if new else {}
-            if len(known) + len(own) <= 2 * self.limit:
-                known.update(own)
-                yield b"".join([known[w] for w in words])
-            else:
-                yield b"".join([known[w] if w in known else own[w] for w in words])
+            for w in own:
+                del known[w]
+        return [out[i] if isinstance(out[i], bytes) else out[i].tobytes() for i in range(len(texts))]
 
 
 def cut(n: int, window: int) -> list[tuple[int, int]]:
@@ -113,9 +126,9 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int =
                 path = public_tokenizers.path(vocabulary)
             caches[vocabulary] = WordCache(path)
         cache = caches[vocabulary]
-        for batch in batches:
+        for batch in rows_of(batches, 8 << 20, "text"):
             flat, at = flat_bytes(batch.column("text"))
-            texts = (bytes(flat[a:b]).decode("utf-8", "replace") for a, b in zip(at, at[1:]))
+            texts = [bytes(flat[a:b]).decode("utf-8", "replace") for a, b in zip(at, at[1:])]
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), cache.encode(texts)):
                 ids += end
