@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, edit_fingerprint, minhash, mixing, packing, quality, suffix_tree, toxicity
+from . import ann, chat, edit_fingerprint, minhash, mixing, packing, quality, suffix_array, suffix_tree, toxicity
 from .common import table
 
 
@@ -22,6 +22,7 @@ QUERIES = {
     "op5_permutation_index": lambda spark, sf_dir: ann.neighbours(table(spark, sf_dir, "embeddings")),
     "op6_mix_sources": _documents(mixing.mix_documents),
     "op7_substring_dedup": _documents(suffix_tree.dedup_documents),
+    "op8_suffix_array_dedup": _documents(suffix_array.dedup_documents),
     "op9_toxicity": _labelled(toxicity.score_documents),
     "op10_best_fit_packing": _documents(packing.pack_documents),
 }
