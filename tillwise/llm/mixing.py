@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from .common import WORD, id_text, staged
 
 WEIGHTS = (3, 1, 2)
@@ -78,6 +79,7 @@ def mix(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
            .agg(F.max(F.when(F.col("before") < F.col("need"), F.struct("bucket", "before"))).alias("cut"))
            .select(F.col("source").alias("s"), "source_size", "target", "whole", "need",
                    F.col("cut.bucket").alias("cut"), F.col("cut.before").alias("before")))
+    cut = broadcast_if_small(staged(cut, "mix-cuts"), max_rows=100_000)
     d = (sizes.join(cut, sizes["source"].eqNullSafe(cut["s"])).drop("s")
          .withColumn("bucket", bucket))
     plain = d.where(F.coalesce(F.col("bucket") != F.col("cut"), F.lit(True)))
@@ -98,6 +100,17 @@ def mix_documents(docs: DataFrame, **kw) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed_rows(docs: DataFrame, **kw) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it (rows it leaves out go)."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
+    fixed = {"doc_id", "source", "text"}
+    given = docs.toDF(*[c if c in fixed else n for n, c in zip(names, docs.columns)])
+    rest = [c for c in given.columns if c not in ("doc_id", "source")]
+    taken = mix(sized(given, extra=tuple(rest)), **kw)
+    rows = taken.where("repeats > 0").withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("repeats").cast("int"))))
+    return rows.select(*given.columns).toDF(*docs.columns)
+
+
 ORACLE = """
 WITH d AS (
   SELECT doc_id, source,

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, id_text, staged, text_bytes
+from .common import held_out, id_text, rows_of, staged, text_bytes
 
 MAX_ROWS = 100_000  # labelled rows that train, at most
 DIMENSIONS = 384
@@ -197,6 +197,23 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, ridge: float = RIDGE, se
     return model
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, target: str = "quality",
+                   threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    model = fit(staged(labelled(staged(with_statistics(docs), "stats"), labels, target, max_rows, "quality"), "quality-train"))
+    names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
+    given = docs.toDF(*names)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema)
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows_of(batches, 8 << 20, "bytes"):
+            score = model.score(np.stack([statistics(t) for t in b.column("bytes").to_pylist()]).astype(np.float64))
+            yield b.drop_columns(["bytes"]).filter(pa.array(score >= threshold))
+
+    return (given.withColumn("bytes", text_bytes(names[docs.columns.index("text")]))
+            .mapInArrow(per_batch, schema).toDF(*docs.columns))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, target: str = "quality",
                     threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
     """The contract of op3: ``doc_id, held_out, score, predicted`` of every document."""
