@@ -2,13 +2,14 @@
 
 A walk reads a text: at step j it writes the character under it and moves on
 or stays, by a random bit of (j, character) that all texts share.  Two texts
-read alike up to an edit, and after it the two walks meet again soon, so a
-small edit distance becomes a small Hamming distance of what is written.  A
-fingerprint samples SLOTS coordinates of that string (8 bits each, of the
-four characters read there).  Slot k samples the step of least random rank
-among all steps of the walk, so texts of similar length sample the same
-steps and every part of a text is equally likely to be sampled.  Likeness is
-the share of equal slots.
+read alike up to an edit, and after it the two walks meet again, mostly soon,
+so a small edit distance becomes a small Hamming distance of what is written.
+WALKS independent walks even out the cases that meet late.  A fingerprint
+samples SLOTS coordinates of what they write (8 bits each, of the four
+characters read there).  A slot samples the step of least random rank among
+all steps of its walk, so texts of similar length sample the same steps and
+every part of a text is equally likely to be sampled.  Likeness is the share
+of equal slots.
 
 ``near_documents`` bands the slots, takes as candidates what shares a band
 with the first document of it, and verifies on all slots.
@@ -27,6 +28,7 @@ result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from .common import rows_of, text_bytes, worker_cache
 
 SLOTS = 128
+WALKS = 4
 BANDS = 32
 _TAIL = 4  # characters of a sample, and pads after a text
 _ROWS, _GROUP_BYTES = 8192, 24 << 20
@@ -47,30 +50,36 @@ _SMALLEST = -(1 << 63)
 
 
 class Walk:
-    """The shared randomness: step bits, and which steps each slot samples."""
+    """The shared randomness: step bits of every walk, and which steps each slot samples."""
 
-    def __init__(self, slots: int = SLOTS, seed: int = 5):
+    def __init__(self, slots: int = SLOTS, walks: int = WALKS, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.bits = rng.integers(0, 2, (1 << 13, 256), np.uint8)
-        self.bits[:, 0] = 0  # a pad: the walk is over
-        self.slots = slots
+        self.bits = rng.integers(0, 2, (1 << 13, walks, 256), np.uint8)
+        self.bits[:, :, 0] = 0  # a pad: the walk is over
+        self.bits = self.bits.reshape(1 << 13, -1)
+        self.slots, self.walks = slots, walks
         self.rngs = [np.random.default_rng((seed, k)) for k in range(slots)]
         self.records = [[0] for _ in range(slots)]  # steps of ever smaller rank
         self.ranks = [r.random() for r in self.rngs]
         self.until = 1
 
-    def reach(self, steps: int) -> None:
-        """Extend the records of all slots beyond ``steps``."""
+    def reach(self, steps: int) -> dict[int, list[int]]:
+        """Extend the records beyond ``steps``; the walks that sample each step."""
         while self.until < steps:
             self.until *= 4
         for k, rng in enumerate(self.rngs):
             while self.records[k][-1] < self.until:
                 self.records[k].append(self.records[k][-1] + int(rng.geometric(max(self.ranks[k], 1e-12))))
                 self.ranks[k] *= rng.random()
+        at: dict[int, set[int]] = {}
+        for k, r in enumerate(self.records):
+            for j in r:
+                at.setdefault(j, set()).add(k % self.walks)
+        return {j: sorted(w) for j, w in at.items()}
 
-    def sampled(self, steps: int) -> np.ndarray:
-        """The step that each slot samples of a walk of ``steps`` steps."""
-        return np.array([r[np.searchsorted(r, steps) - 1] for r in self.records])
+    def sampled(self, k: int, steps: int) -> int:
+        """The step that slot k samples of a walk of ``steps`` steps."""
+        return self.records[k][bisect.bisect_left(self.records[k], steps) - 1]
 
     def row(self, step: int) -> np.ndarray:
         return self.bits[(step ^ (step >> 13) * 0x9E5) & 0x1FFF]
@@ -92,40 +101,45 @@ def fingerprints(texts: list[str], walk: Walk) -> np.ndarray:
         return np.zeros((0, walk.slots), np.uint8)
     flat = np.concatenate(parts)
     del parts
-    who = np.argsort(-size, kind="stable")
-    at = (np.cumsum(size) - size)[who]
-    out = np.zeros((len(texts), walk.slots), np.uint8)
-    column = np.arange(len(texts))  # of the texts still being read, among all in `who`
+    n = len(texts)
+    at = np.tile(np.cumsum(size) - size, walk.walks)  # one reader per walk and text
+    text = np.tile(np.arange(n), walk.walks)
+    base = np.repeat(np.arange(walk.walks) * 256, n)
+    by_length = np.argsort(-size[text], kind="stable")
+    at, text, base = at[by_length], text[by_length], base[by_length]
+    out = np.zeros((n, walk.slots), np.uint8)
+    symbols: dict[tuple[int, int], np.ndarray] = {}  # of each sampled step and walk, by text
     step = check = 0
-    walk.reach(64)
-    sampled = {s for r in walk.records for s in r}
-    symbols: dict[int, np.ndarray] = {}  # of each sampled step, by place in `who`
+    sampled = walk.reach(64)
     while len(at):
         check = max(check + 1, check + check // 32)
         if check >= walk.until:
-            walk.reach(check + 1)
-            sampled = {s for r in walk.records for s in r}
+            sampled = walk.reach(check + 1)
         for j in range(step, check):
             here = flat.take(at)
-            if j in sampled:
-                s = here.astype(np.uint32)
+            for w in sampled.get(j, ()):
+                mine = np.flatnonzero(base == 256 * w)
+                place = at[mine]
+                s = here[mine].astype(np.uint32)
                 for k in range(1, _TAIL):
-                    s = s * np.uint32(0x9E3779B1) + flat.take(np.minimum(at + k, len(flat) - 1)) * (here > 0)
+                    s = s * np.uint32(0x9E3779B1) + flat.take(np.minimum(place + k, len(flat) - 1)) * (here[mine] > 0)
                 s ^= s >> np.uint32(15)
                 s *= np.uint32(0x85EBCA6B)
-                got = np.zeros(len(texts), np.uint8)
-                got[column] = (s >> np.uint32(24)).astype(np.uint8)
-                symbols[j] = got
-            at += walk.row(j).take(here)
+                got = np.zeros(n, np.uint8)
+                got[text[mine]] = (s >> np.uint32(24)).astype(np.uint8)
+                symbols[j, w] = got
+            at += walk.row(j).take(base + here)
         step = check
         over = flat.take(at) == 0
         if over.any():  # these walks took `check` steps, to within 1 in 32
-            done = column[over]
-            for k, s in enumerate(walk.sampled(check)):
-                out[who[done], k] = symbols[int(s)][done]
-            at, column = at[~over], column[~over]
-            if len(column) * 2 < len(texts) and len(symbols) > 256:  # keep what can still be asked for
-                live = {int(r[np.searchsorted(r, check) - 1]) for r in walk.records}
+            for k in range(walk.slots):
+                w = k % walk.walks
+                done = text[over & (base == 256 * w)]
+                if len(done):
+                    out[done, k] = symbols[walk.sampled(k, check), w][done]
+            at, text, base = at[~over], text[~over], base[~over]
+            if len(symbols) > 4 * walk.slots and len(text) < n:  # keep what can still be asked for
+                live = {(walk.sampled(k, check), k % walk.walks) for k in range(walk.slots)}
                 symbols = {j: v for j, v in symbols.items() if j in live}
     return out
 

@@ -234,7 +234,7 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs``, all columns, with one document of each group (the smallest id, one row per text)."""
     keep = (near_duplicates(docs, rule).where("kept").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
                                                              .alias("kept_document_id")).distinct())
-    stay = docs.join(keep, _id() == F.col("kept_document_id"), "left_semi")
+    stay = docs.join(keep, _id() == keep["kept_document_id"], "left_semi")
     return stay.dropDuplicates(["doc_id", "text"])
 
 

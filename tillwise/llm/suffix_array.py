@@ -216,9 +216,7 @@ def repeated_windows(messages: list[bytes], length: int) -> list[bytes]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with ``kept`` (bytes) for ``text``, ``n_bytes`` and ``spans`` (starts and ends of what was removed)."""
-    taken = {"kept", "n_bytes", "spans"}
-    if not taken.isdisjoint(docs.columns):
-        raise ValueError(f"rename the columns {sorted(taken & set(docs.columns))}")
+    docs = docs.drop("kept", "n_bytes", "spans")  # the new columns take these names
     names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
     given = docs.toDF(*names)
     text = names[docs.columns.index("text")]
@@ -231,8 +229,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def ask_names(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
         c = Chunk(rows, answers, length)
-        name, several = c.names()
-        out = ask_values(name[~several], buckets)
+        name, _ = c.names()  # also those it has several times: others ask for them
+        out = ask_values(name, buckets)
         if len(c.p):
             out.append((_SAMPLED, c.leading(np.arange(step // 2, len(c.p), step)).tobytes()))
         return asked(out)
@@ -247,8 +245,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         """The distinct suffixes of a chunk at repeated anchors, by bucket."""
         c = Chunk(rows, answers, length)
         name, several = c.names()
-        again = several.copy()
-        again[~several] = answered_values(name[~several], buckets, answers.get(1, {}))
+        again = several | answered_values(name, buckets, answers.get(1, {}))
         runs = np.flatnonzero(np.isin(c.gram, name[again]))
         raw = c.read.tobytes()
         index: dict[bytes, int] = {}

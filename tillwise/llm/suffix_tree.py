@@ -184,10 +184,8 @@ def smaller_ids(messages: list[bytes], window: int) -> list[bytes]:
 
 def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``text`` reduced to the kept words (one space between), ``n_words`` and ``n_removed``."""
-    taken = {"id", "n_words", "n_removed"}
+    docs = docs.drop("n_words", "n_removed")  # the new columns take these names
     names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
-    if not taken.isdisjoint(docs.columns):
-        raise ValueError(f"rename the columns {sorted(taken & set(docs.columns))}")
     given = docs.toDF(*names)
     text = names[docs.columns.index("text")]
     chunks = chunked(given.select(
@@ -200,8 +198,8 @@ def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def ask_names(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
         c = Chunk(rows, answers, window)
-        name, several = c.names()
-        out = ask_values(name[~several], buckets)
+        name, _ = c.names()  # also those it has several times: others ask for them
+        out = ask_values(name, buckets)
         if len(c.starts):
             out.append((_SAMPLED, codes(c.flat, c.starts[step // 2::step], window).tobytes()))
         return asked(out)
@@ -216,8 +214,7 @@ def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         """Distinct candidate suffixes of a chunk, by group and then by words."""
         c = Chunk(rows, answers, window)
         name, several = c.names()
-        again = several.copy()
-        again[~several] = answered_values(name[~several], buckets, answers.get(1, {}))
+        again = several | answered_values(name, buckets, answers.get(1, {}))
         at = c.candidates(name[again])
         whole = np.zeros(len(at), np.uint64)
         for j in range(window):
