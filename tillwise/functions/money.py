@@ -1,4 +1,4 @@
-"""Order-independent money arithmetic.
+"""Order-independent money arithmetic and exact sums.
 
 Floating sums depend on the order rows meet, which differs between runs,
 partitionings and engines.  Money is therefore summed as whole cents in a
@@ -6,6 +6,11 @@ partitionings and engines.  Money is therefore summed as whole cents in a
 the end.  Rounding to cents is half-up on the double value,
 ``floor(x * 100 + 0.5)``: each step is one IEEE operation, so any engine
 produces the same cents for the same input.
+
+Averages (prices, discounts, scores, window frames) are not money totals:
+their inputs keep their own precision.  ``exact_sum`` adds values as
+DECIMAL(38,12), which is as independent of order and holds every value of up
+to 12 decimals as it is written.
 """
 
 from __future__ import annotations
@@ -27,26 +32,29 @@ def cents(col) -> Column:
     return to_units(col, 2)
 
 
-def units_sum(col, scale: int = 2) -> Column:
-    """Exact sum of a double column at fixed precision, as double."""
-    return F.sum(to_units(col, scale)).cast("double") / (10 ** scale)
+# Exact for values with up to 12 decimals and sums below 1e26.
+EXACT = "decimal(38,12)"
 
 
-def money_sum(col) -> Column:
-    return units_sum(col, 2)
+def exact(col) -> Column:
+    """The value as a decimal, digit for digit."""
+    return _c(col).cast(EXACT)
 
 
-def units_avg(col, scale: int = 2) -> Column:
-    return units_sum(col, scale) / F.count(_c(col))
+def exact_sum(col) -> Column:
+    return F.sum(exact(col)).cast("double")
 
 
-def money_avg(col) -> Column:
-    return units_avg(col, 2)
+def exact_avg(col) -> Column:
+    """Mean of a double column from its exact sum; null without values."""
+    return F.try_divide(exact_sum(col), F.count(_c(col)))
 
 
-def sum_cents(col) -> Column:
-    """Partial aggregate: sum of cents as long (for pre-aggregation)."""
-    return F.sum(cents(col))
+def finite(col) -> Column:
+    """The value, or null where it is NaN or infinite (neither is a price,
+    an amount, a discount or a score)."""
+    c = _c(col)
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def cents_to_money(col) -> Column:

@@ -40,7 +40,3 @@ def upper_column(df: DataFrame, col: str) -> DataFrame:
 def joined_label(sep: str, *cols) -> Column:
     """``concat_ws``: nulls are skipped, never turn the whole label null."""
     return F.concat_ws(sep, *[_c(c) for c in cols])
-
-
-def contains_like(col, pattern: str) -> Column:
-    return _c(col).like(pattern)

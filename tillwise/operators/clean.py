@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import within_months
-from ..functions.money import to_units, units_avg
+from ..functions.money import exact_avg, finite
 from ..functions.text import joined_label
 from ..sources.scan import stamp_ingest_date
 
@@ -20,6 +20,13 @@ from ..sources.scan import stamp_ingest_date
 NORTHEAST_SPELLINGS = ("north-east", "ne")
 NORTHEAST_LABEL = "Northeast"
 
+# Thresholds of the flags and bands.
+HIGH_DISCOUNT = 20.0  # percent, from here on 'H'
+LOW_PRICE_TO = 400.00  # 'Low' up to here
+MEDIUM_PRICE = (399.99, 699.99)  # 'Medium' within, both ends included
+HIGH_PRICE_FROM = 700.00  # 'High' from here on
+CRITICAL_STOCK_PERCENT = 50.0  # below: 'L'
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -57,8 +64,8 @@ def dedup_latest(df: DataFrame, keys: list[str], prefer: list[str],
 
 
 def keep_valid_amount(df: DataFrame, col: str = "total_amount") -> DataFrame:
-    """Amount present and positive."""
-    return df.where(F.col(col).isNotNull() & (F.col(col) > 0))
+    """Amount present, positive and finite (NaN is no amount)."""
+    return df.where(finite(col) > 0)
 
 
 def drop_null(df: DataFrame, col: str) -> DataFrame:
@@ -75,7 +82,7 @@ def recent(df: DataFrame, date_col: str, as_of, months: int = 36) -> DataFrame:
 
 # ---------------------------------------------------------------- flags and bands
 
-def discount_flag(col="discount", threshold: float = 20.0) -> Column:
+def discount_flag(col="discount", threshold: float = HIGH_DISCOUNT) -> Column:
     """'L' below the threshold, 'H' at or above it, null stays null."""
     c = _c(col)
     return (F.when(c < threshold, "L").when(c >= threshold, "H")
@@ -86,13 +93,13 @@ def price_band(col="base_price") -> Column:
     """Low <= 400; Medium in [399.99, 699.99]; High >= 700; anything else
     (the gap (699.99, 700) and null) keeps its price as text."""
     c = _c(col)
-    return (F.when(c <= 400.00, "Low")
-             .when(c.between(399.99, 699.99), "Medium")
-             .when(c >= 700.00, "High")
+    return (F.when(c <= LOW_PRICE_TO, "Low")
+             .when(c.between(*MEDIUM_PRICE), "Medium")
+             .when(c >= HIGH_PRICE_FROM, "High")
              .otherwise(c.cast("string")))
 
 
-def stock_flag(col="quantity_percent", threshold: float = 50.0) -> Column:
+def stock_flag(col="quantity_percent", threshold: float = CRITICAL_STOCK_PERCENT) -> Column:
     c = _c(col)
     return (F.when(c < threshold, "L").when(c >= threshold, "H")
              .otherwise(c.cast("string")))
@@ -136,14 +143,14 @@ def _fill_missing(df: DataFrame, col: str, fills: DataFrame, keys: list[str],
     return known.unionByName(filled)
 
 
-def impute_group_mean(df: DataFrame, col: str, group: str, scale: int = 2) -> DataFrame:
+def impute_group_mean(df: DataFrame, col: str, group: str) -> DataFrame:
     """Null ``col`` -> mean of ``col`` over rows with the same ``group``.
 
-    The mean is summed at fixed precision (``scale`` decimals), so it does
+    The mean comes from an exact sum of the values as they are, so it does
     not depend on row order.  A group with no value stays null.
     """
     means = (df.where(F.col(col).isNotNull()).groupBy(group)
-               .agg(units_avg(col, scale).alias("_mean")))
+               .agg(exact_avg(col).alias("_mean")))
     return _fill_missing(df, col, means, [group], "_mean")
 
 
@@ -184,21 +191,18 @@ def supplier_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame
                               .agg(F.count_distinct("product_id").alias("product_count")))
     scores = (suppliers.where(F.col("reliability_score").isNotNull())
                        .groupBy("supplier_id")
-                       .agg(units_avg("reliability_score", 2).alias("weighted_sum")))
+                       .agg(exact_avg("reliability_score").alias("mean_score")))
     return (scores.join(product_counts, "supplier_id")
                   .withColumn("weighted_avg_reliability_score",
-                              F.col("weighted_sum") / F.col("product_count")))
+                              F.col("mean_score") / F.col("product_count")))
 
 
-def impute_reliability(suppliers: DataFrame, products: DataFrame,
-                       scale: int = 12) -> DataFrame:
+def impute_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame:
     """Add ``imputed_reliability_score``: the score, or when missing the mean
     of the per-supplier weighted averages (one scalar over all suppliers)."""
     weighted = supplier_reliability(suppliers, products)
-    mean_units = F.sum(to_units("weighted_avg_reliability_score", scale)).cast("double")
     global_mean = weighted.agg(
-        (mean_units / (10 ** scale) / F.count("weighted_avg_reliability_score"))
-        .alias("m")).scalar()
+        exact_avg("weighted_avg_reliability_score").alias("m")).scalar()
     return suppliers.withColumn(
         "imputed_reliability_score",
         F.coalesce(F.col("reliability_score"), global_mean))
@@ -218,9 +222,14 @@ def clean_transactions(raw: DataFrame, ingest_date) -> DataFrame:
 
 def clean_items(raw: DataFrame, ingest_date) -> DataFrame:
     """Impute unit_price by product mean; flag high discounts."""
-    imputed = impute_group_mean(stamp_ingest_date(raw, ingest_date),
-                                "unit_price", "product_id")
-    return imputed.withColumn("high_discount_flag", discount_flag("discount"))
+    return impute_group_mean(stamped_items(raw, ingest_date), "unit_price", "product_id")
+
+
+def stamped_items(raw: DataFrame, ingest_date) -> DataFrame:
+    """Lines without price imputation, for results that read no price."""
+    return (stamp_ingest_date(raw, ingest_date)
+            .withColumns({"unit_price": finite("unit_price"), "discount": finite("discount")})
+            .withColumn("high_discount_flag", discount_flag("discount")))
 
 
 def clean_stores(raw: DataFrame, ingest_date) -> DataFrame:
@@ -230,15 +239,26 @@ def clean_stores(raw: DataFrame, ingest_date) -> DataFrame:
     })
 
 
-def clean_customers(raw: DataFrame, transactions: DataFrame, ingest_date,
-                    as_of, months: int = 36) -> DataFrame:
-    """Customers with at least one transaction in the last ``months`` months
-    of ``as_of`` (one row per customer), with the signup year."""
+def recent_transactions(raw: DataFrame, ingest_date, as_of, months: int = 36) -> DataFrame:
+    """``clean_transactions`` limited to the last ``months`` months.
+
+    The survivor of a duplicated transaction has the greatest date, so the
+    date filter gives the same rows below the dedup, where it reaches the
+    scan."""
+    return clean_transactions(recent(raw, "transaction_date", as_of, months), ingest_date)
+
+
+def clean_customers(raw: DataFrame, recent_tx: DataFrame, ingest_date) -> DataFrame:
+    """Customers with at least one of the recent transactions (one row per
+    customer), with the signup year."""
     # distinct ids: a customer with a huge share of transactions is one row
-    active = recent(transactions, "transaction_date", as_of, months).select("customer_id").distinct()
-    return (stamp_ingest_date(raw, ingest_date)
-            .join(active, "customer_id", "left_semi")
-            .withColumn("year", F.year("signup_date")))
+    active = recent_tx.select("customer_id").distinct()
+    return (dated_customers(raw, ingest_date)
+            .join(active, "customer_id", "left_semi"))
+
+
+def dated_customers(raw: DataFrame, ingest_date) -> DataFrame:
+    return stamp_ingest_date(raw, ingest_date).withColumn("year", F.year("signup_date"))
 
 
 def clean_products(raw: DataFrame, ingest_date) -> DataFrame:
@@ -256,4 +276,5 @@ def clean_promotions(raw: DataFrame, ingest_date) -> DataFrame:
 
 
 def clean_suppliers(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date)
+    return stamp_ingest_date(raw, ingest_date).withColumn(
+        "reliability_score", finite("reliability_score"))

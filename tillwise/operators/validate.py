@@ -76,12 +76,22 @@ def invalid_store_sizes(stores: DataFrame, col: str = "size") -> DataFrame:
     return stores.where(~F.coalesce(F.col(col).isin(*ACCEPTED_SIZES), F.lit(False)))
 
 
-def validation_summary(rules: dict[str, DataFrame]) -> DataFrame:
+def inventory_counts(inventory: DataFrame, stores: DataFrame) -> DataFrame:
+    """(rule, violations) of both inventory rules from one pass over it."""
+    keys = stores.select(F.col("store_id").alias("_ref_key")).distinct()
+    both = inventory.join(keys, inventory["store_id"] == keys["_ref_key"], "left").agg(
+        F.count(F.when(F.col("_ref_key").isNull(), 1)).alias("inventory_store"),
+        F.count(F.when(F.col("quantity") < 0, 1)).alias("negative_quantity"))
+    return both.unpivot([], ["inventory_store", "negative_quantity"], "rule", "violations")
+
+
+def validation_summary(rules: dict[str, DataFrame], counted: list[DataFrame] = ()) -> DataFrame:
     """One row per rule: (rule, violations).  Each count is a partial
-    aggregate of its own rule; the union holds one row per rule."""
+    aggregate of its own rule; the union holds one row per rule.  ``counted``
+    are frames of such rows already."""
     frames = [df.agg(F.count(F.lit(1)).alias("violations"))
                 .select(F.lit(name).alias("rule"), "violations")
-              for name, df in rules.items()]
+              for name, df in rules.items()] + list(counted)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
