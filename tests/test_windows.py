@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tillwise.functions.money import to_units
+from tillwise.functions.money import exact
 from tillwise.operators import windows
 
 
@@ -19,14 +19,15 @@ def sales(spark):
     for i in range(400):
         store = rnd.choice([1, 1, 1, 2, 3])          # store 1 is hot
         day = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 40))
-        amount = None if i % 37 == 0 else round(rnd.uniform(1, 500), 2)
+        amount = None if i % 37 == 0 else round(rnd.uniform(1, 500), rnd.choice([0, 2, 5]))
         data.append((i, store, day, amount))
     return spark.createDataFrame(
         data, "transaction_id long, store_id int, transaction_date date, total_amount double")
 
 
 def _exact_avg(w):
-    return F.try_divide(F.sum(to_units("total_amount")).over(w).cast("double") / 100,
+    # plain: the mean of the values as they are
+    return F.try_divide(F.sum(F.col("total_amount").cast("decimal(30,10)")).over(w).cast("double"),
                         F.count("total_amount").over(w))
 
 
@@ -59,12 +60,15 @@ def test_rolling_days_matches_range_window(sales):
 def test_window_aggregate_matches_default_frame(sales, func):
     got = windows.window_aggregate(sales, "store_id", "transaction_date", func,
                                    "total_amount", "v")
+    split = windows.window_aggregate(sales, "store_id", "transaction_date", func,
+                                     "total_amount", "v", target_rows=3)
     func = "avg" if func == "Average" else func
     w = Window.partitionBy("store_id").orderBy("transaction_date")
-    units = F.sum(to_units("total_amount")).over(w).cast("double") / 100
+    units = F.sum(exact("total_amount")).over(w).cast("double")
     expr = {"avg": _exact_avg(w), "sum": units, "count": F.count("total_amount").over(w)}[func]
     want = sales.withColumn("v", expr)
     assert rows(got, "transaction_id", "v") == rows(want, "transaction_id", "v")
+    assert rows(split, "transaction_id", "v") == rows(want, "transaction_id", "v")
 
 
 def test_window_aggregate_unknown_function(sales):
@@ -82,13 +86,13 @@ def test_number_rows_is_dense_per_key(sales):
 
 
 @pytest.mark.parametrize("target_rows", [1, 3, 10, 1 << 20])
-def test_number_rows_with_id_subranges_is_exact(sales, target_rows):
+def test_number_rows_in_chunks_is_exact(sales, target_rows):
     got = windows.number_rows(sales, ["store_id"], ["transaction_date", "transaction_id"],
                               "rn", target_rows=target_rows)
     w = Window.partitionBy("store_id").orderBy("transaction_date", "transaction_id")
     want = sales.withColumn("rn", F.row_number().over(w) - 1)
     assert rows(got, "transaction_id", "rn") == rows(want, "transaction_id", "rn")
-    assert "_sub" not in got.columns
+    assert got.columns == sales.columns + ["rn"]
 
 
 @pytest.mark.parametrize("target_rows,bucket_rows", [(2, 7), (5, 33)])
@@ -100,3 +104,38 @@ def test_rolling_rows_with_split_days(sales, target_rows, bucket_rows):
                .rowsBetween(-6, 0))
     want = sales.withColumn("v", _exact_avg(w))
     assert rows(got, "transaction_id", "v") == rows(want, "transaction_id", "v")
+
+
+_IDS = {
+    "outlier": ("long", lambda i: i if i else 1 << 60),
+    "wide": ("long", lambda i: (1 << 62) + i * (1 << 49) - (1 << 61)),
+    "text": ("string", lambda i: f"id-{i:07d}"),
+    "dense": ("long", lambda i: i),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(_IDS))
+def test_chunks_of_a_hot_key_are_bounded_whatever_the_ids(spark, kind):
+    """One store, one day: only the ids can split it."""
+    dtype, make = _IDS[kind]
+    n, target = 6000, 400
+    df = spark.createDataFrame([(make(i), 1, dt.date(2020, 1, 1), i % 7 / 8) for i in range(n)],
+                               f"id {dtype}, store int, day date, v double")
+    chunks = windows.with_chunks(df, ["store"], ["day", "id"], target).groupBy("_p", "_chunk").count().collect()
+    assert max(r["count"] for r in chunks) <= 3 * target and len(chunks) >= n / target / 3
+    got = windows.number_rows(df, ["store"], ["day", "id"], "rn", target_rows=target)
+    ordered = sorted(make(i) for i in range(n))
+    assert [r["id"] for r in got.orderBy("rn").select("id").collect()] == ordered
+    got = windows.rolling_rows(df, "store", ["day", "id"], "v", 6, "sum", "s", bucket_rows=500, target_rows=target)
+    w = Window.partitionBy("store").orderBy("day", "id").rowsBetween(-6, 0)
+    assert rows(got, "id", "s") == rows(df.withColumn("s", F.sum("v").over(w)), "id", "s")
+
+
+def test_running_sum_over_a_unique_order_column(spark):
+    n, target = 6000, 400
+    df = spark.createDataFrame([(i * 1000, 1 if i % 3 else None, 0.25) for i in range(n)], "at long, store int, v double")
+    chunks = windows.with_chunks(df, ["store"], ["at"], target).groupBy("_p", "_chunk").count().collect()
+    assert max(r["count"] for r in chunks) <= 3 * target
+    got = windows.window_aggregate(df, "store", "at", "sum", "v", "s", target_rows=target)
+    w = Window.partitionBy("store").orderBy("at")
+    assert rows(got, "at", "s") == rows(df.withColumn("s", F.sum("v").over(w)), "at", "s")

@@ -2,34 +2,37 @@
 
 A plain ``Window.partitionBy(store)`` sends every row of a store to one
 task; with a few dozen stores (one of which may hold a third of the rows)
-that caps parallelism.  The operators here reduce first:
-
+that caps parallelism.  Here a key's rows are first cut into chunks along the
+window's order, each of about ``target_rows`` rows:
+
+* the cuts are order values themselves, taken from a sample chosen by a hash
+  of the value, so they are a function of the data alone (a plan that reads
+  the rows twice cuts them alike), and they follow the rows' distribution,
+  whatever the type of the order columns: no arithmetic on ids;
+* a running result is the one within the chunk plus the total of the chunks
+  before it, which comes from one row per chunk;
 * running and day-range frames are computed on a (key, order value) grain
-  aggregate, whose size is bounded by the number of distinct order values
-  (e.g. calendar days), then joined back to the rows;
-* the row frame (current row and N preceding rows) numbers rows per key
-  from per-day counts, cuts each key into fixed-size buckets, copies the
-  last N rows of every bucket into the next one as a halo, and evaluates
-  the frame inside (key, bucket) partitions, whose size is bounded.
-
-Row numbering splits a hot day by id value ranges derived from exact
-aggregates, not by range partitioning: range bounds come from sampling, and
-a plan that reads the rows twice (counts and join back) would sample twice
-over rows whose order may differ, so the two sides could disagree.
+  aggregate and joined back to the rows;
+* the row frame (current row and N preceding rows) numbers rows per key,
+  cuts each key into fixed-size buckets, copies the last N rows of every
+  bucket into the next one as a halo, and evaluates the frame inside
+  (key, bucket) partitions, whose size is bounded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.money import to_units
+from ..functions.money import exact
 
 _FUNCS = ("avg", "sum", "count")
 # Accepted spellings of the aggregate names.
 _ALIASES = {"average": "avg", "mean": "avg", "avg": "avg", "sum": "sum", "count": "count"}
 
+TARGET_ROWS = 1 << 20
+_SAMPLED = 16  # sampled order values per chunk
+
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
                     how: str = "inner") -> DataFrame:
@@ -43,105 +46,124 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(r, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def _finish(func: str, units: Column, count: Column, scale: int) -> Column:
-    total = units.cast("double") / (10 ** scale)
+def with_chunks(df: DataFrame, partition: list[str], order: list[str],
+                target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Add ``_p`` (the key) and ``_chunk``, which rises with ``order`` within a
+    key; a chunk holds about ``target_rows`` rows, apart from equal rows.
+
+    One order value in ``target_rows / 16`` is sampled, and every 16th of a
+    key's sampled values starts a chunk.  All cuts together are one scalar
+    (a map from key to its cuts): about one value per ``target_rows`` rows of
+    the whole table, evaluated once, and no join or shuffle of the rows."""
+    key, place = F.xxhash64(*partition), F.struct(*order)
+    every = max(1, target_rows // _SAMPLED)
+    step = _SAMPLED if target_rows >= _SAMPLED else max(1, target_rows)
+    # a hash of its own for the sample: not the one that deals rows to tasks
+    sampled = df.where(F.pmod(F.xxhash64(F.lit("sample"), *order), F.lit(every)) == 0)
+    cuts = (sampled.groupBy(key.alias("k")).agg(F.array_sort(F.collect_set(place)).alias("v"))
+            .select("k", F.filter("v", lambda x, i: i % step == step - 1).alias("v"))
+            .where(F.size("v") > 0))
+    cuts = cuts.agg(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar()
+    return (df.withColumn("_cuts", F.try_element_at(cuts, key))
+            .withColumns({"_p": F.struct(*partition),
+                          "_chunk": F.coalesce(F.size(F.filter("_cuts", lambda c: c <= place)), F.lit(0))})
+            .drop("_cuts"))
+
+
+def prefix_sums(df: DataFrame, partition: list[str], order: list[str], cols: list[str],
+                target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Add ``<col>_upto`` (sum of ``col`` over the key's rows up to this one in
+    ``order``, which must be unique within the key) and ``<col>_total``."""
+    d = with_chunks(df, partition, order, target_rows)
+    totals = d.groupBy("_p", "_chunk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    chunks = Window.partitionBy("_p").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("_p")
+    before = totals.select("_p", "_chunk", *[
+        F.coalesce(F.sum(f"_t_{c}").over(chunks), F.lit(0)).alias(f"_b_{c}") for c in cols],
+        *[F.sum(f"_t_{c}").over(every).alias(f"{c}_total") for c in cols])
+    inside = (Window.partitionBy("_p", "_chunk").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumns({f"_i_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in cols})
+    # dealt like the rows, so that these stay where they are
+    return (d.join(before.repartition("_p", "_chunk"), ["_p", "_chunk"])
+            .select(*df.columns, *[(F.col(f"_b_{c}") + F.col(f"_i_{c}")).alias(f"{c}_upto") for c in cols],
+                    *[f"{c}_total" for c in cols]))
+
+
+def _finish(func: str, total: Column, count: Column) -> Column:
     if func == "sum":
-        return total
+        return F.when(count > 0, total.cast("double"))
     if func == "count":
         return count
-    return F.try_divide(total, count)
+    return F.try_divide(total.cast("double"), count)
 
 
-def window_aggregate(df: DataFrame, partition: list[str] | str, order: str, func: str,
-                     col: str, out: str | None = None, scale: int = 2) -> DataFrame:
-    """``func(col) OVER (PARTITION BY partition ORDER BY order)`` with the
-    default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with an
-    equal order value are peers).  ``func`` is avg, sum or count; sums are
-    exact at ``scale`` decimals."""
+def _known(func: str) -> str:
     func = _ALIASES.get(func.lower(), func.lower())
     if func not in _FUNCS:
         raise ValueError(f"unknown window aggregate {func!r}; expected one of "
                          f"{sorted(_ALIASES)}")
+    return func
+
+
+def _per_value(df: DataFrame, grain: list[str], col: str) -> DataFrame:
+    """One row per (key, order value): exact sum and count of ``col``."""
+    return df.groupBy(*grain).agg(F.coalesce(F.sum(exact(col)), exact(F.lit(0))).alias("_u"),
+                                  F.count(col).alias("_n"))
+
+
+def window_aggregate(df: DataFrame, partition: list[str] | str, order: str, func: str,
+                     col: str, out: str | None = None, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``func(col) OVER (PARTITION BY partition ORDER BY order)`` with the
+    default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with an
+    equal order value are peers).  ``func`` is avg, sum or count; sums are
+    exact (see ``functions.money``)."""
+    func = _known(func)
     partition = [partition] if isinstance(partition, str) else list(partition)
     grain = partition + [order]
-    per_value = df.groupBy(*grain).agg(F.sum(to_units(col, scale)).alias("_u"),
-                                       F.count(col).alias("_n"))
-    w = (Window.partitionBy(*partition).orderBy(order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = per_value.select(
-        *grain, _finish(func, F.sum("_u").over(w), F.sum("_n").over(w), scale)
-        .alias(out or func))
+    sums = prefix_sums(_per_value(df, grain, col), partition, [order], ["_u", "_n"], target_rows)
+    running = sums.select(*grain, _finish(func, F.col("_u_upto"), F.col("_n_upto")).alias(out or func))
     return _null_safe_join(df, running, grain, "left")
 
 
 def rolling_days(df: DataFrame, partition: list[str] | str, date_col: str, col: str,
-                 days: int = 7, func: str = "avg", out: str | None = None,
-                 scale: int = 2) -> DataFrame:
+                 days: int = 7, func: str = "avg", out: str | None = None) -> DataFrame:
     """``func(col)`` over the ``days`` calendar days ending on each row's date
-    (RANGE BETWEEN days-1 PRECEDING AND CURRENT ROW on the date)."""
+    (RANGE BETWEEN days-1 PRECEDING AND CURRENT ROW on the date).  The window
+    runs over one row per (key, day): a key has as many as the calendar."""
+    func = _known(func)
     partition = [partition] if isinstance(partition, str) else list(partition)
     grain = partition + [date_col]
-    per_day = df.groupBy(*grain).agg(F.sum(to_units(col, scale)).alias("_u"),
-                                     F.count(col).alias("_n"))
     w = (Window.partitionBy(*partition).orderBy(F.unix_date(F.col(date_col)))
                .rangeBetween(-(days - 1), 0))
-    rolled = per_day.select(
-        *grain, _finish(func, F.sum("_u").over(w), F.sum("_n").over(w), scale)
+    rolled = _per_value(df, grain, col).select(
+        *grain, _finish(func, F.sum("_u").over(w), F.sum("_n").over(w))
         .alias(out or f"rolling_{func}_{days}d"))
     return _null_safe_join(df, rolled, grain, "left")
 
 
 def number_rows(df: DataFrame, partition: list[str], order: list[str],
-                out: str = "_rn", target_rows: int = 1 << 20) -> DataFrame:
-    """0-based row number per ``partition`` by ``order`` without a window
-    over the whole partition.
-
-    ``order[0]`` is a coarse column (a date); rows before each of its values
-    come from a cumulative count over per-value counts.  When the tie-break
-    is one integral column (an id), each (key, value) group is further cut
-    into ``ceil(rows / target_rows)`` sub-ranges of equal id width, computed
-    from exact per-group count/min/max, so a hot day of a hot store is
-    numbered by many tasks; the sub-range index is monotone in the id.  All
-    steps are deterministic functions of the data (no sampling).
-    """
-    head, tail = order[0], list(order[1:])
-    grain = list(partition) + [head]
-    ranged = (len(tail) == 1 and
-              isinstance(df.schema[tail[0]].dataType, (T.IntegerType, T.LongType, T.ShortType)))
-    if ranged:
-        tie = tail[0]
-        stats = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_gc"),
-                                       F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
-        parts = F.greatest(F.lit(1), F.ceil(F.col("_gc") / F.lit(target_rows)))
-        stats = stats.select(*grain, "_lo", "_hi", parts.alias("_k"))
-        span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-        sub = F.when(F.col("_k") == 1, F.lit(0)).otherwise(
-            F.floor(((F.col(tie) - F.col("_lo")) * F.col("_k")).cast("double") / span))
-        tagged = (_null_safe_join(df, stats, grain, "inner")
-                  .withColumn("_sub", F.coalesce(sub, F.lit(0)).cast("long"))
-                  .drop("_lo", "_hi", "_k"))
-        fine = grain + ["_sub"]
-    else:
-        tagged, fine = df, grain
-    counts = tagged.groupBy(*fine).agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*partition).orderBy(*fine[len(partition):])
-               .rowsBetween(Window.unboundedPreceding, -1))
-    before = counts.select(*fine, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(*fine).orderBy(*(tail or [head]))
-    numbered = tagged.withColumn("_in", F.row_number().over(within))
-    out_df = (_null_safe_join(numbered, before, fine, "inner")
-              .withColumn(out, F.col("_before") + F.col("_in") - 1)
-              .drop("_before", "_in"))
-    return out_df.drop("_sub") if ranged else out_df
+                out: str = "_rn", target_rows: int = TARGET_ROWS) -> DataFrame:
+    """0-based row number per ``partition`` by ``order`` (ties in any order)
+    without a window over the whole partition: numbered within the chunks of
+    ``with_chunks``, plus the rows of the chunks before."""
+    d = with_chunks(df, partition, order, target_rows)
+    counts = d.groupBy("_p", "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    chunks = Window.partitionBy("_p").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_p", "_chunk", F.coalesce(F.sum("_c").over(chunks), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_p", "_chunk").orderBy(*order)
+    return (d.withColumn("_in", F.row_number().over(inside))
+            .join(before.repartition("_p", "_chunk"), ["_p", "_chunk"])
+            .select(*df.columns, (F.col("_before") + F.col("_in") - 1).alias(out)))
 
 
 def rolling_rows(df: DataFrame, partition: list[str] | str, order: list[str], col: str,
                  preceding: int = 6, func: str = "avg", out: str | None = None,
-                 scale: int = 2, bucket_rows: int = 1 << 20,
-                 target_rows: int = 1 << 20) -> DataFrame:
+                 bucket_rows: int = 1 << 20, target_rows: int = TARGET_ROWS) -> DataFrame:
     """``func(col)`` over the current row and ``preceding`` rows before it
     (ROWS BETWEEN preceding PRECEDING AND CURRENT ROW) per ``partition``,
     ordered by ``order`` (make it total, e.g. date then id)."""
+    func = _known(func)
     partition = [partition] if isinstance(partition, str) else list(partition)
     if bucket_rows <= preceding:
         raise ValueError("bucket_rows must exceed the frame length")
@@ -155,7 +177,7 @@ def rolling_rows(df: DataFrame, partition: list[str] | str, order: list[str], co
                    .otherwise(F.array(F.col("_home"))))))
     w = (Window.partitionBy(*partition, "_bucket").orderBy("_rn")
                .rowsBetween(-preceding, Window.currentRow))
-    value = _finish(func, F.sum(to_units(col, scale)).over(w), F.count(col).over(w), scale)
+    value = _finish(func, F.sum(exact(col)).over(w), F.count(col).over(w))
     return (spread.withColumn(out or f"rolling_{func}_{preceding + 1}_rows", value)
                   .where(F.col("_bucket") == F.col("_home"))
                   .drop("_rn", "_home", "_bucket"))
