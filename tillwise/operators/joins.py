@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import within_months
 from ..functions.money import cents, cents_to_money
-from .clean import line_revenue, recent
+from .clean import line_revenue
 
 
 def key_set(df: DataFrame, *cols: str) -> DataFrame:
@@ -61,10 +62,10 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000,
     """``dim`` with a broadcast hint when it has at most ``max_rows`` rows and
     at most ``max_bytes`` bytes in Spark's row format.
 
-    The check is one job over at most ``max_rows + 1`` rows that measures
-    both bounds, so it is cheap whatever the size; a larger frame is returned
+    The check is one job while the plan is built: a partial aggregate of
+    both measures, so each task sends one row.  A larger frame is returned
     unhinted and its joins are planned from measured sizes by AQE."""
-    n, size = dim.limit(max_rows + 1).agg(
+    n, size = dim.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(dim)), F.lit(0))).first()
     return F.broadcast(dim) if n <= max_rows and size <= max_bytes else dim
 
@@ -145,23 +146,26 @@ def stockouts(inventory: DataFrame, stores: DataFrame) -> DataFrame:
     return joined.withColumn("stock_out", flag).where(F.col("stock_out"))
 
 
-def segment_revenue(customers: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Revenue per customer segment, each transaction counted once, highest
-    first.  Transactions are summed per customer before the customer join."""
-    per_customer = transactions.groupBy("customer_id").agg(
-        F.sum(cents("total_amount")).alias("_cents"))
+def segment_revenue(customers: DataFrame, transactions: DataFrame, as_of,
+                    months: int = 36) -> DataFrame:
+    """Revenue per segment of the customers with a transaction in the last
+    ``months`` months, each transaction counted once, highest first.
+
+    Transactions are summed per customer before the customer join; the same
+    aggregate's last date tells who is recent, so no second join does."""
+    per_customer = (transactions.groupBy("customer_id")
+                    .agg(F.sum(cents("total_amount")).alias("_cents"),
+                         F.max("transaction_date").alias("_last"))
+                    .where(within_months("_last", as_of, months)))
     return (per_customer.join(customers.select("customer_id", "segment"), "customer_id")
                         .groupBy("segment").agg(F.sum("_cents").alias("_cents"))
                         .select("segment", cents_to_money("_cents").alias("total_revenue"))
                         .orderBy(F.desc("total_revenue"), F.asc("segment")))
 
 
-def recent_customer_transactions(customers: DataFrame, transactions: DataFrame,
-                                 as_of, months: int = 36) -> DataFrame:
-    """Customer x transaction rows for transactions in the last ``months``."""
-    tx = recent(transactions, "transaction_date", as_of, months).select(
-        "customer_id", "transaction_id")
-    return (customers.join(tx, "customer_id")
+def customer_transactions(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Customer x transaction rows of the given (recent) transactions."""
+    return (customers.join(transactions.select("customer_id", "transaction_id"), "customer_id")
                      .select("customer_id", "signup_date", "segment", "demographics",
                              "transaction_id")
                      .withColumn("year", F.year("signup_date")))

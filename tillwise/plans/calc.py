@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import year_month
+from ..functions.dates import within_months, year_month
 from ..functions.money import cents, cents_to_money
 from ..operators.clean import line_revenue
+from ..operators.windows import prefix_sums
 
 
-def retention(customers: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Share of customers with a transaction on or after their signup date.
+def retention(customers: DataFrame, transactions: DataFrame, as_of,
+              months: int = 36) -> DataFrame:
+    """Of the customers with a transaction in the last ``months`` months, the
+    share with one on or after their signup date.
 
     Transactions are reduced to each customer's last date before the join,
-    so the fact table never meets the customer table row by row."""
-    last = transactions.groupBy("customer_id").agg(F.max("transaction_date").alias("_last"))
-    joined = customers.select("customer_id", "signup_date").join(last, "customer_id", "left")
+    which answers both questions, so the fact table never meets the customer
+    table row by row."""
+    last = (transactions.groupBy("customer_id").agg(F.max("transaction_date").alias("_last"))
+            .where(within_months("_last", as_of, months)))
+    joined = customers.select("customer_id", "signup_date").join(last, "customer_id")
     active = F.count_distinct(
         F.when(F.col("_last") >= F.col("signup_date"), F.col("customer_id")))
     total = F.count_distinct("customer_id")
@@ -68,18 +73,17 @@ def supplier_rank(suppliers: DataFrame, ascending: bool = True,
     """rank() of suppliers per country by reliability score (ascending with
     nulls first by default, as rank 1 = least reliable).
 
-    rank = 1 + number of suppliers of the country ordered strictly before.
-    Counted on one row per (country, score) and joined back, so a country
-    holding most suppliers is still ranked in parallel."""
+    rank = 1 + number of suppliers of the country ordered strictly before:
+    prefix sums over one row per (country, score), cut into chunks of bounded
+    size, and joined back."""
     counts = suppliers.groupBy("country", "reliability_score").agg(
         F.count(F.lit(1)).alias("_n"))
-    order = (F.col("reliability_score").asc_nulls_first() if ascending
-             else F.col("reliability_score").desc_nulls_last())
-    w = (Window.partitionBy("country").orderBy(order)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(
+    sums = prefix_sums(counts, ["country"], ["reliability_score"], ["_n"])
+    # scores rise with nulls first; seen from the other end, nulls are last
+    ahead = F.col("_n_upto") - F.col("_n") if ascending else F.col("_n_total") - F.col("_n_upto")
+    ranks = sums.select(
         F.col("country").alias("_country"), F.col("reliability_score").alias("_score"),
-        (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int").alias(out))
+        (ahead + 1).cast("int").alias(out))
     cond = (suppliers["country"].eqNullSafe(ranks["_country"])
             & suppliers["reliability_score"].eqNullSafe(ranks["_score"]))
     return suppliers.join(ranks, cond, "left").drop("_country", "_score")

@@ -8,8 +8,7 @@ whose column names match the oracle SQL of the same key.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from ..session import shared_path
 from ..sources import testdata
 from ..sources.scan import read_dataset, stamp_ingest_date, write_snapshot
 from . import calc, reports
-from .retail import AS_OF, INGEST_DATE, Retail
+from .retail import INGEST_DATE, Retail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # The same queries as functions of a snapshot (any Retail: driver tables,
@@ -56,12 +55,12 @@ def growth_start_month(as_of) -> str:
     return _months_before(str(as_of), 6)
 
 
-GROWTH_START_MONTH = growth_start_month(AS_OF)
-
-
-def _landing_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return shared_path(spark, "tillwise-landing", tag)
+def _landed(spark: SparkSession, sf_dir: str, name: str, fmt: str) -> DataFrame:
+    """Land one raw dataset as a dated snapshot in a folder of its own and scan
+    it back: no later call writes where this handle reads."""
+    root = shared_path(spark, "tillwise-landing", uuid.uuid4().hex)
+    write_snapshot(testdata.derive(spark, sf_dir, name), root, name, INGEST_DATE, fmt)
+    return read_dataset(spark, root, name, INGEST_DATE, fmt)
 
 
 # ------------------------------------------------------------------ sources
@@ -69,19 +68,20 @@ def _landing_root(spark: SparkSession, sf_dir: str) -> str:
 @query("src_dated_scan")
 def _src_dated_scan(spark, sf_dir):
     """Land the raw transactions as a dated CSV snapshot, scan it back."""
-    root = _landing_root(spark, sf_dir)
-    write_snapshot(testdata.derive(spark, sf_dir, "transactions"), root,
-                   "transactions", INGEST_DATE, "csv")
-    return read_dataset(spark, root, "transactions", INGEST_DATE, "csv")
+    return _landed(spark, sf_dir, "transactions", "csv")
 
 
 @query("src_ingest_date")
 def _src_ingest_date(spark, sf_dir):
-    root = _landing_root(spark, sf_dir)
-    write_snapshot(testdata.derive(spark, sf_dir, "stores"), root, "stores",
-                   INGEST_DATE, "parquet")
-    return stamp_ingest_date(read_dataset(spark, root, "stores", INGEST_DATE, "parquet"),
-                             INGEST_DATE)
+    return stamp_ingest_date(_landed(spark, sf_dir, "stores", "parquet"), INGEST_DATE)
+
+
+def _src(name: str) -> None:
+    QUERIES[f"src_{name}"] = lambda spark, sf_dir: _landed(spark, sf_dir, name, "csv")
+
+
+for _name in ("items", "customers", "products", "inventory", "promotions", "suppliers"):
+    _src(_name)
 
 
 # ------------------------------------------------------------------ cleaning
@@ -100,7 +100,7 @@ def _valid_amount(r):
 
 @report("filter_recent_transactions")
 def _recent(r):
-    return clean.recent(r.transactions, "transaction_date", r.as_of, 36).select(
+    return r.recent_transactions.select(
         "transaction_id", "customer_id", "transaction_date", "total_amount")
 
 
@@ -223,7 +223,7 @@ def _signup_year(r):
 # ------------------------------------------------------------------ validation
 
 _RULES: dict[str, Callable[[Retail], DataFrame]] = {
-    "orphan_items": lambda r: validate.orphan_items(r.items, r.transactions),
+    "orphan_items": lambda r: validate.orphan_items(r.lines, r.transactions),
     "inventory_store": lambda r: validate.orphan_inventory(r.inventory, r.stores),
     "negative_quantity": lambda r: validate.negative_values(r.inventory, "quantity"),
     "promo_product": lambda r: validate.orphan_promotions(r.promotions, r.products),
@@ -231,13 +231,17 @@ _RULES: dict[str, Callable[[Retail], DataFrame]] = {
 }
 
 
-def _rules(r: Retail) -> dict[str, DataFrame]:
-    return {name: rule(r) for name, rule in _RULES.items()}
+def summary(r: Retail) -> DataFrame:
+    """Violations per rule; the two inventory rules share one pass."""
+    single = {name: rule(r) for name, rule in _RULES.items()
+              if name not in ("inventory_store", "negative_quantity")}
+    return validate.validation_summary(
+        single, [validate.inventory_counts(r.inventory, r.stores)])
 
 
 @report("validate_orphan_items")
 def _orphan_items(r):
-    return _RULES["orphan_items"](r).select(
+    return validate.orphan_items(r.items, r.transactions).select(
         "transaction_id", "product_id", "quantity", "unit_price", "discount")
 
 
@@ -268,7 +272,7 @@ def _store_size(r):
 
 @report("validate_summary")
 def _summary(r):
-    return validate.validation_summary(_rules(r))
+    return summary(r)
 
 
 # ------------------------------------------------------------------ joins
@@ -289,7 +293,7 @@ def _category_share(r):
 
 @report("join_promo_customers")
 def _promo_customers(r):
-    return joins.promo_customers(r.transactions, r.items, r.promotions, _named_customers(r))
+    return joins.promo_customers(r.transactions, r.lines, r.promotions, _named_customers(r))
 
 
 @report("join_region_reliability")
@@ -311,13 +315,13 @@ def _stockouts(r):
 
 @report("join_segment_revenue")
 def _segment_revenue(r):
-    return joins.segment_revenue(r.customers, r.transactions)
+    return joins.segment_revenue(r.all_customers, r.transactions, r.as_of)
 
 
 @report("join_recent_customers")
 def _recent_customers(r):
     customers = stamp_ingest_date(r.raw("customers"), r.ingest_date)
-    return joins.recent_customer_transactions(customers, r.transactions, r.as_of).select(
+    return joins.customer_transactions(customers, r.recent_transactions).select(
         "customer_id", "segment", "transaction_id", "year")
 
 
@@ -387,7 +391,7 @@ def _rolling_days(r):
 
 @report("calc_retention")
 def _retention(r):
-    return calc.retention(r.customers, r.transactions)
+    return calc.retention(r.all_customers, r.transactions, r.as_of)
 
 
 @report("calc_monthly_growth")
@@ -446,7 +450,7 @@ def _top_stores(r):
 
 @report("rep_region_dashboard")
 def _dashboard(r):
-    return reports.region_dashboard(r.stores, r.transactions, r.items, r.products)
+    return reports.region_dashboard(r.stores, r.transactions, r.lines, r.products)
 
 
 # ------------------------------------------------------------------ layout

@@ -2,33 +2,34 @@
 
     python -m tillwise.plans.job --root <landing> --date 2001-08-01 --out <dir>
 
-Reads the eight datasets of the dated snapshot (declared schemas), cleans
-them once and writes the cleaned snapshot to the shared checkpoint folder
-(lineage cut), writes the validation summary, optionally stops on the
-gated rules, then writes each report to ``<out>/<key>``.  Each write is its
-own Spark job; a failed run can be re-run as a whole, every target being
-overwritten.
+Reads the eight datasets of the dated snapshot (declared schemas) and stops,
+before anything is written, if a gated rule is violated (``--no-gates`` goes
+on).  Then it cleans the datasets once into the shared checkpoint folder
+(lineage cut) and writes the validation summary and each report to
+``<out>/<key>``.  Each write is its own Spark job; a failed run can be re-run
+as a whole, every target being overwritten.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from ..operators import validate
-from ..session import apply_scale_conf
+from ..session import apply_scale_conf, build_session
 from ..sources.scan import snapshot_dir
-from .catalog import _RULES, REPORTS, _rules
-from .retail import AS_OF, Retail
+from .catalog import _RULES, REPORTS, summary
+from .retail import Retail
 
-# Rules that stop the run in strict mode (negative stock is reported only).
+# Rules that stop the run (negative stock is reported only).
 GATED_RULES = ("orphan_items", "inventory_store", "promo_product")
 
 
 def run_reports(retail: Retail, out: str, keys: list[str] | None = None,
-                strict: bool = False, materialize: bool = True,
+                gates: bool = True, materialize: bool = True,
                 fmt: str = "parquet") -> dict[str, str]:
+    if gates:
+        for rule in GATED_RULES:
+            validate.require_empty(_RULES[rule](retail), rule)
     r = retail.materialize() if materialize else retail
     targets: dict[str, str] = {}
 
@@ -37,10 +38,7 @@ def run_reports(retail: Retail, out: str, keys: list[str] | None = None,
         df.write.mode("overwrite").format(fmt).option("header", "true").save(path)
         targets[key] = path
 
-    write("validate_summary", validate.validation_summary(_rules(r)))
-    if strict:
-        for rule in GATED_RULES:
-            validate.require_empty(_RULES[rule](r), rule)
+    write("validate_summary", summary(r))
     for key in keys or list(REPORTS):
         if key == "validate_summary":
             continue
@@ -53,18 +51,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--root", required=True, help="landing folder with <yyyy-MM-dd>/<file>")
     ap.add_argument("--date", required=True, help="snapshot (ingest) date")
     ap.add_argument("--out", required=True, help="output folder for the report tables")
-    ap.add_argument("--as-of", default=AS_OF, help="reference day for 'recent' windows")
+    ap.add_argument("--as-of", help="reference day for 'recent' windows (default: --date)")
     ap.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--reports", default="", help="comma-separated keys (default: all)")
-    ap.add_argument("--strict", action="store_true", help="stop on gated rule violations")
+    ap.add_argument("--no-gates", action="store_true", help="go on when a gated rule is violated")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tillwise-daily").getOrCreate()
+    spark = build_session(app="tillwise-daily")
     # shuffle partitions sized from the snapshot's bytes (AQE coalesces down)
     apply_scale_conf(spark, snapshot_dir(args.root, args.date))
-    retail = Retail.from_landing(spark, args.root, args.date, args.as_of, args.input_format)
+    retail = Retail.from_landing(spark, args.root, args.date, args.as_of or args.date, args.input_format)
     keys = [k for k in args.reports.split(",") if k] or None
-    for key, path in run_reports(retail, args.out, keys, args.strict,
+    for key, path in run_reports(retail, args.out, keys, not args.no_gates,
                                  fmt=args.output_format).items():
         print(f"{key}\t{path}")
 

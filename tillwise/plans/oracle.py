@@ -4,7 +4,8 @@ The oracle states each result the direct way (whole-partition windows,
 EXISTS tests, joins at row grain), independent of the pre-aggregated and
 skew-safe plans the Spark side uses, so agreement checks those rewrites.
 Money is summed as integer cents, ``floor(x*100+0.5)``, exactly as on the
-Spark side.
+Spark side.  Averages and window frames take the values as they are written
+(decimals through their text), not through any rounding of ours.
 """
 
 from __future__ import annotations
@@ -24,6 +25,21 @@ def _money_sum(x: str) -> str:
     return f"cast(sum({_cents(x)}) as double)/100"
 
 
+def _exact_sum(x: str) -> str:
+    """Sum of the values digit for digit (through their shortest text), as the nearest double."""
+    digits = f"cast(cast({x} as varchar) as decimal(38,12))"
+    return f"cast(cast(sum({digits}) as varchar) as double)"
+
+
+def _exact_avg(x: str) -> str:
+    return f"{_exact_sum(x)} / count({x})"
+
+
+def _exact_over(x: str, w: str) -> str:
+    digits = f"cast(cast({x} as varchar) as decimal(38,12))"
+    return f"cast(cast(sum({digits}) over {w} as varchar) as double)"
+
+
 VIEWS: dict[str, str] = {
     # ---- raw retail datasets derived from the driver tables
     "raw_stores": """
@@ -50,11 +66,16 @@ select o_orderkey as transaction_id, cast(o_orderkey % 25 as int) as store_id,
   case when o_orderkey % 97 = 0 then null else o_totalprice end as total_amount
 from orders""",
     "raw_transactions": """
-select * from raw_tx_base union all select * from raw_tx_base where transaction_id % 50 = 0""",
+select * from raw_tx_base union all
+select transaction_id, store_id, customer_id,
+  case when transaction_id % 3 = 1 then cast(transaction_date - 1 as date) else transaction_date end,
+  case transaction_id % 3 when 1 then total_amount + 1000 when 2 then total_amount - 1
+       else total_amount end
+from raw_tx_base where transaction_id % 50 = 0""",
     "raw_items": """
 select l_orderkey as transaction_id, l_partkey as product_id, cast(l_quantity as int) as quantity,
   case when l_linenumber = 7 then null
-       else cast(floor(l_extendedprice / l_quantity) as double) end as unit_price,
+       else cast(floor(l_extendedprice / l_quantity * 1000) as double) / 1000 end as unit_price,
   case when l_returnflag='R' and l_linenumber = 1 then null
        else cast(round(l_discount*100) as double)*4 end as discount
 from lineitem""",
@@ -67,20 +88,23 @@ select p_partkey as product_id,
   p_partkey % (select count(*) from supplier) as supplier_id
 from part""",
     "raw_inventory": """
-select cast(l_suppkey % 25 as int) as store_id, l_partkey as product_id,
+select cast(l_suppkey % 27 as int) as store_id, l_partkey as product_id,
   cast(max(l_shipdate) as date) as date,
   cast(sum(l_quantity) as int) % 60 - case when l_partkey % 53 = 0 then 60 else 0 end as quantity,
   cast(l_partkey % 50 as int) as reorder_point
-from lineitem group by l_suppkey % 25, l_partkey""",
+from lineitem group by l_suppkey % 27, l_partkey""",
     "raw_promotions": """
 select p_partkey as promo_id,
-  date '1995-01-01' + cast((p_partkey*13) % 2000 as int) as start_date,
-  date '1995-01-01' + cast((p_partkey*13) % 2000 + 180 as int) as end_date,
-  p_type as discount_type, p_partkey as product_id
-from part where p_partkey % 3 = 0""",
+  date '1995-01-01' + cast(s as int) as start_date, date '1995-01-01' + cast(s + 180 as int) as end_date,
+  p_type as discount_type,
+  case when p_partkey % 7 = 0 then p_partkey + 100000000 when p_partkey % 5 = 0 then p_partkey - 1
+       else p_partkey end as product_id
+from (select *, case when p_partkey % 5 = 0 and p_partkey % 11 <> 0 then ((p_partkey - 1) * 13) % 2000 + 60
+                     else (p_partkey * 13) % 2000 + case when p_partkey % 11 = 0 then 20000 else 0 end
+                     end as s from part)""",
     "raw_suppliers": """
 select s_suppkey as supplier_id, cast(1 + (s_suppkey*7) % 30 as int) as lead_time,
-  case when s_suppkey % 7 = 3 then null else round((s_acctbal+1000)/11000*5,2) end as reliability_score,
+  case when s_suppkey % 7 = 3 then null else floor((s_acctbal+1000)/11000*50000)/10000 end as reliability_score,
   n_name as country, s_nationkey as store_id
 from supplier join nation on s_nationkey=n_nationkey""",
     # ---- cleaned datasets
@@ -94,7 +118,7 @@ select transaction_id, store_id, customer_id, transaction_date, total_amount fro
 select *, cast(month(transaction_date) as int) as month, {INGEST} as file_received_date
 from tx_dedup where total_amount is not null and total_amount > 0""",
     "item_means": f"""
-select product_id, {_money_sum('unit_price')} / count(unit_price) as mean_price
+select product_id, {_exact_avg('unit_price')} as mean_price
 from raw_items where unit_price is not null group by product_id""",
     "items_clean": f"""
 select i.transaction_id, i.product_id, i.quantity,
@@ -177,6 +201,12 @@ _W_RUN = "(partition by store_id order by transaction_date)"
 
 QUERIES: dict[str, str] = {
     "src_dated_scan": "select * from raw_transactions",
+    "src_items": "select * from raw_items",
+    "src_customers": "select * from raw_customers",
+    "src_products": "select * from raw_products",
+    "src_inventory": "select * from raw_inventory",
+    "src_promotions": "select * from raw_promotions",
+    "src_suppliers": "select * from raw_suppliers",
     "src_ingest_date": f"select *, {INGEST} as file_received_date from raw_stores",
     "clean_dedup_transactions": "select * from tx_dedup",
     "filter_valid_amount": "select * from transactions_clean",
@@ -226,11 +256,10 @@ from customers_clean""",
     "clean_impute_reliability": f"""
 with pc as (select supplier_id, count(distinct product_id) as product_count
             from products_clean group by supplier_id),
-     sc as (select supplier_id, {_money_sum('reliability_score')} / count(reliability_score) as ws
+     sc as (select supplier_id, {_exact_avg('reliability_score')} as ws
             from suppliers_clean where reliability_score is not null group by supplier_id),
      w as (select sc.ws / pc.product_count as wavg from sc join pc on sc.supplier_id = pc.supplier_id),
-     g as (select cast(sum(cast(floor(wavg*1e12+0.5) as bigint)) as double)/1e12/count(wavg) as m
-           from w)
+     g as (select {_exact_avg('wavg')} as m from w)
 select supplier_id, country, reliability_score,
   coalesce(reliability_score, (select m from g)) as imputed_reliability_score
 from suppliers_clean""",
@@ -321,12 +350,11 @@ group by size order by frequency desc, size asc limit 1""",
     "agg_distinct_rows": "select distinct * from raw_transactions",
     "window_running_avg": f"""
 select transaction_id, store_id, transaction_date,
-  cast(sum({_cents('total_amount')}) over {_W_RUN} as double)/100
-    / count(total_amount) over {_W_RUN} as running_avg
+  {_exact_over('total_amount', _W_RUN)} / count(total_amount) over {_W_RUN} as running_avg
 from transactions_clean""",
     "window_running_sum": f"""
 select transaction_id, store_id, transaction_date,
-  cast(sum({_cents('total_amount')}) over {_W_RUN} as double)/100 as running_sum
+  {_exact_over('total_amount', _W_RUN)} as running_sum
 from transactions_clean""",
     "window_running_count": f"""
 select transaction_id, store_id, transaction_date,
@@ -334,14 +362,14 @@ select transaction_id, store_id, transaction_date,
 from transactions_clean""",
     "window_rolling_7_rows": f"""
 select transaction_id, store_id, transaction_date,
-  cast(sum({_cents('total_amount')}) over w as double)/100 / count(total_amount) over w
+  {_exact_over('total_amount', 'w')} / count(total_amount) over w
     as rolling_avg_7_rows
 from transactions_clean
 window w as (partition by store_id order by transaction_date, transaction_id
              rows between 6 preceding and current row)""",
     "window_rolling_7_days": f"""
 select transaction_id, store_id, transaction_date,
-  cast(sum({_cents('total_amount')}) over w as double)/100 / count(total_amount) over w
+  {_exact_over('total_amount', 'w')} / count(total_amount) over w
     as rolling_avg_7_days
 from transactions_clean
 window w as (partition by store_id order by transaction_date
@@ -420,7 +448,7 @@ with tx as (select t.*, s.region from transactions_clean t join stores_clean s
      rev as (select region, {_money_sum('total_amount')} as total_revenue from tx group by region),
      lines as (select i.transaction_id, i.product_id, i.discount, tx.region
                from items_clean i join tx on i.transaction_id = tx.transaction_id),
-     disc as (select region, {_money_sum('discount')} / count(discount) as average_discount
+     disc as (select region, {_exact_avg('discount')} as average_discount
               from lines group by region),
      pp as (select l.region, l.product_id, p.product_name, count(l.transaction_id) as product_sales
             from lines l join products_clean p on l.product_id = p.product_id

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week, iso_week_year
-from ..functions.money import cents, cents_to_money, to_units
+from ..functions.money import cents, cents_to_money, exact
 from ..operators.clean import line_revenue
 from ..operators.intervals import merge_intervals
 from ..operators.joins import transaction_lines
@@ -141,13 +141,13 @@ def region_dashboard(stores: DataFrame, transactions: DataFrame, items: DataFram
         tx.select("transaction_id", "region"), "transaction_id")
     per_product = lines.groupBy("region", "product_id").agg(
         F.count("transaction_id").alias("product_sales"),
-        F.sum(to_units("discount")).alias("_du"),
+        F.sum(exact("discount")).alias("_du"),
         F.count("discount").alias("_dn"))
     names = products.select("product_id", "product_name", F.lit(True).alias("_known"))
     named = per_product.join(names, "product_id", "left")
     known = F.col("_known").isNotNull()
     summary = named.groupBy("region").agg(
-        F.try_divide(F.sum("_du").cast("double") / 100, F.sum("_dn")).alias("average_discount"),
+        F.try_divide(F.sum("_du").cast("double"), F.sum("_dn")).alias("average_discount"),
         F.min(F.when(known, F.struct((-F.col("product_sales")).alias("k"),
                                      F.col("product_id").alias("id"),
                                      F.col("product_name").alias("name")))).alias("_top"),

@@ -7,7 +7,7 @@ snapshot can wrap the frames they reuse in ``operators.layout.persisted``.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,11 +42,13 @@ class Retail:
         return r
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF,
-                 ingest_date=INGEST_DATE, raw: dict[str, DataFrame] | None = None):
+                 ingest_date=INGEST_DATE, raw: dict[str, DataFrame] | None = None,
+                 store_limit: int = 100_000):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.ingest_date = ingest_date
+        self.store_limit = store_limit
         self._raw = dict(raw or {})
 
     def raw(self, name: str) -> DataFrame:
@@ -58,6 +60,15 @@ class Retail:
     def transactions(self) -> DataFrame:
         return clean.clean_transactions(self.raw("transactions"), self.ingest_date)
 
+    @cached_property
+    def recent_transactions(self) -> DataFrame:
+        return clean.recent_transactions(self.raw("transactions"), self.ingest_date, self.as_of)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Item lines whose prices are as delivered, for results that read none."""
+        return clean.stamped_items(self.raw("items"), self.ingest_date)
+
     @cached_property
     def items(self) -> DataFrame:
         return clean.clean_items(self.raw("items"), self.ingest_date)
@@ -68,8 +79,13 @@ class Retail:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return clean.clean_customers(self.raw("customers"), self.transactions,
-                                     self.ingest_date, self.as_of)
+        return clean.clean_customers(self.raw("customers"), self.recent_transactions,
+                                     self.ingest_date)
+
+    @cached_property
+    def all_customers(self) -> DataFrame:
+        """Customers whether or not they bought recently."""
+        return clean.dated_customers(self.raw("customers"), self.ingest_date)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -99,7 +115,7 @@ class Retail:
         # stores is the one dimension joined everywhere: broadcast it when a
         # row-count check proves it small (AQE decides otherwise)
         raw["stores"] = broadcast_if_small(raw["stores"], store_limit)
-        return cls(spark, root, as_of, ingest_date, raw=raw)
+        return cls(spark, root, as_of, ingest_date, raw=raw, store_limit=store_limit)
 
     _CLEANED = ("transactions", "items", "stores", "customers", "products",
                 "inventory", "promotions", "suppliers")
@@ -111,12 +127,20 @@ class Retail:
         This cuts the lineage: reports run on the written tables, and an
         executor lost later costs a re-read, not a re-run of dedup and
         imputation.  The files go to the shared folder named by
-        ``spark.checkpoint.dir`` unless ``path`` is given."""
-        tag = hashlib.sha1(f"{self.sf_dir}|{self.as_of}|{self.ingest_date}".encode()).hexdigest()
-        base = path or shared_path(self.spark, "tillwise-cleaned", tag[:16])
-        out = Retail(self.spark, self.sf_dir, self.as_of, self.ingest_date, raw=self._raw)
-        for name in self._CLEANED:
+        ``spark.checkpoint.dir``, a folder of their own per call, unless
+        ``path`` (a new folder) is given."""
+        base = path or shared_path(self.spark, "tillwise-cleaned", uuid.uuid4().hex)
+        out = Retail(self.spark, self.sf_dir, self.as_of, self.ingest_date, raw=self._raw,
+                     store_limit=self.store_limit)
+        for name in self._CLEANED:  # transactions first: what follows reads the written table
             target = f"{base}/{name}"
-            getattr(self, name).write.mode("overwrite").parquet(target)
+            source = out if name in ("customers", "recent_transactions") else self
+            getattr(source, name).write.parquet(target)
             out.__dict__[name] = self.spark.read.parquet(target)
+            if name == "transactions":
+                out.__dict__["recent_transactions"] = clean.recent(
+                    out.transactions, "transaction_date", self.as_of, 36)
+            if name == "items":
+                out.__dict__["lines"] = out.items
+        out.__dict__["stores"] = broadcast_if_small(out.stores, self.store_limit)
         return out

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings that matter at cluster scale as much as on local[N]:
 #  - AQE re-plans joins from runtime sizes, coalesces small shuffle
 #    partitions and splits skewed ones (hot store / product keys).
@@ -43,7 +46,6 @@ def build_session(master: str | None = None, app: str = "tillwise",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -77,15 +79,20 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 512 << 20,
-               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+               min_partitions: int = 200, max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
     AQE can coalesce shuffle partitions and split skewed ones, but it never
     starts with more partitions than the initial count; 200 partitions over
-    100 TB would mean half-terabyte reducers.  Start from about one partition
-    per ``target_partition_bytes`` of input (clamped) and let AQE coalesce
-    toward the advisory size."""
-    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    100 TB would mean half-terabyte reducers.  Start from one partition per
+    ``target_partition_bytes`` of input and let AQE coalesce toward the
+    advisory size.  ``max_partitions`` bounds the count where a cluster needs
+    it; a warning tells when it does."""
+    n = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    if max_partitions and n > max_partitions:
+        log.warning("%d shuffle partitions wanted for %d bytes, limited to %d",
+                    n, input_bytes, max_partitions)
+        n = max_partitions
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -102,9 +109,10 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def apply_scale_conf(spark: SparkSession, path: str) -> dict[str, str]:
+def apply_scale_conf(spark: SparkSession, path: str,
+                     max_partitions: int | None = None) -> dict[str, str]:
     """Size the session's shuffles from the bytes of the input at ``path``."""
-    conf = scale_conf(input_bytes(spark, path))
+    conf = scale_conf(input_bytes(spark, path), max_partitions=max_partitions)
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
