@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 
 from conftest import rows
 from tillwise.functions.text import split_demographics
@@ -109,9 +111,38 @@ def test_recent_window(spark):
     assert rows(clean.recent(df, "d", "2001-08-01", 36)) == [(D(1998, 8, 1),), (D(2001, 8, 1),)]
 
 
-def test_line_revenue_money_is_exact(spark):
-    from tillwise.functions.money import money_sum
+def test_sums_are_exact_in_any_order(spark):
+    from tillwise.functions.money import cents, cents_to_money, exact_sum
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10, "x double")
-    assert df.agg(money_sum("x").alias("s")).first()["s"] == 3.0
-    # independent of partitioning / row order
-    assert df.repartition(7).agg(money_sum("x")).first()[0] == 3.0
+    total = cents_to_money(F.sum(cents("x")))
+    for frame in (df, df.repartition(7)):  # independent of partitioning / row order
+        assert frame.agg(total).first()[0] == 3.0 and frame.agg(exact_sum("x")).first()[0] == 3.0
+
+
+def test_averages_keep_the_inputs_digits(spark):
+    suppliers = spark.createDataFrame([(1, 0.004, "X"), (2, None, "X")],
+                                      "supplier_id long, reliability_score double, country string")
+    products = spark.createDataFrame([(10, 1)], "product_id long, supplier_id long")
+    out = dict(rows(clean.impute_reliability(suppliers, products), "supplier_id", "imputed_reliability_score"))
+    assert out == {1: 0.004, 2: 0.004}
+    lines = spark.createDataFrame([(7, 0.004), (7, None), (7, 0.005)], "product_id long, unit_price double")
+    filled = rows(clean.impute_group_mean(lines, "unit_price", "product_id"), "unit_price")
+    assert filled == [(0.004,), (0.0045,), (0.005,)]
+
+
+def test_reliability_of_millions_of_suppliers(spark):
+    ids = spark.range(2_000_000)
+    suppliers = ids.select(F.col("id").alias("supplier_id"), F.lit("X").alias("country"),
+                           F.when(F.col("id") > 0, 4.9).alias("reliability_score"))
+    products = ids.select(F.col("id").alias("product_id"), F.col("id").alias("supplier_id"))
+    out = clean.impute_reliability(suppliers, products)
+    assert abs(out.where("supplier_id = 0").first()["imputed_reliability_score"] - 4.9) < 1e-12
+
+
+def test_values_that_are_no_numbers_are_rejected(spark):
+    nan, inf = float("nan"), float("inf")
+    tx = spark.createDataFrame([(1, 1.0), (2, nan), (3, inf), (4, None), (5, -1.0)], "id int, total_amount double")
+    assert rows(clean.keep_valid_amount(tx), "id") == [(1,)]
+    items = spark.createDataFrame([(1, nan, 5.0), (1, 2.0, inf)], "product_id long, unit_price double, discount double")
+    got = rows(clean.clean_items(items, "2001-08-01"), "unit_price", "discount", "high_discount_flag")
+    assert got == [(2.0, None, None), (2.0, 5.0, "L")]

@@ -1,10 +1,13 @@
 """The daily job over a landed snapshot."""
 
+import os
+
 import pytest
 
 from conftest import SF_SMALL, rows
 from tillwise.operators.validate import DataQualityError
-from tillwise.plans.catalog import QUERIES
+from tillwise.plans import job
+from tillwise.plans.catalog import QUERIES, REPORTS
 from tillwise.plans.job import run_reports
 from tillwise.plans.retail import Retail
 from tillwise.sources import testdata, write_snapshot
@@ -22,18 +25,40 @@ def landed(spark, tmp_path_factory):
 def test_job_writes_reports_equal_to_catalog(spark, landed, scratch):
     retail = Retail.from_landing(spark, landed, "2001-08-01")
     keys = ["rep_top_stores", "rep_region_dashboard", "calc_supplier_rank"]
-    targets = run_reports(retail, f"{scratch}/out", keys,
+    targets = run_reports(retail, f"{scratch}/out", keys, gates=False,
                           materialize=True)
     assert set(targets) == set(keys) | {"validate_summary"}
     for key in keys:
         got = spark.read.parquet(targets[key])
         assert rows(got) == rows(QUERIES[key](spark, SF_SMALL)), key
     summary = dict(rows(spark.read.parquet(targets["validate_summary"]), "rule", "violations"))
-    assert summary["orphan_items"] == 67 and summary["inventory_store"] == 0
+    assert summary["orphan_items"] == 67 and summary["promo_product"] > 0
 
 
-def test_strict_job_stops_on_gated_rule(spark, landed, scratch):
+def test_gates_stop_the_job_before_it_writes(spark, landed, scratch):
     retail = Retail.from_landing(spark, landed, "2001-08-01")
     with pytest.raises(DataQualityError, match="orphan_items"):
-        run_reports(retail, f"{scratch}/out", ["rep_top_stores"], strict=True,
-                    materialize=False)
+        run_reports(retail, f"{scratch}/out", ["rep_top_stores"])
+    assert not os.path.exists(f"{scratch}/out")
+
+
+def test_job_dates_and_flags(monkeypatch, spark, landed, scratch):
+    seen = {}
+    monkeypatch.setattr(job, "run_reports", lambda r, out, keys, gates, fmt: seen.update(
+        as_of=r.as_of, gates=gates) or {})
+    monkeypatch.setattr(job, "apply_scale_conf", lambda *a: None)
+    monkeypatch.setattr(job, "build_session", lambda app: spark)
+    job.main(["--root", landed, "--date", "2001-08-01", "--out", scratch])
+    assert seen == {"as_of": "2001-08-01", "gates": True}
+    job.main(["--root", landed, "--date", "2001-08-01", "--as-of", "2000-01-31", "--out", scratch, "--no-gates"])
+    assert seen == {"as_of": "2000-01-31", "gates": False}
+
+
+def test_materialized_stores_are_broadcast_again(spark, landed):
+    out = Retail.from_landing(spark, landed, "2001-08-01").materialize()
+    plan = REPORTS["rep_weekly_revenue"](out)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    again = Retail.from_landing(spark, landed, "2001-08-01").materialize()
+    assert out.transactions.inputFiles() != again.transactions.inputFiles()
+    # customers come from the written transactions: no second dedup
+    assert out.recent_transactions.inputFiles() == out.transactions.inputFiles()

@@ -1,6 +1,7 @@
 """Snapshot sources and physical-plan properties."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -33,13 +34,59 @@ def test_snapshot_date_selects_folder(spark, scratch):
     assert stamped.select(F.countDistinct("file_received_date")).first()[0] == 1
 
 
+def _landed_retail(spark, scratch):
+    from tillwise.plans.retail import Retail
+    from tillwise.sources.schemas import DATASETS
+    for name in DATASETS:
+        write_snapshot(testdata.derive(spark, SF_SMALL, name), scratch, name, "2001-08-01", "parquet")
+    return Retail.from_landing(spark, scratch, "2001-08-01", fmt="parquet")
+
+
 def test_recent_filter_reaches_parquet_scan(spark, scratch):
-    from tillwise.operators import clean
-    write_snapshot(testdata.derive(spark, SF_SMALL, "transactions"), scratch,
-                   "transactions", "2001-08-01", "parquet")
-    tx = read_dataset(spark, scratch, "transactions", "2001-08-01", "parquet")
-    plan = _plan(clean.recent(tx, "transaction_date", "2001-08-01", 36))
-    assert "PushedFilters: [IsNotNull(transaction_date), GreaterThanOrEqual(transaction_date," in plan
+    from tillwise.plans.catalog import REPORTS
+    r = _landed_retail(spark, scratch)
+    for key in ("filter_recent_transactions", "join_recent_customers", "clean_demographics_unknown",
+                "date_signup_year", "join_promo_customers"):
+        scans = [ln for ln in _plan(REPORTS[key](r)).splitlines()
+                 if "FileScan parquet" in ln and "transaction_date" in ln]
+        assert any("GreaterThanOrEqual(transaction_date," in ln for ln in scans), key
+    # both need every transaction: still one shuffle of the dedup, no filtered branch
+    for key in ("join_segment_revenue", "calc_retention"):
+        plan = _plan(REPORTS[key](r))
+        assert len(re.findall(r"Exchange hashpartitioning\(transaction_id#\d+L?, store_id#\d+", plan)) == 1, key
+
+
+def test_no_price_is_imputed_where_none_is_read(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for key, scans in (("rep_region_dashboard", 1), ("join_promo_customers", 1), ("validate_summary", 2)):
+            plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert len([ln for ln in plan.splitlines() if "FileScan parquet" in ln and "lineitem" in ln]) <= scans, key
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_broadcast_check_sends_one_row_per_task(spark):
+    from tillwise.operators import joins
+    seen = []
+
+    class Frame:
+        def __init__(self, df):
+            self.df, self.columns, self.schema = df, df.columns, df.schema
+
+        def agg(self, *a):
+            out = self.df.agg(*a)
+            seen.append(_plan(out))
+            return out
+
+    joins.broadcast_if_small(Frame(spark.range(10).toDF("k")), max_rows=5)
+    assert "GlobalLimit" not in seen[0] and "partial_count" in seen[0]
+
+
+def test_two_landed_handles_both_read(spark):
+    a = QUERIES["src_ingest_date"](spark, SF_SMALL)
+    b = QUERIES["src_ingest_date"](spark, SF_SMALL)
+    assert a.count() == b.count() == 25
 
 
 def test_dimension_join_broadcasts_checked_stores(spark):
@@ -86,7 +133,8 @@ def test_invariants_at_small_scale(spark):
 def test_scale_conf_sizes_shuffles_from_input(spark, scratch):
     from tillwise.session import input_bytes, scale_conf
     assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "204800"
+    assert scale_conf(100 << 40, max_partitions=50_000)["spark.sql.shuffle.partitions"] == "50000"
     assert scale_conf(10 << 40)["spark.sql.shuffle.partitions"] == "20480"
     write_snapshot(testdata.derive(spark, SF_SMALL, "stores"), scratch, "stores",
                    "2001-08-01", "parquet")

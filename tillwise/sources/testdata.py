@@ -90,7 +90,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as transactions; every 50th id is delivered twice (exact copy)."""
+    """Orders as transactions; every 50th id is delivered twice: as an exact
+    copy, with a lower amount, or a day earlier with a higher amount."""
     o = _table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     copies = F.when(key % 50 == 0, 2).otherwise(1)
@@ -104,6 +105,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             copies.alias("_copies"))
           # one scan, rows repeated in place (no second scan + union)
           .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))))
+    second, third = F.col("_copy") == 2, F.col("transaction_id") % 3
+    df = df.withColumns({
+        "transaction_date": F.when(second & (third == 1), F.date_sub("transaction_date", 1))
+                             .otherwise(F.col("transaction_date")),
+        "total_amount": F.when(second & (third == 1), F.col("total_amount") + 1000)
+                         .when(second & (third == 2), F.col("total_amount") - 1)
+                         .otherwise(F.col("total_amount"))})
     return _conform(df, "transactions")
 
 
@@ -114,8 +122,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("double"))
-         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))
-                    .cast("double")).alias("unit_price"),
+         # three decimals: finer than a cent
+         .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 1000)
+                    .cast("double") / 1000).alias("unit_price"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1),
                F.lit(None).cast("double"))
          .otherwise(F.round(F.col("l_discount") * 100).cast("double") * 4)
@@ -142,7 +151,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem")
-    store = (F.col("l_suppkey") % 25).alias("_store")
+    # 25 stores exist: rows of 25 and 26 are orphans
+    store = (F.col("l_suppkey") % 27).alias("_store")
     agg = li.groupBy(store, F.col("l_partkey")).agg(
         F.max("l_shipdate").alias("_last"), F.sum("l_quantity").alias("_qty"))
     part = F.col("l_partkey")
@@ -159,15 +169,18 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    start = (key * 13) % 2000
-    # Data-model rule, not a row cap: one product in three carries a
-    # promotion, so the table stays a third of `part` at every scale factor.
-    df = p.where(key % 3 == 0).select(
+    # Every fifth promotion is on the product before (which has its own, so
+    # they overlap), every seventh on a product that does not exist, every
+    # eleventh runs in the future.
+    start = (key * 13) % 2000 + F.when(key % 11 == 0, 20_000).otherwise(0)
+    start = F.when((key % 5 == 0) & (key % 11 != 0), ((key - 1) * 13) % 2000 + 60).otherwise(start)
+    df = p.select(
         key.alias("promo_id"),
         _day("1995-01-01", start).alias("start_date"),
         _day("1995-01-01", start + 180).alias("end_date"),
         F.col("p_type").alias("discount_type"),
-        key.alias("product_id"))
+        F.when(key % 7 == 0, key + 100_000_000).when(key % 5 == 0, key - 1)
+         .otherwise(key).alias("product_id"))
     return _conform(df, "promotions")
 
 
@@ -179,7 +192,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("supplier_id"),
         (F.lit(1) + (key * 7) % 30).cast("int").alias("lead_time"),
         F.when(key % 7 == 3, F.lit(None).cast("double"))
-         .otherwise(F.round((F.col("s_acctbal") + 1000) / 11000 * 5, 2))
+         .otherwise(F.floor((F.col("s_acctbal") + 1000) / 11000 * 50000) / 10000)
          .alias("reliability_score"),
         F.col("n_name").alias("country"),
         F.col("s_nationkey").alias("store_id"))
@@ -212,6 +225,3 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = _DERIVED[key] = _BUILDERS[name](spark, sf_dir)
     return df
 
-
-def derive_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in _BUILDERS.items()}
