@@ -70,3 +70,17 @@ def test_stages_one_by_one(spark, tmp_path):
     assert abs(sum(len(r.text.encode().split()) for r in mixed) - 1.5 * words) < 0.2 * words
     assert {(r.doc_id, r.text) for r in mixed} <= {(r.doc_id, r.text) for r in cut}
     assert sorted(r.doc_id for r in packed if r.piece == 0) == sorted(r.doc_id for r in mixed)
+
+
+def test_stages_take_edge_cases_and_empty_tables(spark, docs, none, clashing, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, clashing names, no rows."""
+    for case, frame in (("none", none), ("clashing", clashing)):
+        start, sizes = frame, []
+        for name, stage in corpus_pipeline.STAGES:
+            path = os.path.join(tmp_path, case, name)
+            stage(spark, frame, SF).write.parquet(path)
+            frame = spark.read.parquet(path)
+            sizes.append(frame.count())
+            assert name == corpus_pipeline.STAGES[-1][0] or frame.columns == start.columns, (case, name)
+        assert (case == "none") == (sizes == [0] * len(sizes)), sizes
+        assert sizes[1] <= sizes[0] <= start.count() and sizes[2] == sizes[1]
