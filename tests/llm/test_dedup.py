@@ -54,17 +54,44 @@ def test_cross_pairs_alone_find_every_link(docs, monkeypatch):
                .select("set_hash", "c.*"))
     members = classes.select("id", F.explode("bands").alias("key"))
     nothing = docs.sparkSession.createDataFrame([], "id long, component long")
-    pairs = minhash.cross_pairs(members, nothing, classes, rule)
-    got = {(r.a, r.b) for r in minhash.verified(pairs, docs, rule).collect()}
+    links = minhash.cross_links(members, nothing, classes, docs, rule)
+    got = {(r.a, r.b) for r in minhash.verified(links, docs, rule).collect()}
     first = {}
     for d, t in data(docs):
         s, d = frozenset(minhash.shingles(t, rule.words)), minhash._NULL_ID if d is None else d
         if s:
             first[s] = min(d, first.get(s, d))
     reps = list(first.items())
-    assert got == {(min(a, b), max(a, b)) for i, (s, a) in enumerate(reps) for u, b in reps[:i]
-                   if 100 * len(s & u) >= 85 * len(s | u)}
-    assert got
+    want = {(min(a, b), max(a, b)) for i, (s, a) in enumerate(reps) for u, b in reps[:i]
+            if 100 * len(s & u) >= 85 * len(s | u)}
+    assert got <= want and got
+
+    def joined(links):
+        parent = {x: x for pair in want for x in pair}
+        for a, b in links:
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            parent[max(a, b)] = min(a, b)
+        roots = {}
+        for x in parent:
+            r = x
+            while parent[r] != r:
+                r = parent[r]
+            roots[x] = r
+        return roots
+
+    assert joined(got) == joined(want)  # nothing that is linked stays apart
+
+
+def test_intersections_count_shared_elements():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 30_000, rng.integers(0, 9_000)).astype(np.uint64)) for _ in range(7)]
+    got = minhash.intersections(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(7) for j in range(7) if i != j)
 
 
 def test_components_of_a_long_chain_and_a_star(spark):

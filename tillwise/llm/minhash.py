@@ -14,8 +14,9 @@ their smallest document.  Classes that agree on a band are candidates:
 1. each member of a band's bucket with the smallest member (a star: as many
    pairs as members), verified on the full sets, gives components;
 2. in buckets where more than one component remains, all pairs across
-   components, in blocks of bounded size, screened by the sketches and
-   verified likewise.
+   components are compared inside blocks of bounded size, screened by the
+   sketches and then on the sets; only links leave a block, one for each two
+   components, and are verified likewise.
 
 So large groups of near copies never become all pairs, and no candidate pair
 is left out.  With the defaults a link at the threshold shares no band with
@@ -178,30 +179,75 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(per_batch, "a long, b long").distinct()
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Screened pairs across components, of buckets (``key, id``) that hold several."""
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections of sorted distinct arrays, by products
+    of 0/1 matrices over slices of the shared elements."""
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)
+    value, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, col = np.repeat(np.arange(n), [len(x) for x in sets]), at
+    shared = count[at] > 1
+    row, col = row[shared], (np.cumsum(count > 1) - 1)[col[shared]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for first in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
+        s = slice(*np.searchsorted(col, (first, first + 4096)))
+        m = np.zeros((n, 4096), np.float32)
+        m[row[s], col[s] - first] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a, b`` across components, in buckets (``key, id``) that hold several.
+
+    Buckets with the same members count once.  All pairs across components are
+    compared where they are, screened by the sketches and then on their
+    shingle hashes; of the links that join the same components one is returned."""
     least = _least_equal(rule)
-    m = (members.join(labels, "id", "left")
-         .select("key", "id", F.coalesce("component", "id").alias("component")))
-    mixed = (m.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-             .where("x != y").select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks")))
-    m = (m.join(mixed, "key").join(classes.select("id", "sketch"), "id")
-         .withColumn("mine", F.pmod(F.hash("id", "key"), F.col("blocks"))))
+    m = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = (m.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"),
+                                  F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("h2"))
+             .where("x != y").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
+             .select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks")))
+    m = m.join(mixed, "key").withColumn("mine", F.pmod(F.hash("id", "key"), F.col("blocks")))
     # a block meets every block once: (low, high) pairs of blocks
     m = (m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-         .select("key", "id", "component", "sketch", "mine",
-                 F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+         .select("key", "id", "component", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+    texts = docs.select(_id().alias("id"), text_bytes().alias("text"))
+    m = m.join(classes.select("id", "sketch"), "id").join(texts, "id")
 
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, label = pdf["id"].to_numpy(), pdf["component"].to_numpy()
+    def per_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        label, block = pdf["component"].to_numpy(), pdf["mine"].to_numpy()
         sk = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
-        a, b = [], []
+        pairs = []
         for i in range(len(pdf)):
-            near = np.flatnonzero((label[i + 1:] != label[i]) & ((sk[i + 1:] == sk[i]).sum(axis=1) >= least)) + i + 1
-            a += [ids[i]] * len(near)
-            b += ids[near].tolist()
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            near = np.flatnonzero((label[i + 1:] != label[i]) & ((block[i + 1:] != block[i]) | (key[1] == key[2]))
+                                  & ((sk[i + 1:] == sk[i]).sum(axis=1) >= least)) + i + 1
+            pairs.append(np.stack([np.full(len(near), i), near], 1))
+        pairs = np.concatenate(pairs)
+        links = []
+        if len(pairs):
+            used, pairs = np.unique(pairs, return_inverse=True)
+            x, y = pairs.reshape(-1, 2).T
+            sets = shingle_hashes([pdf["text"].iloc[i] for i in used], rule.words)
+            size = np.array([len(v) for v in sets])
+            common = intersections(sets)[x, y]
+            linked = (common > 0) & (100 * common >= rule.percent * (size[x] + size[y] - common))
+            parent = {v: v for v in label[used].tolist()}
+
+            def find(v: int) -> int:
+                while parent[v] != v:
+                    v = parent[v]
+                return v
+
+            ids = pdf["id"].to_numpy()[used].tolist()
+            for i, j in zip(x[linked].tolist(), y[linked].tolist()):
+                u, v = find(int(label[used[i]])), find(int(label[used[j]]))
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return m.groupBy("key", "low", "high").applyInPandas(per_group, "a long, b long").distinct()
 
@@ -217,7 +263,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     star = members.where("id != a").select("a", F.col("id").alias("b")).distinct()
     links = staged(verified(screened(star, classes, rule), docs, rule), "links")
     labels = components(links)
-    cross = staged(cross_pairs(members.select("key", "id"), labels, classes, rule).join(star, ["a", "b"], "left_anti"), "cross")
+    cross = staged(cross_links(members.select("key", "id"), labels, classes, docs, rule), "cross")
     more = staged(verified(cross, docs, rule), "more-links")
     if more.take(1):
         labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
