@@ -208,6 +208,44 @@ def impute_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame:
         F.coalesce(F.col("reliability_score"), global_mean))
 
 
+# ---------------------------------------------------------------- row-level cleaning
+
+def _item_rows(df: DataFrame) -> DataFrame:
+    return (df.withColumns({"unit_price": finite("unit_price"), "discount": finite("discount")})
+            .withColumn("high_discount_flag", discount_flag("discount")))
+
+
+def _store_rows(df: DataFrame) -> DataFrame:
+    return df.withColumns({"new_region": region_label("region"),
+                           "full_location": joined_label("_", "region", "location")})
+
+
+def _inventory_rows(df: DataFrame) -> DataFrame:
+    return with_inventory_gap(df).withColumn(
+        "critical_quantity_gap_flag", stock_flag("quantity_percent"))
+
+
+# What cleaning does to each row by itself, in a batch or a stream alike.
+ROW_STEPS = {
+    "transactions": lambda df: df.withColumn("month", F.month("transaction_date")),
+    "items": _item_rows,
+    "stores": _store_rows,
+    "customers": lambda df: df.withColumn("year", F.year("signup_date")),
+    "products": lambda df: df.withColumn("price_range", price_band("base_price")),
+    "inventory": _inventory_rows,
+    "promotions": lambda df: df,
+    "suppliers": lambda df: df.withColumn("reliability_score", finite("reliability_score")),
+}
+
+
+def clean_rows(df: DataFrame, name: str) -> DataFrame:
+    return ROW_STEPS[name](df)
+
+
+def _stamped(raw: DataFrame, name: str, ingest_date) -> DataFrame:
+    return clean_rows(stamp_ingest_date(raw, ingest_date), name)
+
+
 # ---------------------------------------------------------------- dataset cleaners
 
 def clean_transactions(raw: DataFrame, ingest_date) -> DataFrame:
@@ -216,8 +254,7 @@ def clean_transactions(raw: DataFrame, ingest_date) -> DataFrame:
     deduped = dedup_latest(raw, ["transaction_id", "store_id"],
                            ["transaction_date", "total_amount"])
     valid = keep_valid_amount(deduped)
-    return stamp_ingest_date(
-        valid.withColumn("month", F.month("transaction_date")), ingest_date)
+    return stamp_ingest_date(clean_rows(valid, "transactions"), ingest_date)
 
 
 def clean_items(raw: DataFrame, ingest_date) -> DataFrame:
@@ -227,16 +264,11 @@ def clean_items(raw: DataFrame, ingest_date) -> DataFrame:
 
 def stamped_items(raw: DataFrame, ingest_date) -> DataFrame:
     """Lines without price imputation, for results that read no price."""
-    return (stamp_ingest_date(raw, ingest_date)
-            .withColumns({"unit_price": finite("unit_price"), "discount": finite("discount")})
-            .withColumn("high_discount_flag", discount_flag("discount")))
+    return _stamped(raw, "items", ingest_date)
 
 
 def clean_stores(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date).withColumns({
-        "new_region": region_label("region"),
-        "full_location": joined_label("_", "region", "location"),
-    })
+    return _stamped(raw, "stores", ingest_date)
 
 
 def recent_transactions(raw: DataFrame, ingest_date, as_of, months: int = 36) -> DataFrame:
@@ -258,23 +290,20 @@ def clean_customers(raw: DataFrame, recent_tx: DataFrame, ingest_date) -> DataFr
 
 
 def dated_customers(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date).withColumn("year", F.year("signup_date"))
+    return _stamped(raw, "customers", ingest_date)
 
 
 def clean_products(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date).withColumn(
-        "price_range", price_band("base_price"))
+    return _stamped(raw, "products", ingest_date)
 
 
 def clean_inventory(raw: DataFrame, ingest_date) -> DataFrame:
-    return (with_inventory_gap(stamp_ingest_date(raw, ingest_date))
-            .withColumn("critical_quantity_gap_flag", stock_flag("quantity_percent")))
+    return _stamped(raw, "inventory", ingest_date)
 
 
 def clean_promotions(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date)
+    return _stamped(raw, "promotions", ingest_date)
 
 
 def clean_suppliers(raw: DataFrame, ingest_date) -> DataFrame:
-    return stamp_ingest_date(raw, ingest_date).withColumn(
-        "reliability_score", finite("reliability_score"))
+    return _stamped(raw, "suppliers", ingest_date)

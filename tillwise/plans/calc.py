@@ -43,6 +43,9 @@ def monthly_sales(items: DataFrame, transactions: DataFrame,
                              cents_to_money("_c").alias("monthly_sales")))
 
 
+# The column names of the growth results, previous_month_sales,
+# sales_growth, positive_growth_count and total_months, are part of them.
+
 def monthly_growth(items: DataFrame, transactions: DataFrame,
                    products: DataFrame) -> DataFrame:
     """Month-over-month growth in percent against the product's previous

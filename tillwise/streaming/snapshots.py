@@ -24,19 +24,6 @@ from ..sources.schemas import FILE_NAMES, SCHEMAS
 
 _DATE_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/"
 
-# Row-level cleaning that is valid on any micro-batch of a dataset.
-_ROW_STEPS = {
-    "items": lambda df: df.withColumn("high_discount_flag", clean.discount_flag("discount")),
-    "stores": lambda df: df.withColumns({
-        "new_region": clean.region_label("region"),
-        "full_location": F.concat_ws("_", "region", "location")}),
-    "products": lambda df: df.withColumn("price_range", clean.price_band("base_price")),
-    "inventory": lambda df: clean.with_inventory_gap(df).withColumn(
-        "critical_quantity_gap_flag", clean.stock_flag("quantity_percent")),
-    "transactions": lambda df: df.withColumn("month", F.month("transaction_date")),
-}
-
-
 def stream_dataset(spark: SparkSession, root: str, name: str, fmt: str = "csv",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream every dated snapshot of ``name`` under ``root`` with the
@@ -55,11 +42,6 @@ def stream_dataset(spark: SparkSession, root: str, name: str, fmt: str = "csv",
     return df.withColumn("file_received_date", F.to_date(day))
 
 
-def clean_rows(df: DataFrame, name: str) -> DataFrame:
-    step = _ROW_STEPS.get(name)
-    return step(df) if step else df
-
-
 def start_snapshot_load(spark: SparkSession, root: str, name: str, sink: str | None = None,
                         fmt: str = "csv", available_now: bool = True,
                         checkpoint: str | None = None) -> StreamingQuery:
@@ -69,7 +51,7 @@ def start_snapshot_load(spark: SparkSession, root: str, name: str, sink: str | N
     sink = sink or shared_path(spark, "tillwise-stream", name, "table")
     # one checkpoint per sink: it records which snapshot files were loaded
     checkpoint = checkpoint or f"{sink.rstrip('/')}/_checkpoint"
-    writer = (clean_rows(stream_dataset(spark, root, name, fmt), name)
+    writer = (clean.clean_rows(stream_dataset(spark, root, name, fmt), name)
               .writeStream.format("parquet")
               .option("path", sink)
               .option("checkpointLocation", checkpoint)
