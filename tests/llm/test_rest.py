@@ -5,7 +5,6 @@ import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 

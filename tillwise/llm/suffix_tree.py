@@ -25,7 +25,7 @@ The words of a suffix are 32-bit codes; a 32-bit hash of the whole window is
 compared as well.  A group's size follows ``BUCKET_BYTES``, never the number
 of copies of one passage: that is one suffix per chunk.
 
-Null or empty text has no words.  A null id counts as the smallest id.  Rows
+Null or empty text has no words and comes back empty.  A null id counts as the smallest id.  Rows
 with one id are one document: none removes words of the other.  Texts of
 fewer words than a window keep all.  Other columns are kept as they are.  An
 empty table gives an empty result.
@@ -33,8 +33,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -43,7 +41,8 @@ from pyspark.sql import functions as F
 
 from .common import mix64, staged, text_bytes
 from .repeats import (
-    answer_each, answered_values, Answers, ask_values, ASKED, asked, BUCKET_BYTES, chunked, each_chunk, held_by_others, NULL_ID, pack, pack_bits, split_by, unpack, unpack_bits, whole_copies,
+    ASKED, BUCKET_BYTES, NULL_ID, Answers, answer_each, answered_values, ask_values, asked, chunked, each_chunk,
+    held_by_others, pack, pack_bits, split_by, unpack, unpack_bits, whole_copies,
 )
 
 WINDOW = 13
