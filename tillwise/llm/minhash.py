@@ -47,7 +47,7 @@ from .common import mix64, rows_of, staged, text_bytes
 from .components import components
 
 _NULL_ID = -(1 << 63)
-_BLOCK = 256  # members of a block in step 2
+_BLOCK = 512  # members of a block in step 2
 
 
 @dataclass(frozen=True)
@@ -210,12 +210,13 @@ def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
                                   F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("h2"))
              .where("x != y").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
              .select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks")))
-    m = m.join(mixed, "key").withColumn("mine", F.pmod(F.hash("id", "key"), F.col("blocks")))
+    texts = docs.select(_id().alias("id"), text_bytes().alias("text"))
+    m = (m.join(mixed, "key").withColumn("mine", F.pmod(F.hash("id", "key"), F.col("blocks")))
+         .join(classes.select("id", "sketch"), "id").join(texts, "id"))
     # a block meets every block once: (low, high) pairs of blocks
     m = (m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-         .select("key", "id", "component", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
-    texts = docs.select(_id().alias("id"), text_bytes().alias("text"))
-    m = m.join(classes.select("id", "sketch"), "id").join(texts, "id")
+         .select("key", "id", "component", "mine", "sketch", "text",
+                 F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
 
     def per_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         label, block = pdf["component"].to_numpy(), pdf["mine"].to_numpy()
