@@ -119,7 +119,7 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
     """``id, n_shingles, set_hash, bands, sketch`` (low byte of each entry) per row."""
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches, 8 << 20, "text"):
+        for b in rows_of(batches, 4 << 20, "text"):
             sets = shingle_hashes(b.column("text").to_pylist(), rule.words)
             sk = sketches(sets, rule.coordinates)
             key = np.arange(rule.bands, dtype=np.uint64)[None, :] + np.uint64(1)
@@ -164,7 +164,7 @@ def _least_equal(rule: Rule) -> int:
 def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` that are linked on the full shingle sets of their texts."""
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = lru_cache(64)(lambda text: shingles(text, rule.words))
+        sets = lru_cache(8)(lambda text: shingles(text, rule.words))
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
@@ -181,7 +181,7 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted distinct arrays, by products
-    of 0/1 matrices over slices of the shared elements."""
+    of 0/1 matrices over slices of the shared elements (exact below 2^24)."""
     n = len(sets)
     out = np.zeros((n, n), np.float32)
     value, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -190,12 +190,12 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     row, col = row[shared], (np.cumsum(count > 1) - 1)[col[shared]]
     order = np.argsort(col, kind="stable")
     row, col = row[order], col[order]
-    for first in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
-        s = slice(*np.searchsorted(col, (first, first + 4096)))
-        m = np.zeros((n, 4096), np.float32)
+    for first in range(0, int(col[-1]) + 1 if len(col) else 0, 1024):
+        s = slice(*np.searchsorted(col, (first, first + 1024)))
+        m = np.zeros((n, 1024), np.float32)
         m[row[s], col[s] - first] = 1
         out += m @ m.T
-    return out.astype(np.int64)
+    return out
 
 
 def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -221,20 +221,20 @@ def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
     def per_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         label, block = pdf["component"].to_numpy(), pdf["mine"].to_numpy()
         sk = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
-        pairs = []
+        near = np.zeros((len(pdf), len(pdf)), bool)
         for i in range(len(pdf)):
-            near = np.flatnonzero((label[i + 1:] != label[i]) & ((block[i + 1:] != block[i]) | (key[1] == key[2]))
-                                  & ((sk[i + 1:] == sk[i]).sum(axis=1) >= least)) + i + 1
-            pairs.append(np.stack([np.full(len(near), i), near], 1))
-        pairs = np.concatenate(pairs)
+            near[i, i + 1:] = ((label[i + 1:] != label[i]) & ((block[i + 1:] != block[i]) | (key[1] == key[2]))
+                               & ((sk[i + 1:] == sk[i]).sum(axis=1) >= least))
         links = []
-        if len(pairs):
-            used, pairs = np.unique(pairs, return_inverse=True)
-            x, y = pairs.reshape(-1, 2).T
+        used = np.flatnonzero(near.any(axis=0) | near.any(axis=1))
+        if len(used):
+            near = near[np.ix_(used, used)]
             sets = shingle_hashes([pdf["text"].iloc[i] for i in used], rule.words)
             size = np.array([len(v) for v in sets])
-            common = intersections(sets)[x, y]
-            linked = (common > 0) & (100 * common >= rule.percent * (size[x] + size[y] - common))
+            common = intersections(sets)
+            for i in range(len(used)):
+                c = common[i].astype(np.int64)
+                near[i] &= (c > 0) & (100 * c >= rule.percent * (size[i] + size - c))
             parent = {v: v for v in label[used].tolist()}
 
             def find(v: int) -> int:
@@ -243,7 +243,7 @@ def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
                 return v
 
             ids = pdf["id"].to_numpy()[used].tolist()
-            for i, j in zip(x[linked].tolist(), y[linked].tolist()):
+            for i, j in np.argwhere(near).tolist():
                 u, v = find(int(label[used[i]])), find(int(label[used[j]]))
                 if u != v:
                     parent[max(u, v)] = min(u, v)
