@@ -67,6 +67,35 @@ def test_near_documents_finds_copies_and_small_edits(spark):
     assert len(got) >= 15
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_near_documents_keeps_every_pair_of_a_group(spark, block, monkeypatch):
+    """Groups of 10 and 100 independent edits of one text, against all pairs."""
+    monkeypatch.setattr(edit_fingerprint, "_BLOCK", block)
+    rng, texts = random.Random(2), []
+    for size in (10, 10, 100):
+        t = "".join(rng.choices("abcdefghij ", k=600))
+        for _ in range(size):
+            at = rng.randrange(580)
+            texts.append(t[:at] + "Z" + t[at + 1:])
+        texts += texts[-2:]  # copies
+    p = edit_fingerprint.fingerprints(texts, edit_fingerprint.Walk())
+    ids = [None, *range(1, len(texts))]
+    frame = spark.createDataFrame([(d, x.tobytes().hex()) for d, x in zip(ids, p)], "doc_id long, fingerprint string")
+    like = (p[:, None] == p[None]).mean(axis=2)
+    near = like >= 0.8
+    first = [int(np.flatnonzero(r == 1)[0]) for r in like]
+    want = {(ids[i], ids[j]): like[i, j] for i in set(first) for j in set(first) if i < j and near[i, j]}
+    got = edit_fingerprint.near_documents(frame).collect()
+    assert {(r.doc_id_a, r.doc_id_b): r.likeness for r in got} == want and len(got) == len(want) > 1500
+    label = list(range(len(p)))
+    for _ in label:  # smallest label of the near ones, until nothing changes
+        label = [min(label[j] for j in np.flatnonzero(r)) for r in near]
+    classes = edit_fingerprint.near_classes(frame).collect()
+    assert (sorted(((r.doc_id or 0), (r.class_id or 0), r.n_links) for r in classes)
+            == [(i, label[i], int(near[i].sum()) - 1) for i in range(len(p))])
+    assert edit_fingerprint.near_classes(frame.limit(0)).count() == 0
+
+
 # ------------------------------------------------------------- classifiers
 
 def test_isotonic_is_the_least_squares_fit():

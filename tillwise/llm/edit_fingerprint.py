@@ -11,8 +11,11 @@ all steps of its walk, so texts of similar length sample the same steps and
 every part of a text is equally likely to be sampled.  Likeness is the share
 of equal slots.
 
-``near_documents`` bands the slots, takes as candidates what shares a band
-with the first document of it, and verifies on all slots.
+``near_documents`` bands the slots and verifies all pairs that share a band on
+all slots, in blocks of bounded size; ``near_classes`` gives every document its
+class and number of links.  Work grows with the square of the different
+fingerprints of a bucket, rows only where pairs are asked for; a group of equal
+fingerprints is one.
 
 Scale: a walk is a vector operation over thousands of texts at once, so its
 memory is bounded by ``_GROUP_BYTES`` (and the longest text).  For the pairs
@@ -30,15 +33,16 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, text_bytes, worker_cache
+from .common import rows_of, staged, text_bytes, worker_cache
+from .components import components
 
 SLOTS = 128
 WALKS = 4
@@ -46,6 +50,7 @@ BANDS = 32
 _TAIL = 4  # characters of a sample, and pads after a text
 _ROWS, _GROUP_BYTES = 8192, 24 << 20
 _MAX_RANGES = 10_000
+_BLOCK = 1024  # fingerprints of a block of near_documents
 _SMALLEST = -(1 << 63)
 
 
@@ -225,22 +230,107 @@ def fingerprint_documents(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
                            "edited_fingerprint string, near_edited double, near_next double")
 
 
-def near_documents(prints: DataFrame, min_likeness: float = 0.8, bands: int = BANDS) -> DataFrame:
-    """``doc_id, fingerprint`` -> verified pairs ``doc_id_a < doc_id_b, likeness``.
+def _in_blocks(prints: DataFrame, min_likeness: float, bands: int, result: Callable, schema: str) -> DataFrame:
+    """Compare what shares a band, and give ``result`` the links of each pair of blocks.
 
-    Equal fingerprints are first one representative (the smallest id).  The
-    candidates of a band are its members and its smallest member, so a large
-    group of copies gives as many pairs as members; all slots verify."""
-    prints = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+    ``prints`` holds each ``fingerprint`` once, with ``node``, ``id`` and ``n``.
+    Buckets with the same members count once (the one of the least band).  A
+    pair counts in the first band that it shares, and nowhere else."""
     length = 2 * SLOTS // bands
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(
         i.alias("band"), F.substring(F.col("fingerprint"), i * length + 1, F.lit(length)).alias("key"))))
-    keyed = prints.select("doc_id", "fingerprint", band.alias("b")).select("doc_id", "fingerprint", "b.*")
-    first = (keyed.groupBy("band", "key").agg(F.min("doc_id").alias("doc_id_a"), F.count("*").alias("n"))
-             .where("n > 1").drop("n"))
-    pairs = (keyed.join(first, ["band", "key"]).where("doc_id > doc_id_a")
-             .select("doc_id_a", F.col("doc_id").alias("doc_id_b"), F.col("fingerprint").alias("b")).distinct())
-    equal = F.aggregate(F.sequence(F.lit(0), F.lit(SLOTS - 1)), F.lit(0), lambda n, i: n + (
-        F.substring(F.col("a"), 2 * i + 1, F.lit(2)) == F.substring(F.col("b"), 2 * i + 1, F.lit(2))).cast("int"))
-    return (pairs.join(prints.select(F.col("doc_id").alias("doc_id_a"), F.col("fingerprint").alias("a")), "doc_id_a")
-            .select("doc_id_a", "doc_id_b", (equal / SLOTS).alias("likeness")).where(F.col("likeness") >= min_likeness))
+    keyed = prints.select("node", band.alias("b")).select("node", "b.*")
+    buckets = (keyed.groupBy("band", "key")
+               .agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("h1"),
+                    F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("h2"))
+               .where("members > 1").groupBy("members", "h1", "h2").agg(F.min(F.struct("band", "key")).alias("b"))
+               .select("b.*", F.ceil(F.col("members") / _BLOCK).cast("int").alias("blocks")))
+    # a block meets every block once: (low, high) pairs of blocks
+    m = (keyed.join(buckets, ["band", "key"]).withColumn("mine", F.pmod(F.hash("node", "key"), F.col("blocks")))
+         .join(prints, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+         .select("band", "key", "node", "id", "n", "fingerprint", "mine",
+                 F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")))
+
+    def per_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        p = np.frombuffer(bytes.fromhex("".join(pdf["fingerprint"])), np.uint8).reshape(len(pdf), SLOTS)
+        block, width = pdf["mine"].to_numpy(), SLOTS // bands
+
+        def links() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            for i in range(len(pdf) - 1):
+                same = p[i + 1:] == p[i]
+                share = same.mean(axis=1)
+                at = np.flatnonzero((share >= min_likeness) & ((block[i + 1:] != block[i]) | (key[2] == key[3])))
+                if len(at):
+                    first = same[at, :bands * width].reshape(-1, bands, width).all(axis=2).argmax(axis=1)
+                    at = at[first == key[0]]
+                if len(at):
+                    yield i, at + i + 1, share[at]
+
+        return result(pdf, links())
+
+    return m.groupBy("band", "key", "low", "high").applyInPandas(per_group, schema)
+
+
+def _distinct(prints: DataFrame) -> DataFrame:
+    """Each fingerprint once: its 128-bit ``node``, smallest ``id`` and number ``n`` of documents."""
+    return (prints.groupBy("fingerprint").agg(F.min(_id()).alias("id"), F.count("*").alias("n"))
+            .withColumn("node", F.md5(F.col("fingerprint").cast("binary"))))
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST))
+
+
+def near_documents(prints: DataFrame, min_likeness: float = 0.8, bands: int = BANDS) -> DataFrame:
+    """``doc_id, fingerprint`` -> all pairs ``doc_id_a < doc_id_b, likeness`` that share a band and are near.
+
+    Equal fingerprints are one representative here (the smallest id);
+    ``near_classes`` has a row for each document.  The pairs of a group of k
+    different near copies are k^2 / 2 rows."""
+    def pairs(pdf: pd.DataFrame, links: Iterator) -> pd.DataFrame:
+        ids = pdf["id"].to_numpy(np.int64)
+        out = [(np.minimum(ids[i], ids[at]), np.maximum(ids[i], ids[at]), share) for i, at, share in links]
+        a, b, share = map(np.concatenate, zip(*out)) if out else ([], [], [])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64), "likeness": np.array(share, float)})
+
+    found = _in_blocks(_distinct(prints), min_likeness, bands, pairs, "a long, b long, likeness double")
+    # an id that rows with other texts repeat can be met twice, or meet itself
+    return (found.where("a != b").groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+            .select(F.nullif("a", F.lit(_SMALLEST)).alias("doc_id_a"), F.col("b").alias("doc_id_b"), "likeness"))
+
+
+def near_classes(prints: DataFrame, min_likeness: float = 0.8, bands: int = BANDS) -> DataFrame:
+    """``doc_id, fingerprint`` -> ``doc_id, class_id, n_links`` of every row.
+
+    A class is what links connect, named by its smallest id; ``n_links`` counts
+    the other rows that are near this one, copies included.  All pairs that
+    share a band are compared, but only a row for each member leaves a block."""
+    def members(pdf: pd.DataFrame, links: Iterator) -> pd.DataFrame:
+        n, count, parent = pdf["n"].to_numpy(np.int64), np.zeros(len(pdf), np.int64), list(range(len(pdf)))
+
+        def find(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for i, at, _ in links:
+            count[i] += n[at].sum()
+            count[at] += n[i]
+            for j in at.tolist():
+                u, v = find(i), find(j)
+                parent[max(u, v)] = min(u, v)
+        near, node = np.flatnonzero(count), pdf["node"].to_numpy(object)
+        return pd.DataFrame({"a": node[near], "b": node[[find(i) for i in near.tolist()]], "n_links": count[near]})
+
+    distinct = staged(_distinct(prints), "fingerprints")
+    found = staged(_in_blocks(distinct, min_likeness, bands, members, "a string, b string, n_links long"), "near")
+    count = found.groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("n_links"))
+    labels = components(found.select("a", "b")).withColumnRenamed("id", "node")
+    named = (distinct.join(labels, "node", "left").join(count, "node", "left")
+             .select("node", "fingerprint", "id", F.coalesce("component", "node").alias("component"),
+                     (F.col("n") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")))
+    names = named.groupBy("component").agg(F.min("id").alias("class_id"))
+    own = named.join(names, "component").select("fingerprint", "class_id", "n_links")
+    return prints.select("doc_id", "fingerprint").join(own, "fingerprint").select(
+        "doc_id", F.nullif("class_id", F.lit(_SMALLEST)).alias("class_id"), "n_links")
