@@ -306,3 +306,27 @@ def test_best_fit_holds_every_capacity(rule):
             assert len(tokens) <= 1.03 * n.sum() / 1024 + 1
     with pytest.raises(ValueError):
         packing.best_fit(np.array([2000]), 1024)
+
+
+def test_documents_are_packed_by_the_vector_rule(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, "a " * rng.choice([1, 3, 20, 90, 200, 400, 700]) + "b " * rng.randrange(60))
+                                  for i in range(500)], "doc_id long, text string")
+
+    def sequences(ids, lengths):
+        out = {}
+        for s, n in zip(ids, lengths):
+            out.setdefault(s, []).append(n)
+        return sorted(sorted(v) for v in out.values())
+
+    rows = {rule: packing.pack_documents(docs, **kw).collect()
+            for rule, kw in (("norm", {}), ("dot", {"rule": "dot"}), ("few", {"max_docs": 3, "max_cost": 2.0 * 1024 ** 2}))}
+    lengths = np.array([r.length for r in rows["norm"]])
+
+    def best(*caps, **kw):
+        return sequences(packing.best_fit(lengths, *caps, **kw)[0].tolist(), lengths.tolist())
+
+    got = {k: sequences([r.sequence_id for r in v], [r.length for r in v]) for k, v in rows.items()}
+    assert got["norm"] == best(1024, 1024, 1024 ** 2) != best(1024)
+    assert got["dot"] == best(1024, 1024, 1024 ** 2, rule="dot")
+    assert got["few"] == best(1024, 3, 2.0 * 1024 ** 2) and max(map(len, got["few"])) == 3

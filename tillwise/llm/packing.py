@@ -36,6 +36,8 @@ from .common import flat_bytes, rows_of, staged, text_bytes, worker_cache
 WINDOW = 1024
 END_ID = 2
 GROUP_PIECES = 8192
+MAX_DOCS, MAX_COST = WINDOW, WINDOW ** 2  # what a window of tokens implies: nothing else becomes infeasible
+WEIGHTS = (1.0, 0.1, 0.1)
 VOCABULARY = "byte_bpe_50k.json"
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -143,7 +145,7 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int =
 
 
 def best_fit(lengths: np.ndarray, tokens: int, max_docs: int | None = None, max_cost: float | None = None,
-             weights: tuple[float, float, float] = (1.0, 0.1, 0.1), rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
+             weights: tuple[float, float, float] = WEIGHTS, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each item by vector best-fit decreasing.
 
     Demands and residuals are shares of the capacities (tokens, documents,
@@ -186,7 +188,7 @@ def best_fit(lengths: np.ndarray, tokens: int, max_docs: int | None = None, max_
 
 
 def pack(rows: DataFrame, window: int = WINDOW, max_docs: int | None = None, max_cost: float | None = None,
-         group_pieces: int = GROUP_PIECES) -> DataFrame:
+         group_pieces: int = GROUP_PIECES, weights: tuple[float, float, float] = WEIGHTS, rule: str = "norm") -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a ``length`` of at most ``window``.
 
     ``rows`` must be stable when read again (a written table)."""
@@ -201,13 +203,14 @@ def pack(rows: DataFrame, window: int = WINDOW, max_docs: int | None = None, max
 
     def one_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id").reset_index(drop=True)
-        bins, off = best_fit(pdf["length"].to_numpy(), window, max_docs, max_cost)
+        bins, off = best_fit(pdf["length"].to_numpy(), window, max_docs, max_cost, weights, rule)
         return pdf[names].assign(sequence_id=(int(key[0]) << 32) + bins, offset=off)
 
     packed = part.groupBy("group_id").applyInPandas(one_group, f"{schema}, sequence_id long, offset long")
     return full.unionByName(packed)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, **kw) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, max_docs: int | None = MAX_DOCS,
+                   max_cost: float | None = MAX_COST, **kw) -> DataFrame:
     """The contract of op10: pieces with their sequence and place in it."""
-    return pack(staged(pieces(docs, vocabulary), "pieces"), **kw)
+    return pack(staged(pieces(docs, vocabulary), "pieces"), max_docs=max_docs, max_cost=max_cost, **kw)
