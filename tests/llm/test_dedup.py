@@ -1,10 +1,12 @@
 """Near-dedup and the two substring operators against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 from itertools import groupby
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.llm import minhash, repeats, suffix_array, suffix_tree
 from tillwise.llm.components import components
@@ -187,6 +189,39 @@ def test_suffix_array_matches_brute_force(docs, small, monkeypatch):
     assert sum(r[2] for r in want) > 1000
 
 
+@pytest.mark.parametrize("size", [40, 120, 199, 260])
+def test_a_line_with_other_text_around_it_is_not_one_bucket(spark, size, monkeypatch):
+    """A line in every document: its suffixes all lead alike and all surroundings differ."""
+    rng = random.Random(size)
+
+    def noise(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+    line, rows = noise(size).replace(" ", "_"), []
+    for i in range(150):
+        before = rows[-1][1][100:300] if i % 10 == 1 else noise(rng.randrange(200, 400))
+        rows.append((i, before[:-180] + noise(180) + line + (noise(200) if i % 7 else "same end" * 20)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(suffix_array, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(suffix_array, "HOT_ROWS", 20, raising=False)
+    monkeypatch.setattr(suffix_array, "HOT_SHARE", 1.0, raising=False)
+    largest, answer_each = [], suffix_array.answer_each
+
+    def seen(questions, kind, *args, **kw):
+        if kind == 2:  # bytes asked of the largest bucket, and of all
+            by = [r.n for r in questions.groupBy("bucket").agg(F.sum(F.length("message")).alias("n")).collect()]
+            largest.append((max(by), sum(by)))
+        return answer_each(questions, kind, *args, **kw)
+
+    monkeypatch.setattr(suffix_array, "answer_each", seen)
+    got = [tuple(r) for r in suffix_array.dedup_documents(docs)
+           .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert sorted(got, key=key) == sorted(bytes_removed(data(docs)), key=key)
+    print("LARGEST", size, largest)
+    assert largest[0][0] < 0.25 * largest[0][1]
+
+
 def test_multikey_order_is_byte_order():
     import numpy as np
 

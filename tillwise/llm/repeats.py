@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import rows_of
+from .common import mix64, rows_of
 
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 48 << 20  # text per bucket, on average
@@ -125,12 +125,15 @@ def asked(rows: list[tuple[int, bytes]]) -> pa.Table:
                      "message": pa.array([r[1] for r in rows], pa.binary())})
 
 
-def answer_each(questions: DataFrame, kind: int, reply: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """Answer all messages of a bucket together: one reply per message."""
+def answer_each(questions: DataFrame, kind: int, reply: Callable[..., list[bytes]], by_bucket: bool = False) -> DataFrame:
+    """Answer all messages of a bucket together: one reply per message.
+
+    With ``by_bucket``, ``reply`` takes the bucket before the messages."""
     def per_bucket(key: tuple, table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("chunk").to_numpy(), kind="stable")
         table = table.take(pa.array(order))
-        out = reply(table.column("message").to_pylist())
+        messages = table.column("message").to_pylist()
+        out = reply(key[0].as_py(), messages) if by_bucket else reply(messages)
         n = table.num_rows
         return pa.table({"chunk": table.column("chunk"), "kind": pa.array([kind] * n, pa.int32()),
                          "bucket": table.column("bucket"), "message": pa.array(out, pa.binary())})
@@ -170,6 +173,15 @@ def answered_values(values: np.ndarray, buckets: int, answers: dict[int, bytes])
     return out
 
 
+def sampled_places(n: int, data: np.ndarray, share: float) -> np.ndarray:
+    """Places below ``n``, each with probability ``share``, by a hash of the chunk's ``data`` and the place.
+
+    So a sample of all chunks follows the share however short the chunks are."""
+    seed = np.uint64(xxhash.xxh3_64_intdigest(np.ascontiguousarray(data)))
+    h = mix64((np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ seed)
+    return np.flatnonzero((h >> np.uint64(11)).astype(float) < share * 2.0 ** 53)
+
+
 def whole_copies(chunks: DataFrame) -> DataFrame:
     """Answers of kind 0 about rows with equal texts: bucket is the row's place in
     its chunk, the message says ``first`` (the smallest id and place), ``same``

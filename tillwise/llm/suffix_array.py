@@ -21,11 +21,16 @@ in rounds over chunks (``repeats``):
    windows that begin ``a`` bytes before their anchors are equal if no
    neighbour between them in the array has less than ``LENGTH - a`` bytes in
    common and the ``a`` bytes before are equal too.
+   Leading bytes that begin very many anchors (``HOT_ROWS``, estimated from
+   one anchor in ``1 / HOT_SHARE``) would be one bucket, so their windows are
+   not sorted there: each is asked for by its 128-bit hash, in buckets of the
+   hash space.
 3. Each chunk marks its repeated windows and drops the bytes.
 
-A suffix with equal surroundings is sent once per chunk, so a passage in a
-third of all documents is a few rows per chunk.  Long texts are read in
-slices; memory follows the chunk.
+A suffix with equal surroundings is sent once per chunk, and so is a window
+of a hot lead: a passage in a third of all documents is a few rows per chunk,
+and a line with a different text around it everywhere spreads over all
+buckets.  Long texts are read in slices; memory follows the chunk.
 
 Null text is empty.  A null id stands for itself.  Repeated rows are copies
 of each other.  Texts below ``LENGTH`` bytes are kept.  Kept bytes need not
@@ -43,8 +48,8 @@ from pyspark.sql import functions as F
 
 from .common import flat_bytes, mix64, staged, text_bytes
 from .repeats import (
-    ASKED, BUCKET_BYTES, Answers, answer_each, answered_values, ask_values, asked, chunked, each_chunk,
-    held_by_others, pack, pack_bits, split_by, unpack, unpack_bits, whole_copies,
+    ASKED, BUCKET_BYTES, Answers, answer_each, answered_values, ask_values, asked, bucket_of, chunked,
+    each_chunk, held_by_others, pack, pack_bits, sampled_places, split_by, unpack, unpack_bits, whole_copies,
 )
 
 LENGTH = 200
@@ -52,7 +57,8 @@ GRAM = 32
 SAMPLE = 20_000  # leading bytes that choose the splitters, about
 _LEAD = 16
 _SLICE = 1 << 17
-_SAMPLED = -1
+HOT_ROWS, HOT_SHARE = 1 << 14, 1 / 64
+_SAMPLED, _COUNTED = -1, -2
 _M = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -214,6 +220,32 @@ def repeated_windows(messages: list[bytes], length: int) -> list[bytes]:
     return [pack_bits(f) for f in np.split(out, ends[:-1])]
 
 
+def asked_windows(raw: bytes, start: np.ndarray, length: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct window hashes in byte order, their buckets, whether several windows
+    have one, and the place in them of each window that begins at ``start``."""
+    digest = np.array([xxhash.xxh3_128_digest(raw[a:a + length]) for a in start.tolist()], "S16")
+    value, which, count = np.unique(digest, return_inverse=True, return_counts=True)
+    lead = np.frombuffer(value.tobytes(), ">u8")[::2].astype(np.uint64)
+    return value, bucket_of(lead, buckets), count > 1, which
+
+
+def windows_of_others(messages: list[bytes]) -> list[bytes]:
+    """For each message a bit per window hash: whether another message has it too."""
+    values = [np.frombuffer(unpack(m), "S16") for m in messages]
+    every = np.sort(np.concatenate(values))
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    return [pack_bits(np.isin(v, twice, assume_unique=True)) for v in values]
+
+
+def hot_leads(counted: DataFrame) -> np.ndarray:
+    """Leading bytes that begin HOT_ROWS anchors or more, from the counted ones of all chunks."""
+    lead = F.explode(F.transform(F.sequence(F.lit(0), F.expr(f"length(message) div {_LEAD}") - 1),
+                                 lambda i: F.substring(F.col("message"), i * _LEAD + 1, F.lit(_LEAD))))
+    rows = (counted.select(lead.alias("lead")).groupBy("lead").agg(F.count("*").alias("n"))
+            .where(F.col("n") >= max(2, HOT_ROWS * HOT_SHARE)).select("lead").collect())
+    return np.sort(np.array([bytes(r.lead) for r in rows], f"S{_LEAD}"))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with ``kept`` (bytes) for ``text``, ``n_bytes`` and ``spans`` (starts and ends of what was removed)."""
     docs = docs.drop("kept", "n_bytes", "spans")  # the new columns take these names
@@ -225,12 +257,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     step = max(1, total // 80 // SAMPLE)
+    hot_share = HOT_SHARE
     copies = staged(whole_copies(chunks), "copies")
 
     def ask_names(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
         c = Chunk(rows, answers, length)
         name, _ = c.names()  # also those it has several times: others ask for them
         out = ask_values(name, buckets)
+        counted = sampled_places(len(c.p), c.read, hot_share)
+        if len(counted):
+            out.append((_COUNTED, c.leading(counted).tobytes()))
         if len(c.p):
             out.append((_SAMPLED, c.leading(np.arange(step // 2, len(c.p), step)).tobytes()))
         return asked(out)
@@ -239,15 +275,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     sample = np.sort(np.frombuffer(b"".join(
         r.message for r in round1.where(F.col("bucket") == _SAMPLED).select("message").collect()), f"S{_LEAD}"))
     splitters = sample[[len(sample) * i // buckets for i in range(1, buckets)]] if len(sample) else sample
-    known = copies.unionByName(staged(answer_each(round1.where(F.col("bucket") != _SAMPLED), 1, held_by_others), "known"))
+    hot = hot_leads(round1.where(F.col("bucket") == _COUNTED))
+    known = copies.unionByName(staged(answer_each(round1.where("bucket >= 0"), 1, held_by_others), "known"))
 
     def suffixes(rows: pa.RecordBatch, answers: Answers):
-        """The distinct suffixes of a chunk at repeated anchors, by bucket."""
+        """The distinct suffixes of a chunk at repeated anchors, by bucket, and the windows of hot leads."""
         c = Chunk(rows, answers, length)
         name, several = c.names()
         again = several | answered_values(name, buckets, answers.get(1, {}))
         runs = np.flatnonzero(np.isin(c.gram, name[again]))
         raw = c.read.tobytes()
+        is_hot = np.isin(c.leading(runs), hot)
+        asks, runs = runs[is_hot], runs[~is_hot]
+        own = c.hi[asks] - c.lo[asks] + 1
+        start = np.repeat(c.lo[asks] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
         index: dict[bytes, int] = {}
         which = np.empty(len(runs), np.int64)
         for i, (p, lo, hi) in enumerate(zip(c.p[runs].tolist(), c.lo[runs].tolist(), c.hi[runs].tolist())):
@@ -256,23 +297,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         first = np.unique(which, return_index=True)[1]
         bucket = np.searchsorted(splitters, c.leading(runs[first]), "right")
         by = np.argsort(bucket, kind="stable")
-        return c, raw, runs, which, first, bucket[by], by
+        return c, raw, runs, which, first, bucket[by], by, start
 
     def ask_suffixes(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
-        c, raw, runs, which, first, bucket, by = suffixes(rows, answers)
+        c, raw, runs, which, first, bucket, by, start = suffixes(rows, answers)
         several = np.bincount(which, minlength=len(first)) > 1
         out = []
         for b, s in split_by(bucket):
             r = runs[first[by[s]]]
             out.append((b, _message(c.p[r] - c.lo[r], c.hi[r] - c.lo[r] + 1, several[by[s]],
                                     [raw[lo:hi + length] for lo, hi in zip(c.lo[r].tolist(), c.hi[r].tolist())])))
+        value, bucket, _, _ = asked_windows(raw, start, length, buckets)
+        out += [(buckets + b, pack(value[s].tobytes())) for b, s in split_by(bucket)]
         return asked(out)
 
+    def reply(bucket: int, messages: list[bytes]) -> list[bytes]:
+        return repeated_windows(messages, length) if bucket < buckets else windows_of_others(messages)
+
     round2 = each_chunk(chunks, known, ask_suffixes, ASKED, keep="chunk")
-    found = known.unionByName(answer_each(round2, 2, lambda m: repeated_windows(m, length)))
+    found = known.unionByName(answer_each(round2, 2, reply, by_bucket=True))
 
     def drop_bytes(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
-        c, _, runs, which, first, bucket, by = suffixes(rows, answers)
+        c, raw, runs, which, first, bucket, by, asks = suffixes(rows, answers)
         windows = c.hi[runs] - c.lo[runs] + 1
         own = windows[first]  # of each distinct suffix
         flags = np.zeros(int(own.sum()), bool)
@@ -284,7 +330,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             flags[at] = bits
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         hit = flags[np.repeat(place[which], windows) + inside]
-        start = (np.repeat(c.lo[runs], windows) + inside)[hit]
+        value, bucket, repeated, mine = asked_windows(raw, asks, length, buckets)
+        for b, s in split_by(bucket):
+            repeated[s] |= unpack_bits(answers[2][buckets + b], s.stop - s.start)
+        start = np.r_[(np.repeat(c.lo[runs], windows) + inside)[hit], asks[repeated[mine]]]
         edge = np.bincount(start, minlength=len(c.read) + 1) - np.bincount(start + length, minlength=len(c.read) + 1)
         gone = np.cumsum(edge[:-1]) > 0
         kept, spans = [], []
