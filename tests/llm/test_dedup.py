@@ -218,10 +218,45 @@ def test_a_line_with_other_text_around_it_is_not_one_bucket(spark, size, monkeyp
     got = [tuple(r) for r in suffix_array.dedup_documents(docs)
            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
     assert sorted(got, key=key) == sorted(bytes_removed(data(docs)), key=key)
-    print("LARGEST", size, largest)
     assert largest[0][0] < 0.25 * largest[0][1]
 
 
+def test_samples_do_not_vanish_when_chunks_are_short(docs, monkeypatch):
+    """One sampled string in many chunks: the splitters and the histogram stay."""
+    seen = {}
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 2000)
+    for module, answer, wanted in ((suffix_array, suffix_array.dedup_documents, bytes_removed(data(docs))),
+                                   (suffix_tree, suffix_tree.dedup_documents, None)):
+        monkeypatch.setattr(module, "BUCKET_BYTES", 8000)
+        monkeypatch.setattr(module, "SAMPLE", 1)
+        answer_each = module.answer_each
+
+        def buckets(questions, kind, *args, answer_each=answer_each, name=module.__name__, **kw):
+            if kind == 2:
+                seen[name] = questions.select("bucket").distinct().count()
+            return answer_each(questions, kind, *args, **kw)
+
+        monkeypatch.setattr(module, "answer_each", buckets)
+        split_prefixes = suffix_tree.split_prefixes
+        monkeypatch.setattr(suffix_tree, "split_prefixes",
+                            lambda sample, groups: seen.update(sample=len(sample)) or split_prefixes(sample, groups))
+        got = [tuple(r) for r in answer(docs).collect()]
+        monkeypatch.setattr(suffix_tree, "split_prefixes", split_prefixes)
+        assert len(got) == docs.count()
+        if wanted:
+            assert sorted(got, key=key) == sorted(wanted, key=key)
+    assert seen[suffix_array.__name__] > 4 and seen["sample"] > 4
+
+
+@pytest.mark.parametrize("chunk", [10, 1000, 100_000])
+def test_a_sample_has_its_share_whatever_the_chunk_length(chunk):
+    import numpy as np
+
+    rng = np.random.default_rng(chunk)
+    n = sum(len(repeats.sampled_places(chunk, rng.integers(0, 256, 50).astype(np.uint8), 1 / 2500)) for _ in range(1_000_000 // chunk))
+    assert 300 < n < 500  # of 400 expected
+
+
 def test_multikey_order_is_byte_order():
     import numpy as np
 

@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import mix64, rows_of
+from .common import flat_bytes, mix64, rows_of
 
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 48 << 20  # text per bucket, on average
+PER_BUCKET = 4  # sampled strings per bucket at least, about
 NULL_ID = -(1 << 63)
 
 ASKED = "chunk long, bucket long, message binary"
@@ -182,6 +183,12 @@ def sampled_places(n: int, data: np.ndarray, share: float) -> np.ndarray:
     return np.flatnonzero((h >> np.uint64(11)).astype(float) < share * 2.0 ** 53)
 
 
+def collected(questions: DataFrame, bucket: int) -> bytes:
+    """The messages of one bucket, joined, on the driver (as Arrow: a message may be a few bytes)."""
+    column = questions.where(F.col("bucket") == bucket).select("message").toArrow().column("message")
+    return b"".join(flat_bytes(c)[0].tobytes() for c in column.chunks)
+
+
 def whole_copies(chunks: DataFrame) -> DataFrame:
     """Answers of kind 0 about rows with equal texts: bucket is the row's place in
     its chunk, the message says ``first`` (the smallest id and place), ``same``

@@ -48,13 +48,13 @@ from pyspark.sql import functions as F
 
 from .common import flat_bytes, mix64, staged, text_bytes
 from .repeats import (
-    ASKED, BUCKET_BYTES, Answers, answer_each, answered_values, ask_values, asked, bucket_of, chunked,
-    each_chunk, held_by_others, pack, pack_bits, sampled_places, split_by, unpack, unpack_bits, whole_copies,
+    ASKED, BUCKET_BYTES, PER_BUCKET, Answers, answer_each, answered_values, ask_values, asked, bucket_of, chunked,
+    collected, each_chunk, held_by_others, pack, pack_bits, sampled_places, split_by, unpack, unpack_bits, whole_copies,
 )
 
 LENGTH = 200
 GRAM = 32
-SAMPLE = 20_000  # leading bytes that choose the splitters, about
+SAMPLE = 20_000  # leading bytes that choose the splitters at least, about
 _LEAD = 16
 _SLICE = 1 << 17
 HOT_ROWS, HOT_SHARE = 1 << 14, 1 / 64
@@ -256,8 +256,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     chunks = chunked(given.select(F.lit(0).cast("long").alias("id"), text_bytes(text).alias("text"), *rest))
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    step = max(1, total // 80 // SAMPLE)
-    hot_share = HOT_SHARE
+    share, hot_share = max(SAMPLE, PER_BUCKET * buckets) / max(1, total // 80), HOT_SHARE
     copies = staged(whole_copies(chunks), "copies")
 
     def ask_names(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
@@ -267,13 +266,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         counted = sampled_places(len(c.p), c.read, hot_share)
         if len(counted):
             out.append((_COUNTED, c.leading(counted).tobytes()))
-        if len(c.p):
-            out.append((_SAMPLED, c.leading(np.arange(step // 2, len(c.p), step)).tobytes()))
+        chosen = sampled_places(len(c.p), c.read[::-1], share)  # by another hash than the counted ones
+        if len(chosen):
+            out.append((_SAMPLED, c.leading(chosen).tobytes()))
         return asked(out)
 
     round1 = staged(each_chunk(chunks, copies, ask_names, ASKED, keep="chunk"), "anchors")
-    sample = np.sort(np.frombuffer(b"".join(
-        r.message for r in round1.where(F.col("bucket") == _SAMPLED).select("message").collect()), f"S{_LEAD}"))
+    sample = np.sort(np.frombuffer(collected(round1, _SAMPLED), f"S{_LEAD}"))
     splitters = sample[[len(sample) * i // buckets for i in range(1, buckets)]] if len(sample) else sample
     hot = hot_leads(round1.where(F.col("bucket") == _COUNTED))
     known = copies.unionByName(staged(answer_each(round1.where("bucket >= 0"), 1, held_by_others), "known"))

@@ -41,13 +41,13 @@ from pyspark.sql import functions as F
 
 from .common import mix64, staged, text_bytes
 from .repeats import (
-    ASKED, BUCKET_BYTES, NULL_ID, Answers, answer_each, answered_values, ask_values, asked, chunked, each_chunk,
-    held_by_others, pack, pack_bits, split_by, unpack, unpack_bits, whole_copies,
+    ASKED, BUCKET_BYTES, NULL_ID, PER_BUCKET, Answers, answer_each, answered_values, ask_values, asked, chunked,
+    collected, each_chunk, held_by_others, pack, pack_bits, sampled_places, split_by, unpack, unpack_bits, whole_copies,
 )
 
 WINDOW = 13
 GRAM = 6
-SAMPLE = 50_000  # suffixes in the prefix histogram, about
+SAMPLE = 50_000  # suffixes in the prefix histogram at least, about
 
 _M = np.uint64(0x9FB21C651E98DF25)
 _SAMPLED = -1  # the bucket that carries histogram samples
@@ -192,20 +192,20 @@ def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         text_bytes(text).alias("text"), *[n for n in names if n != text]))
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    step = max(1, total // 6 // SAMPLE)
+    share = max(SAMPLE, PER_BUCKET * buckets) / max(1, total // 6)
     copies = staged(whole_copies(chunks), "copies")
 
     def ask_names(rows: pa.RecordBatch, answers: Answers) -> pa.Table:
         c = Chunk(rows, answers, window)
         name, _ = c.names()  # also those it has several times: others ask for them
         out = ask_values(name, buckets)
-        if len(c.starts):
-            out.append((_SAMPLED, codes(c.flat, c.starts[step // 2::step], window).tobytes()))
+        chosen = sampled_places(len(c.starts), c.flat, share)
+        if len(chosen):
+            out.append((_SAMPLED, codes(c.flat, c.starts[chosen], window).tobytes()))
         return asked(out)
 
     round1 = staged(each_chunk(chunks, copies, ask_names, ASKED, keep="chunk"), "names")
-    sample = np.frombuffer(b"".join(r.message for r in round1.where(F.col("bucket") == _SAMPLED).select("message").collect()),
-                           np.uint32).reshape(-1, window)  # about SAMPLE rows whatever the input
+    sample = np.frombuffer(collected(round1, _SAMPLED), np.uint32).reshape(-1, window)
     split = split_prefixes(sample, buckets)
     known = copies.unionByName(staged(answer_each(round1.where(F.col("bucket") != _SAMPLED), 1, held_by_others), "known"))
 
