@@ -1,5 +1,6 @@
 """Training-data operators: fingerprints, near duplicates, classifiers, chat
-formatting, vector search, mixing, substring dedup and packing.
+formatting, vector search, mixing, substring dedup, packing, centroid
+clustering, license scans and filter audits.
 
 Nothing outside this package imports it.
 """

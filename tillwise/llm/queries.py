@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import ann, chat, edit_fingerprint, minhash, mixing, packing, quality, suffix_array, suffix_tree, toxicity
+from . import (ann, centroids, chat, edit_fingerprint, filter_audit, licenses, minhash, mixing, packing, quality,
+               suffix_array, suffix_tree, toxicity)
 from .common import table
 
 
@@ -25,9 +26,15 @@ QUERIES = {
     "op8_suffix_array_dedup": _documents(suffix_array.dedup_documents),
     "op9_toxicity": _labelled(toxicity.score_documents),
     "op10_best_fit_packing": _documents(packing.pack_documents),
+    "op11_centroid_clustering": lambda spark, sf_dir: centroids.cluster_vectors(table(spark, sf_dir, "embeddings")),
+    "op12_license_scan": _documents(licenses.scan),
+    "op13_filter_audit": _labelled(filter_audit.audit),
 }
 
 ORACLE = {
     "op4_chat_formatting": chat.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
+    "op11_centroid_clustering": centroids.ORACLE,
+    "op12_license_scan": licenses.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
