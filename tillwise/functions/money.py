@@ -1,4 +1,4 @@
-"""Order-independent money arithmetic and exact sums.
+"""Order-independent money arithmetic.
 
 Floating sums depend on the order rows meet, which differs between runs,
 partitionings and engines.  Money is therefore summed as whole cents in a
@@ -8,9 +8,7 @@ the end.  Rounding to cents is half-up on the double value,
 produces the same cents for the same input.
 
 Averages (prices, discounts, scores, window frames) are not money totals:
-their inputs keep their own precision.  ``exact_sum`` adds values as
-DECIMAL(38,12), which is as independent of order and holds every value of up
-to 12 decimals as it is written.
+their inputs keep their own precision (``functions.exact``).
 """
 
 from __future__ import annotations
@@ -32,30 +30,5 @@ def cents(col) -> Column:
     return to_units(col, 2)
 
 
-# Exact for values with up to 12 decimals and sums below 1e26.
-EXACT = "decimal(38,12)"
-
-
-def exact(col) -> Column:
-    """The value as a decimal, digit for digit."""
-    return _c(col).cast(EXACT)
-
-
-def exact_sum(col) -> Column:
-    return F.sum(exact(col)).cast("double")
-
-
-def exact_avg(col) -> Column:
-    """Mean of a double column from its exact sum; null without values."""
-    return F.try_divide(exact_sum(col), F.count(_c(col)))
-
-
-def finite(col) -> Column:
-    """The value, or null where it is NaN or infinite (neither is a price,
-    an amount, a discount or a score)."""
-    c = _c(col)
-    return F.when(F.abs(c) < F.lit(float("inf")), c)
-
-
 def cents_to_money(col) -> Column:
     return _c(col).cast("double") / 100

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import within_months
-from ..functions.money import exact_avg, finite
+from ..functions.exact import exact_mean, finite
 from ..functions.text import joined_label
 from ..sources.scan import stamp_ingest_date
 
@@ -149,8 +149,7 @@ def impute_group_mean(df: DataFrame, col: str, group: str) -> DataFrame:
     The mean comes from an exact sum of the values as they are, so it does
     not depend on row order.  A group with no value stays null.
     """
-    means = (df.where(F.col(col).isNotNull()).groupBy(group)
-               .agg(exact_avg(col).alias("_mean")))
+    means = exact_mean(df.where(F.col(col).isNotNull()), [group], col, "_mean")
     return _fill_missing(df, col, means, [group], "_mean")
 
 
@@ -189,9 +188,8 @@ def supplier_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame
     """
     product_counts = (products.groupBy("supplier_id")
                               .agg(F.count_distinct("product_id").alias("product_count")))
-    scores = (suppliers.where(F.col("reliability_score").isNotNull())
-                       .groupBy("supplier_id")
-                       .agg(exact_avg("reliability_score").alias("mean_score")))
+    scores = exact_mean(suppliers.where(F.col("reliability_score").isNotNull()), ["supplier_id"],
+                        "reliability_score", "mean_score")
     return (scores.join(product_counts, "supplier_id")
                   .withColumn("weighted_avg_reliability_score",
                               F.col("mean_score") / F.col("product_count")))
@@ -201,8 +199,7 @@ def impute_reliability(suppliers: DataFrame, products: DataFrame) -> DataFrame:
     """Add ``imputed_reliability_score``: the score, or when missing the mean
     of the per-supplier weighted averages (one scalar over all suppliers)."""
     weighted = supplier_reliability(suppliers, products)
-    global_mean = weighted.agg(
-        exact_avg("weighted_avg_reliability_score").alias("m")).scalar()
+    global_mean = exact_mean(weighted, [], "weighted_avg_reliability_score", "m").scalar()
     return suppliers.withColumn(
         "imputed_reliability_score",
         F.coalesce(F.col("reliability_score"), global_mean))

@@ -2,17 +2,18 @@
 
 A plain ``Window.partitionBy(store)`` sends every row of a store to one
 task; with a few dozen stores (one of which may hold a third of the rows)
-that caps parallelism.  Here a key's rows are first cut into chunks along the
-window's order, each of about ``target_rows`` rows:
-
-* the cuts are order values themselves, taken from a sample chosen by a hash
-  of the value, so they are a function of the data alone (a plan that reads
-  the rows twice cuts them alike), and they follow the rows' distribution,
-  whatever the type of the order columns: no arithmetic on ids;
-* a running result is the one within the chunk plus the total of the chunks
-  before it, which comes from one row per chunk;
+that caps parallelism.  Here:
+
 * running and day-range frames are computed on a (key, order value) grain
-  aggregate and joined back to the rows;
+  aggregate and joined back to the rows.  Dates have so few values that the
+  grain of a key is calendar-sized, and one window per key runs over it;
+* for order columns of any other type a key's rows are cut into chunks along
+  the order, each of about ``target_rows`` rows.  The cuts are order values
+  themselves, taken from a sample chosen by a hash of the value, so they are a
+  function of the data alone (a plan that reads the rows twice cuts them
+  alike) and follow the rows' distribution: no arithmetic on ids.  A running
+  result is the one within the chunk plus the total of the chunks before it,
+  which comes from one row per chunk;
 * the row frame (current row and N preceding rows) numbers rows per key,
   cuts each key into fixed-size buckets, copies the last N rows of every
   bucket into the next one as a halo, and evaluates the frame inside
@@ -23,15 +24,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, ByteType, DateType
 
-from ..functions.money import exact
+from ..functions.exact import finite, lane_names, lane_sums, with_parts, with_total
 
 _FUNCS = ("avg", "sum", "count")
 # Accepted spellings of the aggregate names.
 _ALIASES = {"average": "avg", "mean": "avg", "avg": "avg", "sum": "sum", "count": "count"}
 
 TARGET_ROWS = 1 << 20
-_SAMPLED = 16  # sampled order values per chunk
+_SAMPLED = 8  # sampled order values per chunk
+_SLOTS = 1 << 19  # sampled order values kept, at most
+_FEW_VALUES = (DateType, BooleanType, ByteType)  # a key has at most calendar-many of these
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
@@ -46,28 +50,51 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(r, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def with_chunks(df: DataFrame, partition: list[str], order: list[str],
-                target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Add ``_p`` (the key) and ``_chunk``, which rises with ``order`` within a
-    key; a chunk holds about ``target_rows`` rows, apart from equal rows.
+def cut_points(df: DataFrame, partition: list[str], order: list[str],
+               target_rows: int = TARGET_ROWS) -> Column:
+    """The sorted cuts of all keys as one scalar, ``array<struct<k, place>>``.
 
-    One order value in ``target_rows / 16`` is sampled, and every 16th of a
-    key's sampled values starts a chunk.  All cuts together are one scalar
-    (a map from key to its cuts): about one value per ``target_rows`` rows of
-    the whole table, evaluated once, and no join or shuffle of the rows."""
-    key, place = F.xxhash64(*partition), F.struct(*order)
+    One (key, order value) in ``target_rows / 8`` is sampled by its hash.  The
+    sample is dealt to ``_SLOTS`` slots by another hash, and a slot keeps the
+    value of least hash (partial aggregates, no key or task gathers more than
+    the slots); every 8th of the sorted rest is a cut.  So there is about one
+    cut in ``target_rows`` rows and, whatever the table's size, never more than
+    ``_SLOTS / 8`` = 65,536, as few as a range exchange has bounds."""
+    place = F.struct(F.xxhash64(*partition).alias("k"), F.struct(*order).alias("place"))
     every = max(1, target_rows // _SAMPLED)
     step = _SAMPLED if target_rows >= _SAMPLED else max(1, target_rows)
-    # a hash of its own for the sample: not the one that deals rows to tasks
-    sampled = df.where(F.pmod(F.xxhash64(F.lit("sample"), *order), F.lit(every)) == 0)
-    cuts = (sampled.groupBy(key.alias("k")).agg(F.array_sort(F.collect_set(place)).alias("v"))
-            .select("k", F.filter("v", lambda x, i: i % step == step - 1).alias("v"))
-            .where(F.size("v") > 0))
-    cuts = cuts.agg(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar()
-    return (df.withColumn("_cuts", F.try_element_at(cuts, key))
-            .withColumns({"_p": F.struct(*partition),
-                          "_chunk": F.coalesce(F.size(F.filter("_cuts", lambda c: c <= place)), F.lit(0))})
-            .drop("_cuts"))
+    # hashes of their own for sample and slot: not the one that deals rows to tasks
+    sampled = df.where(F.pmod(F.xxhash64(F.lit("sample"), *partition, *order), F.lit(every)) == 0)
+    kept = (sampled.groupBy(F.pmod(F.xxhash64(F.lit("slot"), *partition, *order), F.lit(_SLOTS)).alias("slot"))
+            .agg(F.min(F.struct(F.xxhash64(F.lit("rank"), *partition, *order).alias("h"), place.alias("p"))).alias("m")))
+    return (kept.agg(F.array_sort(F.collect_list("m.p")).alias("v"))
+            .select(F.filter("v", lambda x, i: i % step == step - 1)).scalar())
+
+
+def with_cuts_before(df: DataFrame, cuts: Column, place: Column, out: str) -> DataFrame:
+    """Add ``out``: how many of the sorted ``cuts`` are not after ``place``: a
+    binary search, one comparison for each doubling of the number of cuts.
+
+    The column of cuts is used once, so the optimizer puts the scalar in its
+    stead and all rows share one array instead of carrying a copy each."""
+    steps = F.lit([1 << b for b in reversed(range((_SLOTS // _SAMPLED).bit_length()))])
+    start = F.struct(F.lit(0).alias("at"), place.alias("place"))
+    found = F.aggregate(steps, start, lambda s, step: F.struct(
+        # beyond the last cut there is null, which is no step
+        (s["at"] + F.when(F.get("_cuts", s["at"] + step - 1) <= s["place"], step).otherwise(0)).alias("at"),
+        s["place"].alias("place")), lambda s: s["at"])
+    return df.withColumn("_cuts", cuts).withColumn(out, found).drop("_cuts")
+
+
+def with_chunks(df: DataFrame, partition: list[str], order: list[str],
+                target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Add ``_p`` (the key) and ``_chunk``, which rises with ``order`` within a
+    key; a chunk holds about ``target_rows`` rows (on a table of over 65,536
+    times as many, its 65,536th part), apart from equal rows.  A row finds its
+    chunk by binary search in the cuts: no join or shuffle of the rows."""
+    cuts = cut_points(df, partition, order, target_rows)
+    place = F.struct(F.xxhash64(*partition).alias("k"), F.struct(*order).alias("place"))
+    return with_cuts_before(df.withColumn("_p", F.struct(*partition)), cuts, place, "_chunk")
 
 
 def prefix_sums(df: DataFrame, partition: list[str], order: list[str], cols: list[str],
@@ -90,14 +117,6 @@ def prefix_sums(df: DataFrame, partition: list[str], order: list[str], cols: lis
                     *[f"{c}_total" for c in cols]))
 
 
-def _finish(func: str, total: Column, count: Column) -> Column:
-    if func == "sum":
-        return F.when(count > 0, total.cast("double"))
-    if func == "count":
-        return count
-    return F.try_divide(total.cast("double"), count)
-
-
 def _known(func: str) -> str:
     func = _ALIASES.get(func.lower(), func.lower())
     if func not in _FUNCS:
@@ -106,10 +125,23 @@ def _known(func: str) -> str:
     return func
 
 
-def _per_value(df: DataFrame, grain: list[str], col: str) -> DataFrame:
-    """One row per (key, order value): exact sum and count of ``col``."""
-    return df.groupBy(*grain).agg(F.coalesce(F.sum(exact(col)), exact(F.lit(0))).alias("_u"),
-                                  F.count(col).alias("_n"))
+def _per_value(df: DataFrame, grain: list[str], col: str, func: str) -> DataFrame:
+    """One row per (key, order value): lanes of the exact sum of ``col`` (not
+    for a count), and the number of its values."""
+    if func == "count":
+        return df.groupBy(*grain).agg(F.count(finite(col)).alias("_xn"))
+    return with_parts(df.select(*dict.fromkeys((*grain, col))), col).groupBy(*grain).agg(*lane_sums())
+
+
+def _sum_names(func: str) -> list[str]:
+    return ["_xn"] if func == "count" else [*lane_names(), "_xn"]
+
+
+def _finished(df: DataFrame, func: str, out: str) -> DataFrame:
+    """Sums named by ``_sum_names`` -> the window's result ``out``."""
+    if func == "count":
+        return df.withColumnRenamed("_xn", out)
+    return with_total(df, out, mean=func == "avg")
 
 
 def window_aggregate(df: DataFrame, partition: list[str] | str, order: str, func: str,
@@ -117,13 +149,19 @@ def window_aggregate(df: DataFrame, partition: list[str] | str, order: str, func
     """``func(col) OVER (PARTITION BY partition ORDER BY order)`` with the
     default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with an
     equal order value are peers).  ``func`` is avg, sum or count; sums are
-    exact (see ``functions.money``)."""
-    func = _known(func)
+    exact, NaN and infinities are no values (see ``functions.exact``)."""
+    func, out = _known(func), out or func
     partition = [partition] if isinstance(partition, str) else list(partition)
-    grain = partition + [order]
-    sums = prefix_sums(_per_value(df, grain, col), partition, [order], ["_u", "_n"], target_rows)
-    running = sums.select(*grain, _finish(func, F.col("_u_upto"), F.col("_n_upto")).alias(out or func))
-    return _null_safe_join(df, running, grain, "left")
+    grain, names = partition + [order], _sum_names(_known(func))
+    per_value = _per_value(df, grain, col, func)
+    if isinstance(df.schema[order].dataType, _FEW_VALUES):
+        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        sums = per_value.select(*grain, *[F.sum(c).over(w).alias(c) for c in names])
+    else:
+        filled = per_value.withColumns({c: F.coalesce(c, F.lit(0)) for c in names})
+        sums = (prefix_sums(filled, partition, [order], names, target_rows)
+                .select(*grain, *[F.col(f"{c}_upto").alias(c) for c in names]))
+    return _null_safe_join(df, _finished(sums, func, out), grain, "left")
 
 
 def rolling_days(df: DataFrame, partition: list[str] | str, date_col: str, col: str,
@@ -132,14 +170,36 @@ def rolling_days(df: DataFrame, partition: list[str] | str, date_col: str, col:
     (RANGE BETWEEN days-1 PRECEDING AND CURRENT ROW on the date).  The window
     runs over one row per (key, day): a key has as many as the calendar."""
     func = _known(func)
+    out = out or f"rolling_{func}_{days}d"
     partition = [partition] if isinstance(partition, str) else list(partition)
     grain = partition + [date_col]
     w = (Window.partitionBy(*partition).orderBy(F.unix_date(F.col(date_col)))
                .rangeBetween(-(days - 1), 0))
-    rolled = _per_value(df, grain, col).select(
-        *grain, _finish(func, F.sum("_u").over(w), F.sum("_n").over(w))
-        .alias(out or f"rolling_{func}_{days}d"))
-    return _null_safe_join(df, rolled, grain, "left")
+    sums = _per_value(df, grain, col, func).select(*grain, *[F.sum(c).over(w).alias(c) for c in _sum_names(func)])
+    return _null_safe_join(df, _finished(sums, func, out), grain, "left")
+
+
+def _rows_before(d: DataFrame, latest_first: bool = False) -> DataFrame:
+    """``_p, _chunk, _before``: rows of the key in the chunks before (after) each
+    chunk.  Dealt like the rows, which stay where they are when joined to it."""
+    counts = d.groupBy("_p", "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    order = F.desc("_chunk") if latest_first else F.asc("_chunk")
+    chunks = Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.select("_p", "_chunk", F.coalesce(F.sum("_c").over(chunks), F.lit(0)).alias("_before"))
+            .repartition("_p", "_chunk"))
+
+
+def rank_rows(df: DataFrame, partition: list[str], order: str, out: str = "rank",
+              ascending: bool = True, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``rank() OVER (PARTITION BY partition ORDER BY order)`` without a window
+    over the whole partition: the rank within the row's chunk plus the rows of
+    the chunks before (equal values share a chunk).  Nulls rank first in
+    ascending order and last in descending order."""
+    d = with_chunks(df, partition, [order], target_rows)
+    inside = Window.partitionBy("_p", "_chunk").orderBy(F.asc_nulls_first(order) if ascending else F.desc_nulls_last(order))
+    return (d.withColumn("_in", F.rank().over(inside))
+            .join(_rows_before(d, not ascending), ["_p", "_chunk"])
+            .select(*df.columns, (F.col("_before") + F.col("_in")).cast("int").alias(out)))
 
 
 def number_rows(df: DataFrame, partition: list[str], order: list[str],
@@ -148,12 +208,9 @@ def number_rows(df: DataFrame, partition: list[str], order: list[str],
     without a window over the whole partition: numbered within the chunks of
     ``with_chunks``, plus the rows of the chunks before."""
     d = with_chunks(df, partition, order, target_rows)
-    counts = d.groupBy("_p", "_chunk").agg(F.count(F.lit(1)).alias("_c"))
-    chunks = Window.partitionBy("_p").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_p", "_chunk", F.coalesce(F.sum("_c").over(chunks), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_p", "_chunk").orderBy(*order)
     return (d.withColumn("_in", F.row_number().over(inside))
-            .join(before.repartition("_p", "_chunk"), ["_p", "_chunk"])
+            .join(_rows_before(d), ["_p", "_chunk"])
             .select(*df.columns, (F.col("_before") + F.col("_in") - 1).alias(out)))
 
 
@@ -164,6 +221,7 @@ def rolling_rows(df: DataFrame, partition: list[str] | str, order: list[str], co
     (ROWS BETWEEN preceding PRECEDING AND CURRENT ROW) per ``partition``,
     ordered by ``order`` (make it total, e.g. date then id)."""
     func = _known(func)
+    out = out or f"rolling_{func}_{preceding + 1}_rows"
     partition = [partition] if isinstance(partition, str) else list(partition)
     if bucket_rows <= preceding:
         raise ValueError("bucket_rows must exceed the frame length")
@@ -177,7 +235,9 @@ def rolling_rows(df: DataFrame, partition: list[str] | str, order: list[str], co
                    .otherwise(F.array(F.col("_home"))))))
     w = (Window.partitionBy(*partition, "_bucket").orderBy("_rn")
                .rowsBetween(-preceding, Window.currentRow))
-    value = _finish(func, F.sum(exact(col)).over(w), F.count(col).over(w))
-    return (spread.withColumn(out or f"rolling_{func}_{preceding + 1}_rows", value)
-                  .where(F.col("_bucket") == F.col("_home"))
-                  .drop("_rn", "_home", "_bucket"))
+    if func == "count":
+        sums = [F.count(finite(col)).over(w).alias("_xn")]
+    else:
+        spread, sums = with_parts(spread, col), lane_sums(over=w)
+    framed = spread.select(*df.columns, "_home", "_bucket", *sums)
+    return _finished(framed.where(F.col("_bucket") == F.col("_home")).drop("_home", "_bucket"), func, out)

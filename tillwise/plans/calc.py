@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import within_months, year_month
 from ..functions.money import cents, cents_to_money
 from ..operators.clean import line_revenue
-from ..operators.windows import prefix_sums
+from ..operators.windows import rank_rows
 
 
 def retention(customers: DataFrame, transactions: DataFrame, as_of,
@@ -76,20 +76,9 @@ def supplier_rank(suppliers: DataFrame, ascending: bool = True,
     """rank() of suppliers per country by reliability score (ascending with
     nulls first by default, as rank 1 = least reliable).
 
-    rank = 1 + number of suppliers of the country ordered strictly before:
-    prefix sums over one row per (country, score), cut into chunks of bounded
-    size, and joined back."""
-    counts = suppliers.groupBy("country", "reliability_score").agg(
-        F.count(F.lit(1)).alias("_n"))
-    sums = prefix_sums(counts, ["country"], ["reliability_score"], ["_n"])
-    # scores rise with nulls first; seen from the other end, nulls are last
-    ahead = F.col("_n_upto") - F.col("_n") if ascending else F.col("_n_total") - F.col("_n_upto")
-    ranks = sums.select(
-        F.col("country").alias("_country"), F.col("reliability_score").alias("_score"),
-        (ahead + 1).cast("int").alias(out))
-    cond = (suppliers["country"].eqNullSafe(ranks["_country"])
-            & suppliers["reliability_score"].eqNullSafe(ranks["_score"]))
-    return suppliers.join(ranks, cond, "left").drop("_country", "_score")
+    The rows of a country are ranked in chunks of bounded size along the
+    score, to which the rows of the chunks before are added."""
+    return rank_rows(suppliers, ["country"], "reliability_score", out, ascending)
 
 
 def category_lead_time(products: DataFrame, suppliers: DataFrame) -> DataFrame:

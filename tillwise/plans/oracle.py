@@ -4,8 +4,8 @@ The oracle states each result the direct way (whole-partition windows,
 EXISTS tests, joins at row grain), independent of the pre-aggregated and
 skew-safe plans the Spark side uses, so agreement checks those rewrites.
 Money is summed as integer cents, ``floor(x*100+0.5)``, exactly as on the
-Spark side.  Averages and window frames take the values as they are written
-(decimals through their text), not through any rounding of ours.
+Spark side.  Averages and window frames add all binary digits of the values as
+128-bit integers, another way than the Spark side's, and round once.
 """
 
 from __future__ import annotations
@@ -25,19 +25,23 @@ def _money_sum(x: str) -> str:
     return f"cast(sum({_cents(x)}) as double)/100"
 
 
-def _exact_sum(x: str) -> str:
-    """Sum of the values digit for digit (through their shortest text), as the nearest double."""
-    digits = f"cast(cast({x} as varchar) as decimal(38,12))"
-    return f"cast(cast(sum({digits}) as varchar) as double)"
+def _digits(x: str) -> str:
+    """A double as a whole number of 2^-75 (its binary digits, nothing rounded)."""
+    return f"cast(({x}) * pow(2, 75) as hugeint)"
+
+
+def _nearest(total: str) -> str:
+    """The double nearest to a whole number of 2^-75 (through its decimal text)."""
+    return f"cast(cast({total} as varchar) as double) / pow(2, 75)"
 
 
 def _exact_avg(x: str) -> str:
-    return f"{_exact_sum(x)} / count({x})"
+    """Mean from the sum of all binary digits of the values."""
+    return f"{_nearest(f'sum({_digits(x)})')} / count({x})"
 
 
 def _exact_over(x: str, w: str) -> str:
-    digits = f"cast(cast({x} as varchar) as decimal(38,12))"
-    return f"cast(cast(sum({digits}) over {w} as varchar) as double)"
+    return _nearest(f"sum({_digits(x)}) over {w}")
 
 
 VIEWS: dict[str, str] = {

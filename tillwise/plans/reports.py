@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_week, iso_week_year
-from ..functions.money import cents, cents_to_money, exact
+from ..functions.exact import add_up, lane_sums, with_parts, with_total
+from ..functions.money import cents, cents_to_money
 from ..operators.clean import line_revenue
 from ..operators.intervals import merge_intervals
 from ..operators.joins import transaction_lines
@@ -139,19 +140,17 @@ def region_dashboard(stores: DataFrame, transactions: DataFrame, items: DataFram
         cents_to_money(F.sum(cents("total_amount"))).alias("total_revenue"))
     lines = items.select("transaction_id", "product_id", "discount").join(
         tx.select("transaction_id", "region"), "transaction_id")
-    per_product = lines.groupBy("region", "product_id").agg(
-        F.count("transaction_id").alias("product_sales"),
-        F.sum(exact("discount")).alias("_du"),
-        F.count("discount").alias("_dn"))
+    per_product = with_parts(lines, "discount").groupBy("region", "product_id").agg(
+        F.count("transaction_id").alias("product_sales"), *lane_sums())
     names = products.select("product_id", "product_name", F.lit(True).alias("_known"))
     named = per_product.join(names, "product_id", "left")
     known = F.col("_known").isNotNull()
-    summary = named.groupBy("region").agg(
-        F.try_divide(F.sum("_du").cast("double"), F.sum("_dn")).alias("average_discount"),
+    summary = with_total(named.groupBy("region").agg(
+        *add_up(),
         F.min(F.when(known, F.struct((-F.col("product_sales")).alias("k"),
                                      F.col("product_id").alias("id"),
                                      F.col("product_name").alias("name")))).alias("_top"),
-        F.sum(F.when(known, F.col("product_sales"))).alias("total_sales"))
+        F.sum(F.when(known, F.col("product_sales"))).alias("total_sales")), "average_discount", mean=True)
     return (revenue.join(summary.where(F.col("_top").isNotNull()), "region")
                    .select("region", "total_revenue", "average_discount",
                            F.col("_top.name").alias("top_product"), "total_sales")
