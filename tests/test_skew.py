@@ -63,7 +63,7 @@ def test_no_window_over_raw_stores_in_running_queries(spark):
     plan = _plan(QUERIES["window_running_avg"](spark, SF_SMALL))
     # the window input is the (store, day) aggregate, not the transaction rows
     window_lines = [ln for ln in plan.splitlines() if "Window [" in ln]
-    assert window_lines and all("_u" in ln or "_n" in ln for ln in window_lines)
+    assert window_lines and all("sum(_xn#" in ln for ln in window_lines)
 
 
 def test_hot_product_imputation_exact(spark):

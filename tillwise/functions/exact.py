@@ -14,9 +14,8 @@ turned into the double nearest to their exact total once at the end.
 * A lane has at most 24 bits, so a group may hold 2^39 rows; beyond, Spark's
   integer overflow check stops the query.
 
-The expressions are SQL text: one call to the JVM each, and names given in a
-select list are used further down the same list, so every step is computed
-once per row.
+The expressions are SQL text, one call to the JVM each, in a few projections
+that build on each other, so every step is computed once per row.
 """
 
 from __future__ import annotations
@@ -49,17 +48,16 @@ def with_parts(df: DataFrame, col: str, prefix: str = "_x") -> DataFrame:
     p = prefix
     refuse = (f"cast(raise_error('{col}: a value of 2^63 or more, or with binary digits below 2^-120, "
               "has no exact sum') as double)")
-    v = f"cast(`{col}` as double)"
-    return df.select("*", *map(F.expr, (
-        f"case when abs({v}) < {_two(63)} then {v} when abs({v}) < double('infinity') then {refuse} end as {p}v",
-        f"cast({p}v * {_two(-24)} as bigint) as {p}a",
-        f"({p}v - cast({p}a as double) * {_two(24)}) * {_two(36)} as {p}f",
-        f"cast({p}f as bigint) as {p}b",
-        f"({p}f - cast({p}b as double)) * {_two(60)} as {p}g",
-        f"cast({p}g as bigint) as {p}c",
-        f"({p}g - cast({p}c as double)) * {_two(24)} as {p}h",
-        f"cast(case when {p}h = rint({p}h) then {p}h when {p}h is not null then {refuse} end as bigint) as {p}d",
-    ))).drop(*[f"{p}{c}" for c in "vfgh"])
+    v, kept = f"cast(`{col}` as double)", [f"`{c}`" for c in df.columns]
+    whole = lambda x: f"cast({x} as bigint)"
+    left = lambda x, n: f"({x} - cast({whole(x)} as double)) * {_two(n)}"
+    a = f"{p}v * {_two(-24)}"
+    return (df.selectExpr("*", f"case when abs({v}) < {_two(63)} then {v} when abs({v}) < double('infinity') then {refuse} end as {p}v")
+            .selectExpr(*kept, f"{whole(a)} as {p}a", f"({p}v - cast({whole(a)} as double) * {_two(24)}) * {_two(36)} as {p}f")
+            .selectExpr(*kept, f"{p}a", f"{whole(f'{p}f')} as {p}b", f"{left(f'{p}f', 60)} as {p}g")
+            .selectExpr(*kept, f"{p}a", f"{p}b", f"{whole(f'{p}g')} as {p}c", f"{left(f'{p}g', 24)} as {p}h")
+            .selectExpr(*kept, f"{p}a", f"{p}b", f"{p}c", f"cast(case when {p}h = rint({p}h) then {p}h "
+                        f"when {p}h is not null then {refuse} end as bigint) as {p}d"))
 
 
 def lane_names(prefix: str = "_x") -> list[str]:
@@ -105,30 +103,34 @@ def with_total(df: DataFrame, out: str, prefix: str = "_x", mean: bool = False,
     def first(*choice: str) -> str:
         return f"case when {p}_p != 0 then {choice[0]} when {p}_q != 0 then {choice[1]} when {p}_r != 0 then {choice[2]} else {choice[3]} end"
 
-    made = df.select("*", *map(F.expr, (
-        f"{digit[0]} * {1 << 24}L + {digit[1]} as {p}_w", f"{word(digit[2:5])} as {p}_x",
-        f"{word(digit[5:8])} as {p}_y", f"{digit[8]} * {1 << 36}L as {p}_z",
-        # the absolute value: words of the negated number where it is below zero
-        f"{p}_w < 0 as {p}_less",
-        f"if({p}_less, -{p}_w - if({p}_x + {p}_y + {p}_z = 0, 0L, 1L), {p}_w) as {p}_p",
-        f"if({p}_less, (-{p}_x - if({p}_y + {p}_z = 0, 0L, 1L)) & {_WORD}L, {p}_x) as {p}_q",
-        f"if({p}_less, (-{p}_y - if({p}_z = 0, 0L, 1L)) & {_WORD}L, {p}_y) as {p}_r",
-        f"if({p}_less, -{p}_z & {_WORD}L, {p}_z) as {p}_t",
-        f"{first(f'{p}_p', f'{p}_q', f'{p}_r', f'{p}_t')} as {p}_hi",
+    kept = [*[f"`{c}`" for c in df.columns if c not in (*lane_names(p), f"{p}n")], f"{p}n"]
+    made = df.selectExpr(*kept, f"{digit[0]} * {1 << 24}L + {digit[1]} as {p}_w", f"{word(digit[2:5])} as {p}_x",
+                         f"{word(digit[5:8])} as {p}_y", f"{digit[8]} * {1 << 36}L as {p}_z")
+    # the absolute value: words of the negated number where it is below zero
+    less = f"{p}_w < 0"
+    made = made.selectExpr(
+        *kept, f"{less} as {p}_less",
+        f"if({less}, -{p}_w - if({p}_x + {p}_y + {p}_z = 0, 0L, 1L), {p}_w) as {p}_p",
+        f"if({less}, (-{p}_x - if({p}_y + {p}_z = 0, 0L, 1L)) & {_WORD}L, {p}_x) as {p}_q",
+        f"if({less}, (-{p}_y - if({p}_z = 0, 0L, 1L)) & {_WORD}L, {p}_y) as {p}_r",
+        f"if({less}, -{p}_z & {_WORD}L, {p}_z) as {p}_t")
+    made = made.selectExpr(
+        *kept, f"{p}_less", f"{first(f'{p}_p', f'{p}_q', f'{p}_r', f'{p}_t')} as {p}_hi",
         f"{first(f'{p}_q', f'{p}_r', f'{p}_t', '0L')} as {p}_lo",
-        f"{first(f'{p}_r + {p}_t', f'{p}_t', '0L', '0L')} as {p}_rest",
-        f"{first('24', '-36', '-96', '-156')} as {p}_e",
-        # bits by which hi moves up so that it has about 60
-        f"greatest(0, least(60, 60 - coalesce(cast(floor(log2(cast(greatest({p}_hi, 1L) as double))) as int), 0))) as {p}_s",
-        f"shiftright({p}_lo, 60 - {p}_s) as {p}_kept",
-        f"shiftleft({p}_hi, {p}_s) + {p}_kept | if({p}_lo - shiftleft({p}_kept, 60 - {p}_s) + {p}_rest = 0, 0L, 1L) as {p}_bits",
-        f"cast({p}_bits as double) * pow(2D, {p}_e - {p}_s) as {p}_size",
-        f"if({p}_less, -{p}_size, {p}_size) as {p}_total")))
+        f"{first(f'{p}_r + {p}_t', f'{p}_t', '0L', '0L')} as {p}_rest", f"{first('24', '-36', '-96', '-156')} as {p}_e")
+    # bits by which hi moves up so that it has about 60
+    made = made.selectExpr(
+        *kept, f"{p}_less", f"{p}_hi", f"{p}_lo", f"{p}_rest", f"{p}_e",
+        f"greatest(0, least(60, 60 - coalesce(cast(floor(log2(cast(greatest({p}_hi, 1L) as double))) as int), 0))) as {p}_s")
+    moved = f"shiftright({p}_lo, 60 - {p}_s)"
+    more = f"if({p}_lo - shiftleft({moved}, 60 - {p}_s) + {p}_rest = 0, 0L, 1L)"
+    made = made.selectExpr(
+        *kept, f"{p}_less", f"cast(shiftleft({p}_hi, {p}_s) + {moved} | {more} as double) * pow(2D, {p}_e - {p}_s) as {p}_size")
+    made = made.selectExpr(*kept, f"if({p}_less, -{p}_size, {p}_size) as {p}_total")
     result = F.col(f"{p}_total")
     if mean:  # a division by a count of 0 is not reached, and never null
         result = F.coalesce(F.try_divide(result, F.col(f"{p}n")), F.lit(0.0))
-    made = made.withColumn(out, result if always else F.when(F.col(f"{p}n") > 0, result))
-    return made.select(*[c for c in df.columns if c not in (*lane_names(p), f"{p}n")], F.col(f"`{out}`"))
+    return made.select(*kept[:-1], (result if always else F.when(F.col(f"{p}n") > 0, result)).alias(out))
 
 
 def _per_group(df: DataFrame, groups: list[str], col: str, out: str, mean: bool) -> DataFrame:
