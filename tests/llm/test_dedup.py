@@ -45,6 +45,33 @@ def test_near_duplicates_match_all_pairs(docs, rule):
     assert len(set(want.values())) < len(want)
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    """Ids repeated over different, equal, empty and null texts, against all pairs."""
+    rng = random.Random(8)
+    a, b, c, d = ("".join(f"{w} " for w in rng.sample(range(10 ** 6), 40)) for _ in range(4))
+    cases = [[(3, b), (5, a), (5, b)], [(9, a), (9, b), (2, b), (7, None), (7, a), (4, None)],
+             [(1, a), (2, a), (2, b), (3, b), (3, c), (4, c), (None, d), (6, d), (8, ""), (8, d)], [(5, a), (5, a), (5, None)]]
+    pool = [a, b, c, d, a + "1 2", None, "", "x"]
+    cases.append([(rng.randrange(25), rng.choice(pool) if i % 2 else " ".join(map(str, rng.sample(range(900), 9)))) for i in range(60)])
+    for rows in cases:
+        frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+        got = minhash.link_documents(frame).collect()
+        want = near([(i, (t or "").encode()) for i, t in rows], 3, 85)
+        assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted(
+            ((i, want[i], i == want[i]) for i, _ in rows), key=str)
+    kept = minhash.one_of_each(spark.createDataFrame(cases[0], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(3, b)]
+
+
+def test_the_row_that_stays_is_the_same_in_every_run(spark):
+    rows = [(1, "one two three four five six", lang, source, n) for lang, source, n in
+            (("de", "s", 5), ("en", "a", 1), (None, "z", 9), ("de", None, 2))]
+    for n in (1, 4):
+        frame = spark.createDataFrame(rows[::-1] if n > 1 else rows, "doc_id long, text string, lang string, source string, n_chars long")
+        (r,) = minhash.one_of_each(frame.repartition(n)).collect()
+        assert tuple(r) == rows[2]
+
+
 def test_cross_pairs_alone_find_every_link(docs, monkeypatch):
     """With no component known, the block step must find all links by itself."""
     from pyspark.sql import functions as F

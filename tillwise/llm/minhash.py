@@ -25,9 +25,12 @@ deviations below the threshold.
 
 Null or empty text, or text without words, has an empty set, links with
 nothing and is its own component.  A null id counts as the smallest id and
-comes back as null.  Rows with one id are one document for links.  A text of
-fewer words than a shingle is one shingle of them all.  An empty table gives
-an empty result.
+comes back as null.  Rows with one id are one document: it is linked to all
+that any of its texts is linked to, and every row of it, empty ones included,
+names the same component.  A text of fewer words than a shingle is one shingle
+of them all.  Texts of any length are taken whole.  Other columns, of whatever
+name, are ignored (``one_of_each`` keeps them).  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -253,6 +256,16 @@ def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
     return m.groupBy("key", "low", "high").applyInPandas(per_group, "a long, b long").distinct()
 
 
+def same_document(sig: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` from an id that holds several sets (or a set and an empty
+    text) to the class of each: they are one document."""
+    held = sig.groupBy("id", "set_hash").agg(F.first("n_shingles").alias("n"))
+    several = held.groupBy("id").agg(F.count("*").alias("sets")).where("sets > 1").select("id")
+    return (held.where("n > 0").join(several, "id", "left_semi")
+            .join(classes.select("set_hash", F.col("id").alias("b")), "set_hash")
+            .where("id != b").select(F.col("id").alias("a"), "b"))
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     sig = staged(signatures(docs, rule), "signatures")
@@ -262,7 +275,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     first = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z").select("key", "a")
     members = staged(keyed.join(first, "key"), "buckets")
     star = members.where("id != a").select("a", F.col("id").alias("b")).distinct()
-    links = staged(verified(screened(star, classes, rule), docs, rule), "links")
+    links = staged(verified(screened(star, classes, rule), docs, rule).unionByName(same_document(sig, classes)), "links")
     labels = components(links)
     cross = staged(cross_links(members.select("key", "id"), labels, classes, docs, rule), "cross")
     more = staged(verified(cross, docs, rule), "more-links")
@@ -270,19 +283,29 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     name = (classes.select("set_hash", "id").join(labels, "id", "left")
             .select("set_hash", F.coalesce("component", "id").alias("component")))
-    # a document that repeats an id may have an id that another class names
-    own = (sig.join(name, "set_hash", "left")
+    # an empty text belongs to the document that has its id
+    empty = (sig.where("n_shingles = 0").join(labels, "id", "left")
+             .select("id", "n_shingles", F.coalesce("component", "id").alias("component")))
+    own = (sig.where("n_shingles > 0").join(name, "set_hash", "left").select("id", "n_shingles", "component")
+           .unionByName(empty)
            .select(F.nullif(F.col("id"), F.lit(_NULL_ID)).alias("doc_id"), "n_shingles",
                    F.nullif(F.coalesce("component", "id"), F.lit(_NULL_ID)).alias("component_id")))
     return own.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``docs``, all columns, with one document of each group (the smallest id, one row per text)."""
+    """``docs``, all columns, with one document of each group (the smallest id).
+
+    Of rows with equal id and text the one whose other columns are smallest
+    stays (nulls first), so reruns agree."""
     keep = (near_duplicates(docs, rule).where("kept").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
                                                              .alias("kept_document_id")).distinct())
     stay = docs.join(keep, _id() == keep["kept_document_id"], "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
+    at = [names[docs.columns.index(c)] for c in ("doc_id", "text")]
+    rest = [c for c in names if c not in at]
+    least = stay.toDF(*names).groupBy(*at).agg(F.min(F.struct(F.lit(0).alias("k"), *rest)).alias("rest"))
+    return least.select(*[F.col(c) if c in at else F.col("rest")[c].alias(c) for c in names]).toDF(*docs.columns)
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
