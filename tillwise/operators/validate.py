@@ -98,6 +98,13 @@ def validation_summary(rules: dict[str, DataFrame], counted: list[DataFrame] = (
     return out
 
 
+def require_none(counts: dict[str, int], rules) -> None:
+    """Gate over counted rules: raise when one of ``rules`` has violations."""
+    broken = [f"{r} ({counts[r]})" for r in rules if counts.get(r)]
+    if broken:
+        raise DataQualityError(f"data validation failed: {', '.join(broken)}")
+
+
 def require_empty(violations: DataFrame, rule: str) -> None:
     """Gate: raise when the rule has any violation (reads at most one row)."""
     if not violations.isEmpty():

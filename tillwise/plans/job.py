@@ -1,23 +1,27 @@
-"""The daily job: every report for one delivered snapshot, written as tables.
+"""The daily job: every report for one delivered snapshot, published together.
 
     python -m tillwise.plans.job --root <landing> --date 2001-08-01 --out <dir>
 
-Reads the eight datasets of the dated snapshot (declared schemas) and stops,
-before anything is written, if a gated rule is violated (``--no-gates`` goes
-on).  Then it cleans the datasets once into the shared checkpoint folder
-(lineage cut) and writes the validation summary and each report to
-``<out>/<key>``.  Each write is its own Spark job; a failed run can be re-run
-as a whole, every target being overwritten.
+Reads the eight datasets of the dated snapshot (declared schemas), cleans them
+once into the shared checkpoint folder (lineage cut), and counts the violations
+of every rule in one job.  If a gated rule is violated the run stops before any
+report is written (``--no-gates`` goes on).  The validation summary and the
+reports are written to a folder of their own, ``<out>/runs/<id>/<key>``; when
+all of them are complete, one atomic rename makes that run the current one.  A
+run that is killed half-way leaves the one before readable.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from ..operators import validate
 from ..session import apply_scale_conf, build_session
-from ..sources.scan import snapshot_dir
-from .catalog import _RULES, REPORTS, summary
+from ..sources.publish import Publication
+from ..sources.scan import landing_violations, snapshot_dir
+from .catalog import REPORTS, summary
 from .retail import Retail
 
 # Rules that stop the run (negative stock is reported only).
@@ -26,24 +30,26 @@ GATED_RULES = ("orphan_items", "inventory_store", "promo_product")
 
 def run_reports(retail: Retail, out: str, keys: list[str] | None = None,
                 gates: bool = True, materialize: bool = True,
-                fmt: str = "parquet") -> dict[str, str]:
-    if gates:
-        for rule in GATED_RULES:
-            validate.require_empty(_RULES[rule](retail), rule)
-    r = retail.materialize() if materialize else retail
-    targets: dict[str, str] = {}
+                fmt: str = "parquet", landing: DataFrame | None = None) -> dict[str, str]:
+    """Write the summary and the reports, publish them, return ``{key: path}``.
 
-    def write(key, df):
-        path = f"{out.rstrip('/')}/{key}"
-        df.write.mode("overwrite").format(fmt).option("header", "true").save(path)
-        targets[key] = path
-
-    write("validate_summary", summary(r))
+    Every rule is evaluated once: its count decides the gate and is the row of
+    the summary.  ``landing`` are counts of the delivered files' own faults
+    (``sources.scan.landing_violations``), reported with the others."""
+    r = retail.materialize() if materialize else retail
+    found = summary(r) if landing is None else summary(r).unionByName(landing)
+    counts = {row["rule"]: row["violations"] for row in found.collect()}  # a row per rule
+    if gates:
+        validate.require_none(counts, GATED_RULES)
+    run = Publication(r.spark, out)
+    frames = {"validate_summary": r.spark.createDataFrame(sorted(counts.items()), "rule string, violations long")}
     for key in keys or list(REPORTS):
-        if key == "validate_summary":
-            continue
-        write(key, REPORTS[key](r))
-    return targets
+        if key != "validate_summary":
+            frames[key] = REPORTS[key](r)
+    for key, df in frames.items():
+        df.write.format(fmt).option("header", "true").save(run.path(key))
+    run.publish()
+    return {key: run.path(key) for key in frames}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -62,8 +68,9 @@ def main(argv: list[str] | None = None) -> None:
     apply_scale_conf(spark, snapshot_dir(args.root, args.date))
     retail = Retail.from_landing(spark, args.root, args.date, args.as_of or args.date, args.input_format)
     keys = [k for k in args.reports.split(",") if k] or None
+    faults = landing_violations(spark, args.root, args.date) if args.input_format == "csv" else None
     for key, path in run_reports(retail, args.out, keys, not args.no_gates,
-                                 fmt=args.output_format).items():
+                                 fmt=args.output_format, landing=faults).items():
         print(f"{key}\t{path}")
 
 

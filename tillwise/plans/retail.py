@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean
 from ..operators.joins import broadcast_if_small
+from ..operators.layout import write_bucketed
 from ..session import shared_path
 from ..sources import testdata
 from ..sources.scan import read_dataset
@@ -119,6 +120,7 @@ class Retail:
 
     _CLEANED = ("transactions", "items", "stores", "customers", "products",
                 "inventory", "promotions", "suppliers")
+    _FACTS = ("transactions", "items")
 
     def materialize(self, path: str | None = None) -> "Retail":
         """Write every cleaned dataset once as Parquet and return a Retail
@@ -128,15 +130,19 @@ class Retail:
         executor lost later costs a re-read, not a re-run of dedup and
         imputation.  The files go to the shared folder named by
         ``spark.checkpoint.dir``, a folder of their own per call, unless
-        ``path`` (a new folder) is given."""
+        ``path`` (a new folder) is given.  Transactions and items are bucketed
+        by ``transaction_id`` alike, so reports join them without a shuffle."""
         base = path or shared_path(self.spark, "tillwise-cleaned", uuid.uuid4().hex)
         out = Retail(self.spark, self.sf_dir, self.as_of, self.ingest_date, raw=self._raw,
                      store_limit=self.store_limit)
         for name in self._CLEANED:  # transactions first: what follows reads the written table
             target = f"{base}/{name}"
             source = out if name in ("customers", "recent_transactions") else self
-            getattr(source, name).write.parquet(target)
-            out.__dict__[name] = self.spark.read.parquet(target)
+            if name in self._FACTS:
+                out.__dict__[name] = write_bucketed(getattr(source, name), target, "transaction_id")
+            else:
+                getattr(source, name).write.parquet(target)
+                out.__dict__[name] = self.spark.read.parquet(target)
             if name == "transactions":
                 out.__dict__["recent_transactions"] = clean.recent(
                     out.transactions, "transaction_date", self.as_of, 36)
