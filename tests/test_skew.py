@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from tillwise.operators import clean, joins, layout, windows
+from tillwise.operators import clean, intervals, joins, layout, windows
 from tillwise.plans.catalog import QUERIES
 
 
@@ -66,6 +66,27 @@ def test_no_window_over_raw_stores_in_running_queries(spark):
     assert window_lines and all("sum(_xn#" in ln for ln in window_lines)
 
 
+def test_interval_join_spreads_a_hot_product_and_matches_plain_join(spark):
+    """Product 1 has a third of the lines; overlapping, touching, empty and unbounded promotions."""
+    day = lambda n: dt.date(2019, 12, 25) + dt.timedelta(days=n)
+    lines = [(i, 1 if i % 3 == 0 else i % 11, day(i * 7 % 900)) for i in range(3000)] + [(3000, None, day(3)), (3001, 1, None)]
+    spans = [(1, 0, 0), (1, 5, 400), (1, 399, 899), (2, 31, 32), (3, 10, 9), (4, 0, 5000), (5, -9000, 9000), (6, 7, None), (None, 0, 900)]
+    rows_df = spark.createDataFrame(lines, "line long, product_id long, day date")
+    spans_df = spark.createDataFrame([(k, p, s if s is None else day(s), e if e is None else day(e))
+                                      for k, (p, s, e) in enumerate(spans)], "promo int, product_id long, s date, e date")
+    want = sorted(((n, k) for n, p, d in lines for k, (q, s, e) in enumerate(spans)
+                   if None not in (p, d, q, s, e) and p == q and day(s) <= d <= day(e)), key=str)
+    matched = {n for n, _ in want}
+    want += [(n, None) for n, _, _ in lines if n not in matched]
+    for days in (1, 32, 100_000):
+        got = intervals.interval_left_join(rows_df, spans_df, "product_id", "day", "s", "e", days).select("i.line", "p.promo")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str), days
+    joined = intervals.interval_left_join(rows_df, spans_df, "product_id", "day", "s", "e")
+    assert re.search(r"Exchange hashpartitioning\(product_id#\d+L?, _day#\d+L?, ", _plan(joined))
+    # the hot product's lines have as many keys as the calendar has buckets
+    assert joined.where("i.product_id = 1").select("_day").distinct().count() >= 28
+
+
 def test_hot_product_imputation_exact(spark):
     lines = [(i, 1, 10.0 if i % 3 else None) for i in range(3000)] + \
             [(i, 2, 4.0) for i in range(3000, 3100)]

@@ -31,3 +31,23 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     return (islands.groupBy(key, "_island")
                    .agg(F.min(start).alias(start), F.max(end).alias(end))
                    .drop("_island"))
+
+
+def interval_left_join(rows: DataFrame, spans: DataFrame, key: str, date: str, start: str, end: str,
+                       days: int = 32) -> DataFrame:
+    """``rows`` LEFT JOIN ``spans`` on the key and ``date BETWEEN start AND end``
+    (aliases ``i`` and ``p``; every match is a row, rows without one are kept).
+
+    The equi key is (key, calendar bucket of ``days`` days): a span is copied
+    into each bucket it touches, a row has one bucket, so no match is doubled
+    and a key with a third of all rows is dealt over as many tasks as the
+    calendar has buckets, by the plan itself and not by a run-time split."""
+    def bucket(col: str):
+        return F.floor(F.unix_date(F.col(col)) / days)
+
+    covered = spans.where(F.col(start) <= F.col(end)).withColumn(
+        "_span", F.explode(F.sequence(bucket(start), bucket(end)))).alias("p")
+    dated = rows.withColumn("_day", bucket(date)).alias("i")
+    cond = ((F.col(f"i.{key}") == F.col(f"p.{key}")) & (F.col("i._day") == F.col("p._span"))
+            & F.col(f"i.{date}").between(F.col(f"p.{start}"), F.col(f"p.{end}")))
+    return dated.join(covered, cond, "left")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import within_months
 from ..functions.money import cents, cents_to_money
 from .clean import line_revenue
+from .intervals import interval_left_join
 
 
 def key_set(df: DataFrame, *cols: str) -> DataFrame:
@@ -180,12 +181,10 @@ def transaction_lines(transactions: DataFrame, items: DataFrame) -> DataFrame:
 def promo_interval_join(transactions: DataFrame, items: DataFrame,
                         promotions: DataFrame) -> DataFrame:
     """Each item line LEFT JOIN every promotion of its product running on the
-    transaction date (equi key product_id + range test on the date); a line
-    under two overlapping promotions appears twice."""
-    lines = transaction_lines(transactions, items).alias("i")
-    promos = promotions.select("promo_id", "product_id", "start_date", "end_date").alias("p")
-    cond = ((F.col("i.product_id") == F.col("p.product_id"))
-            & F.col("i.transaction_date").between(F.col("p.start_date"), F.col("p.end_date")))
-    return lines.join(promos, cond, "left").select(
+    transaction date; a line under two overlapping promotions appears twice."""
+    lines = transaction_lines(transactions, items)
+    promos = promotions.select("promo_id", "product_id", "start_date", "end_date")
+    joined = interval_left_join(lines, promos, "product_id", "transaction_date", "start_date", "end_date")
+    return joined.select(
         "i.transaction_id", "i.product_id", "i.transaction_date", "i.quantity",
         "i.unit_price", "p.promo_id", "p.start_date", "p.end_date")

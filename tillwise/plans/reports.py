@@ -9,7 +9,7 @@ from ..functions.dates import iso_week, iso_week_year
 from ..functions.exact import add_up, lane_sums, with_parts, with_total
 from ..functions.money import cents, cents_to_money
 from ..operators.clean import line_revenue
-from ..operators.intervals import merge_intervals
+from ..operators.intervals import interval_left_join, merge_intervals
 from ..operators.joins import transaction_lines
 
 
@@ -68,12 +68,10 @@ def promo_flagged_lines(transactions: DataFrame, items: DataFrame,
     """Item lines with ``is_promoted`` = 1 when any promotion of the product
     runs on the transaction date.  Promotions are merged per product into
     disjoint intervals first, so each line matches at most once."""
-    lines = transaction_lines(transactions, items).alias("i")
-    spans = merge_intervals(promotions, "product_id", "start_date", "end_date").alias("p")
-    cond = ((F.col("i.product_id") == F.col("p.product_id"))
-            & F.col("i.transaction_date").between(F.col("p.start_date"), F.col("p.end_date")))
-    return (lines.join(spans, cond, "left")
-                 .select("i.*", F.when(F.col("p.start_date").isNotNull(), 1).otherwise(0)
+    lines = transaction_lines(transactions, items)
+    spans = merge_intervals(promotions, "product_id", "start_date", "end_date")
+    return (interval_left_join(lines, spans, "product_id", "transaction_date", "start_date", "end_date")
+                 .select(*[f"i.{c}" for c in lines.columns], F.when(F.col("p.start_date").isNotNull(), 1).otherwise(0)
                          .alias("is_promoted")))
 
 
