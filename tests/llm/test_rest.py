@@ -330,3 +330,15 @@ def test_documents_are_packed_by_the_vector_rule(spark):
     assert got["norm"] == best(1024, 1024, 1024 ** 2) != best(1024)
     assert got["dot"] == best(1024, 1024, 1024 ** 2, rule="dot")
     assert got["few"] == best(1024, 3, 2.0 * 1024 ** 2) and max(map(len, got["few"])) == 3
+
+
+def test_query_rows_that_share_an_id_are_searched_by_the_smallest_vector(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 40) if i != 20]
+    twins = [(20, rng.normal(size=8).tolist()) for _ in range(4)]
+    y = np.array(min((np.array(v) for _, v in twins), key=lambda v: v.tobytes()))
+    want = sorted(((float((np.array(v) * y).sum()), i) for i, v in rows), key=lambda t: (-t[0], t[1]))[:5]
+    for order in (twins, twins[::-1]):
+        frame = spark.createDataFrame([(i, v, "clash") for i, v in order + rows], "vec_id long, embedding array<double>, vector string")
+        got = ann.neighbours(frame.repartition(3), 5).where("query_id = 20").orderBy("rank").collect()
+        assert [(r.score, r.vec_id) for r in got] == want

@@ -18,8 +18,10 @@ all blocks.
 Vectors that are null, empty, zero, of another dimension than the pivots, or
 hold null or non-finite components take no part, as queries or candidates.
 Rows that repeat an id are candidates each (never for a query of their own
-id).  Ties go to the smaller id.  With fewer candidates than asked for, all
-are returned.  An empty table gives an empty result.
+id); where the rows of a query's id differ, the query is the vector whose bytes
+are smallest.  Ties go to the smaller id.  With fewer candidates than asked for,
+all are returned.  Other columns, of whatever name, are ignored.  An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -130,4 +132,5 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PI
 def neighbours(embeddings: DataFrame, k: int = 20) -> DataFrame:
     """The contract of op5: queries are the rows whose id is divisible by 20."""
     vectors = staged(usable(embeddings), "vectors")
-    return search(vectors, vectors.where(F.col("vec_id") % 20 == 0).dropDuplicates(["vec_id"]), k)
+    queries = vectors.where(F.col("vec_id") % 20 == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return search(vectors, queries, k)
