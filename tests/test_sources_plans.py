@@ -150,3 +150,14 @@ def test_dashboard_shuffles_deduplicated_transactions_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange [transaction_id" in plan
+
+
+def test_supplier_rank_over_a_written_table_has_few_exchanges(spark, scratch):
+    from tillwise.plans.calc import supplier_rank
+    testdata.derive(spark, SF_SMALL, "suppliers").write.parquet(f"{scratch}/suppliers")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(supplier_rank(spark.read.parquet(f"{scratch}/suppliers")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") <= 5 and plan.count("SortMergeJoin") <= 2
