@@ -10,13 +10,14 @@ the sequence whose residual vector after placing it has the least weighted
 norm (or the greatest weighted dot product with the item's demand).
 
 Scale: texts are read once and never shuffled; pieces of a few numbers are.
-They are dealt by a hash of the document id to groups of about
+They are dealt by a hash of the row to groups of about
 ``group_pieces`` and each group is packed on its own, which leaves at most a
 few open sequences a group.  Group count follows the number of pieces.
 
-Null or empty text is the end id alone.  Rows repeated in the input are
-packed each.  Very long texts give many full pieces.  An empty table gives
-an empty result.
+Null or empty text is the end id alone.  A special-token string in a text is
+that token, as ``tokenizers`` has it.  Rows repeated in the input are packed
+each.  Very long texts give many full pieces.  Other columns, of whatever name,
+are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts that hold one of these strings are encoded whole, since the tokenizer finds them before it cuts words
+        self.added = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # by the word without its space
         self.limit = limit
         vocab = self.encoder.get_vocab()
@@ -83,14 +85,15 @@ class WordCache:
             yield from self._block(texts[begin:at])
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        known, out = self.known, {}
+        known = self.known
         split = [t.split(" ") for t in texts]
         heads = [w.pop(0) for w in split]  # without a space before it
-        new = set(itertools.chain.from_iterable(split)) - known.keys()
+        special = {i for i, t in enumerate(texts) if any(map(t.__contains__, self.added))}
+        new = set(itertools.chain.from_iterable(w for i, w in enumerate(split) if i not in special)) - known.keys()
         odd = {w for w in new if not w or w[0].isspace()}  # a run of white space is not cut
         if odd:
-            whole = [i for i, w in enumerate(split) if not odd.isdisjoint(w)]
-            out = dict(zip(whole, self._ids([texts[i] for i in whole])))
+            special |= {i for i, w in enumerate(split) if not odd.isdisjoint(w)}
+        out = dict(zip(sorted(special), self._ids([texts[i] for i in sorted(special)])))
         own = self._words(list(new - odd))
         known.update(own)
         rest = [i for i in range(len(texts)) if i not in out]
