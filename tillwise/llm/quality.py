@@ -16,9 +16,10 @@ them, evenly over the table); the system has D x D entries and comes from
 at most ``_FIT_PARTITIONS`` partitions whatever the input.
 
 Null or empty text has zero statistics and gets the score of such texts.  A
-null id is the id ''.  Labels that are null are ignored; repeated label rows
-count each.  Without labelled rows every score is 0.5.  An empty table gives
-an empty result.
+null id is the id ''.  Labels that are null are ignored; repeated rows, of labels
+or of an id with one text, train once and are scored each.  Without labelled rows
+every score is 0.5.  Texts are read whole, however long.  Other columns, of
+whatever name, are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -130,15 +131,18 @@ def pool_adjacent_violators(value: np.ndarray, weight: np.ndarray) -> np.ndarray
 
 
 def labelled(stats: DataFrame, labels: DataFrame, target: str, max_rows: int, seed: str) -> DataFrame:
-    """Training rows ``x, y, fold`` (fold 0 of 5 calibrates), at most about ``max_rows``."""
+    """Training rows ``stats, y, fold`` (fold 0 of 5 calibrates), at most about ``max_rows``.
+
+    The threshold is on a hash of id and statistics, so of an id that many rows
+    repeat a share is taken, and below the join.  Repeated rows train once."""
     y = (labels.select(id_text().alias("id_text"), F.col(target).cast("int").alias("y"))
-         .where(F.col("y").isNotNull()))
-    rows = (stats.where(~F.col("held_out")).withColumn("id_text", id_text()).join(y, "id_text")
-            .withColumn("h", F.xxhash64(F.lit(seed), "id_text")))
-    n = rows.count()
+         .where(F.col("y").isNotNull()).distinct())
+    rows = stats.where(~F.col("held_out")).select(id_text().alias("id_text"), "stats")
+    n = rows.join(y, "id_text").count()
     if n > max_rows:
-        rows = rows.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
-    return rows.select("stats", "y", F.pmod(F.shiftright("h", 32), F.lit(5)).alias("fold"))
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id_text", "stats"), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
+    return rows.distinct().join(y, "id_text").select(
+        "stats", "y", F.pmod(F.shiftright(F.xxhash64(F.lit(seed), "id_text"), 32), F.lit(5)).alias("fold"))
 
 
 def fit(train: DataFrame, dimensions: int = DIMENSIONS, ridge: float = RIDGE, seed: int = 7) -> KernelRidge:
