@@ -153,6 +153,67 @@ def test_classifiers_without_labels_and_without_rows(spark, docs, none, clashing
     assert toxicity.score_documents(none, labels).count() == 0
 
 
+def test_one_id_on_a_third_of_the_rows_stays_within_the_training_bounds(spark, monkeypatch):
+    """Documents and labels both repeat one id; copies of its text and other texts."""
+    docs, labels, rows, _ = labelled_corpus(spark)
+    hot = next(i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5)
+    many = docs.unionByName(spark.createDataFrame(
+        [(hot, f"{'same' if i % 3 else i} text of one id", "en", "s", 1) for i in range(300)], docs.schema))
+    known = labels.unionByName(spark.createDataFrame([(hot, 1, 1)] * 300, labels.schema))
+    whole, share = toxicity.training_rows(many, known, "toxic", 1000, 1000)
+    got = [(bytes(r.text), r.y) for r in whole.collect()]
+    assert sum(t.endswith(b"text of one id") and y == 1 for t, y in got) == 101 and share == {0: 1.0, 1: 1.0}
+    part, share = toxicity.training_rows(many, known, "toxic", 60, 60)
+    assert 30 <= part.where("y = 1").count() <= 90 and share[1] < 0.5
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 4000)
+    assert sum(len(r.text) for r in toxicity.training_rows(many, known, "toxic", 1000, 1000)[0].collect()) < 16_000
+    monkeypatch.setattr(toxicity, "MAX_TEXT", 30)
+    assert all(len(r.text) <= 30 for r in toxicity.training_rows(many, known, "toxic", 1000, 1000)[0].collect())
+    stats = quality.with_statistics(many)
+    assert 30 <= quality.labelled(stats, known, "quality", 100, "seed").count() <= 200
+    assert {r["count"] for r in quality.labelled(stats, known, "quality", 10 ** 6, "seed").groupBy("stats").count().collect()} == {1}
+    assert toxicity.score_documents(many, known, max_toxic=60, max_clean=60).count() == many.count()
+
+
+def test_ridge_is_the_direct_least_squares_solution(spark):
+    docs, labels, *_ = labelled_corpus(spark, 300)
+    train = quality.staged(quality.labelled(quality.with_statistics(docs), labels, "quality", 10 ** 6, "seed"), "train")
+    model = quality.fit(train, dimensions=24)
+    rows = train.where("fold != 0").collect()
+    x, y = quality.matrix([bytes(r.stats) for r in rows]), np.array([r.y for r in rows], float)
+    z = np.hstack([np.sqrt(2 / 24) * np.cos(np.clip((x - model.mean) / model.scale, -6, 6) @ model.w + model.b), np.ones((len(x), 1))])
+    weight = (quality.RIDGE * len(x) + 1e-9) / 24  # of the squared length of the solution
+    direct = np.linalg.lstsq(np.vstack([z, np.sqrt(weight) * np.eye(25)]), np.append(y, np.zeros(25)), rcond=None)[0]
+    assert np.allclose(model.weights, direct, atol=1e-6)
+
+
+def test_passage_scores_are_averages_of_their_ngrams():
+    """Against a plain loop over passages, words and n-grams."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    model = toxicity.Subwords(rng.normal(size=(toxicity.BUCKETS, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+    table = model.weights()
+    texts = [b"One two\tthree four five six seven eight", b"ab  c", b"", b" lone ", "caf\u00e9 z z z z z z z".encode()]
+
+    def bucket(g: bytes) -> int:
+        return int(list(toxicity.grams(np.frombuffer(g, np.uint8)))[len(g) - 3][0][0])
+
+    def highest(text: bytes) -> float:
+        bias = float(model.bias[1] - model.bias[0])
+        words = text.lower().split()
+        runs = [words[i:i + 6] for i in range(max(1, len(words) - 5))] if words else []
+        scores = []
+        for run in runs:
+            got = [table[bucket(w[i:i + n])] for w in (b" " + w + b" " for w in run)
+                   for n in toxicity.SIZES for i in range(len(w) - n + 1)]
+            scores.append(sum(map(float, got)) / max(1, len(got)) + bias)
+        return max(scores, default=bias)
+
+    have = model.highest(pa.array(texts, pa.binary()), table)[0]
+    assert np.allclose(have, [highest(t) for t in texts], atol=1e-4)
+
+
 # ------------------------------------------------------------- chats
 
 def test_snapshots_collapse_to_the_longest(spark):
@@ -264,11 +325,15 @@ def test_words_encode_like_whole_texts(docs):
     import public_tokenizers
 
     cache = packing.WordCache(public_tokenizers.path(VOCAB_FILE), limit=50)
-    odd = ["", " ", "  ", "a  b", " a", "a ", "a \nb", "a   b", "\n a\n\n b \t c", "don't  'll it's <|endoftext|> z",
+    odd = ["", " ", "  ", "a  b", " a", "a ", "a \nb", "a   b", "\n a\n\n b \t c", "don't  'll it's <|endoftext|> z", "x <|endoftext|> y", "a<|endoftext|>", "<|endoftext|> <|endoftext|>b <| endoftext |>",
            "  a  b", "1 2  33 !!  ?? a\x1cb \x1cq", "日本 語 テ", "é \U0001f600 a", "x  y  z   w"]
     sample = odd + [t for _, t in texts(docs)] + odd
     got = [np.frombuffer(b, "<u4").tolist() for b in cache.encode(sample)]
-    assert got == [e.ids for e in cache.encoder.encode_batch(sample, add_special_tokens=False)]
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(VOCAB_FILE))  # with no setting changed
+    assert got == [e.ids for e in plain.encode_batch(sample, add_special_tokens=False)]
+    assert got[sample.index("x <|endoftext|> y")] == [87, 220, 50256, 331]
 
 
 def test_packing_is_whole_gapless_and_tight(docs, clashing, none, monkeypatch):

@@ -11,14 +11,18 @@ toxic documents stop counting.  A misspelt word shares most n-grams with
 what was seen.  A logistic fit on rows kept out of the training turns the
 highest passage's logit into a probability at the true share of toxic rows.
 
-Bounds: at most ``MAX_TOXIC`` + ``MAX_CLEAN`` labelled documents train, taken
-by hash thresholds from the whole table; the model has a fixed size.  Every
-text is scored whole, in one pass without a shuffle.
+Bounds: at most about ``MAX_TOXIC`` + ``MAX_CLEAN`` labelled documents train,
+and ``MAX_BYTES`` of text of each kind.  Ids are taken by a hash threshold from
+the whole label table, then their texts by a hash of id and text, so an id that
+a third of all rows repeat brings no more than its share.  Texts over
+``MAX_TEXT`` bytes do not train.  The model has a fixed size.  Every text is
+scored whole, however long, in one pass without a shuffle.
 
 Null or empty text scores as a passage without n-grams.  Null labels are
-ignored, repeated label rows count each.  Without labels of both kinds
-every score is the share of toxic labels (0 without any).  An empty table
-gives an empty result.
+ignored; repeated rows, of labels or of an id with one text, train once and are
+scored each.  Without labels of both kinds every score is the share of toxic
+labels (0 without any).  Other columns, of whatever name, are ignored.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import flat_bytes, held_out, id_text, rows_of, staged, text_bytes
 
 MAX_TOXIC, MAX_CLEAN = 1_500, 2_500  # training documents, at most about
+MAX_BYTES, MAX_TEXT = 64 << 20, 4 << 20  # of the training texts of a kind, and of one of them
 BUCKETS = 1 << 18
 DIM = 8
 SPAN = 6
@@ -213,19 +218,40 @@ def calibrate(model: Subwords, logit: np.ndarray, y: np.ndarray, weight: np.ndar
     model.slope, model.shift = float(c[0] / scale), float(c[1])
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, target: str, max_toxic: int,
+                  max_clean: int) -> tuple[DataFrame | None, dict[int, float]]:
+    """Rows ``text, y, h`` within the bounds (None without both kinds), and the share taken of each kind."""
+    ids = staged(labels.select(id_text().alias("id_text"), F.col(target).cast("int").alias("y"))
+                 .where(F.col("y").isNotNull() & ~held_out("id_text"))
+                 .select("id_text", (F.col("y") > 0).cast("int").alias("y")).distinct()
+                 .withColumn("h", F.pmod(F.xxhash64(F.lit("toxic"), "id_text"), F.lit(1 << 30))), "toxic-labels")
+    n = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}
+    if not n.get(1) or not n.get(0):
+        return None, {k: float(k in n) for k in (0, 1)}
+    bound = {1: max_toxic, 0: max_clean}
+
+    def below(column: str, share: dict[int, float]):
+        return F.col(column) < F.when(F.col("y") > 0, int((1 << 30) * share[1])).otherwise(int((1 << 30) * share[0]))
+
+    share = {k: min(1.0, bound[k] / n[k]) for k in n}
+    some = F.broadcast(ids.where(below("h", share)))  # one row per id and kind: about max_toxic + max_clean
+    rows = (docs.select(id_text().alias("id_text"), text_bytes().alias("text"))
+            .where(F.length("text") <= MAX_TEXT).join(some, "id_text")
+            .withColumn("t", F.pmod(F.xxhash64(F.lit("text"), "id_text", "text"), F.lit(1 << 30))))
+    found = (rows.select("id_text", "y", "t", F.length("text").alias("size")).distinct()
+             .groupBy("y").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect())
+    within = {0: 1.0, 1: 1.0} | {r.y: min(1.0, bound[r.y] / r.n, MAX_BYTES / max(r["size"], 1)) for r in found}
+    return (rows.where(below("t", within)).select("id_text", "text", "y", "h").distinct().select("text", "y", "h"),
+            {k: share[k] * within[k] for k in share})
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_toxic: int = MAX_TOXIC,
         max_clean: int = MAX_CLEAN) -> Subwords | float:
     """Fit on a bounded sample of the labelled rows that are not held out."""
-    y = labels.select(id_text().alias("id_text"), F.col(target).cast("int").alias("y")).where("y is not null")
-    y = staged(y.where(~held_out("id_text")).withColumn("h", F.pmod(F.xxhash64(F.lit("toxic"), "id_text"), F.lit(1 << 30))),
-               "toxic-labels")
-    n = {r.y: r["count"] for r in y.groupBy((F.col("y") > 0).cast("int").alias("y")).count().collect()}
-    if not n.get(1) or not n.get(0):
-        return float(bool(n.get(1)))
-    rate = {k: min(1.0, bound / n[k]) for k, bound in ((1, max_toxic), (0, max_clean))}
-    y = y.where(F.col("h") < F.when(F.col("y") > 0, int((1 << 30) * rate[1])).otherwise(int((1 << 30) * rate[0])))
-    rows = (docs.select(id_text().alias("id_text"), text_bytes().alias("text")).join(F.broadcast(y), "id_text")
-            .select("text", "y", "h").orderBy("h", "text").toPandas())  # bounded by max_toxic + max_clean
+    rows, rate = training_rows(docs, labels, target, max_toxic, max_clean)
+    if rows is None:
+        return rate[1]
+    rows = rows.orderBy("h", "text").toPandas()  # bounded in rows and bytes
     texts, y, fold = list(map(bytes, rows["text"])), (rows["y"].to_numpy() > 0).astype(int), rows["h"].to_numpy() % 5
     if not len(texts):
         return 0.0
