@@ -19,13 +19,19 @@ def texts(docs):
 
 # ------------------------------------------------------------- fingerprints
 
-def test_fingerprints_pair_every_document_with_the_next(docs, monkeypatch):
+def in_order(spark, docs):
+    """Documents by falling id, null last; those of one id by the hash of their text."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64(F.col("text").cast("binary")))
+    return [(d, t) for d, _, t in sorted(((-(1 << 63) if r.doc_id is None else r.doc_id, r.h, r.text) for r in rows.collect()),
+                                         key=lambda x: (-x[0], x[1], x[2].encode()))]
+
+
+def test_fingerprints_pair_every_document_with_the_next(spark, docs, clashing, none, monkeypatch):
     monkeypatch.setattr(edit_fingerprint, "_ROWS", 7)  # many ranges and groups
     got = edit_fingerprint.fingerprint_documents(docs).collect()
-    order = sorted(((-(1 << 63) if d is None else d, t.encode()) for d, t in texts(docs)), key=lambda x: (-x[0], x[1]))
+    order = in_order(spark, docs)
     want = []
     for (d, t), (_, following) in zip(order, order[1:] + order[:1]):
-        t, following = t.decode(), following.decode()
         new = edit_fingerprint.edited(t, following)
         want.append((d, len(t), hashlib.sha256(new.encode()).hexdigest()))
     have = [(-(1 << 63) if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256) for r in got]
@@ -34,10 +40,58 @@ def test_fingerprints_pair_every_document_with_the_next(docs, monkeypatch):
     for r in got:
         assert by_text.setdefault((r.doc_id), r.fingerprint) == r.fingerprint
         assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+    assert sorted(edit_fingerprint.fingerprint_documents(clashing).collect(), key=str) == sorted(got, key=str)
+    empty = edit_fingerprint.fingerprint_documents(none)
+    assert empty.count() == 0 and empty.columns[:7] == edit_fingerprint.fingerprint_documents(docs).columns[:7]
     long = [r for r in got if r.n_chars > 300]
     assert np.mean([r.near_edited for r in long]) > 0.3 > np.mean([r.near_next for r in long])
 
 
+def test_an_id_on_most_rows_is_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(edit_fingerprint, "_ROWS", 20)
+    rows = [(i, f"text {i}") for i in range(150)] + [(70, f"of one id {i}") for i in range(300)] + [(None, f"null {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = edit_fingerprint.with_next(docs).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert dealt.groupBy("range").agg(F.count_distinct("task").alias("n")).where("n > 1").count() == 0
+    assert max(sizes) < 60 and dealt.where("halo = 1").count() == dealt.select("range").distinct().count() == len(sizes)
+    order = in_order(spark, docs)
+    want = [(t, hashlib.sha256(edit_fingerprint.edited(t, f).encode()).hexdigest()) for (_, t), (_, f) in zip(order, order[1:] + order[:1])]
+    got = edit_fingerprint.fingerprint_documents(docs).collect()
+    assert sorted((r.n_chars, r.edited_sha256) for r in got) == sorted((len(t), h) for t, h in want)
+
+
+def test_fingerprints_are_those_of_a_walk_read_character_by_character():
+    rng, walk = random.Random(8), edit_fingerprint.Walk(slots=16)
+    texts = ["", "a", "ab", "héllo wörld", "".join(rng.choices("abc déf", k=500)), "".join(rng.choices("xyz", k=37))]
+    have = edit_fingerprint.fingerprints(texts, walk)
+
+    def slot(text: str, k: int, steps: int) -> int:
+        """What slot k samples of a walk that counts as ``steps`` long."""
+        read, w, place = edit_fingerprint.classes(text).tolist(), k % walk.walks, 0
+        for step in range(walk.sampled(k, steps)):
+            place += int(walk.row(step)[256 * w + read[place]])
+        value = read[place]
+        for ahead in range(1, 4):
+            value = (value * 0x9E3779B1 + (read[min(place + ahead, len(read) - 1)] if read[place] else 0)) & 0xFFFFFFFF
+        value = (value ^ value >> 15) * 0x85EBCA6B & 0xFFFFFFFF
+        return value >> 24
+
+    def length(text: str, w: int) -> int:
+        read, place, step = edit_fingerprint.classes(text).tolist(), 0, 0
+        while read[place]:
+            place += int(walk.row(step)[256 * w + read[place]])
+            step += 1
+        return step
+
+    checks = [1]  # the steps after which walks are asked whether they are over
+    while checks[-1] < 5000:
+        checks.append(max(checks[-1] + 1, checks[-1] + checks[-1] // 32))
+    for t, print_ in zip(texts, have):
+        ends = [next(c for c in checks if c >= length(t, w)) for w in range(walk.walks)]
+        assert print_.tolist() == [slot(t, k, ends[k % walk.walks]) for k in range(16)]
+
+
 def test_equal_texts_equal_fingerprints_and_small_edits_stay_near():
     rng = random.Random(0)
     walk = edit_fingerprint.Walk()

@@ -19,20 +19,24 @@ fingerprints is one.
 
 Scale: a walk is a vector operation over thousands of texts at once, so its
 memory is bounded by ``_GROUP_BYTES`` (and the longest text).  For the pairs
-with the next document, documents are dealt to ranges of ids by sampled
-splitters that are ids themselves; the first document of a range is also
-sent to the range before, so neighbours meet without a global sort.
+with the next document, documents are dealt to ranges of ids by quantiles
+that are ids themselves; the first document of a range is also sent to the
+range before, so neighbours meet without a global sort.  Ranges go to tasks by
+number.  An id that fills whole ranges is cut by a hash of its texts.
 
 Null text is empty; empty texts have one fingerprint.  A null id counts as
-the smallest id.  Rows with one id are ordered by text and are each other's
-next.  A single document is its own next; an empty table gives an empty
-result.
+the smallest id.  Rows with one id are ordered by a hash of the text (xxhash64)
+and are each other's next.  Very long texts are read whole, alone in their
+group.  A single document is its own next; other columns, of whatever name, are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,7 +53,7 @@ WALKS = 4
 BANDS = 32
 _TAIL = 4  # characters of a sample, and pads after a text
 _ROWS, _GROUP_BYTES = 8192, 24 << 20
-_MAX_RANGES = 10_000
+_MAX_RANGES = 100_000  # a task takes one; beyond 0.8 billion documents they hold more, which a task streams
 _BLOCK = 1024  # fingerprints of a block of near_documents
 _SMALLEST = -(1 << 63)
 
@@ -159,16 +163,48 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _splits(keys: DataFrame) -> list[int]:
-    """Ids that begin ranges of about _ROWS documents, falling; the first is the greatest."""
-    n, top = keys.agg(F.count("*"), F.max("key")).first()
+def _quantiles(column: str, parts: int):
+    """``parts`` - 1 values of ``column`` that cut its rows into equal parts."""
+    return F.percentile_approx(column, [i / parts for i in range(1, parts)] or [0.5], 10 * parts + 1000)
+
+
+def _splits(docs: DataFrame) -> list[tuple[int, int]]:
+    """(key, text hash) that begin ranges of about _ROWS documents, in the order of :func:`with_next`.
+
+    Quantiles of quantiles: the keys are cut into a square root of the parts,
+    then each of these again.  A key that is met twice among the cuts holds
+    whole ranges and is cut by the hash of its texts, at hashes that occur."""
+    n, top = docs.agg(F.count("*"), F.max("key")).first()
     if not n:
         return []
     parts = min(_MAX_RANGES, -(-n // _ROWS))
-    if parts == 1:
-        return [top]
-    cuts = keys.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10 * parts + 1000)).first()[0]
-    return sorted({top, *cuts}, reverse=True)
+    outer = math.ceil(math.sqrt(parts))
+    inner = -(-parts // outer)
+    cuts = docs.agg(_quantiles("key", outer)).first()[0] if outer > 1 else []
+    often = {k for k, m in Counter(cuts).items() if m > 1}
+    if inner > 1:
+        bounds = np.array(sorted(set(cuts)), np.int64)
+
+        @F.pandas_udf("int")
+        def part(key: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(bounds, key.to_numpy(np.int64), "right").astype(np.int32))
+
+        keys = docs.select("key").where(~F.col("key").isin(*often)) if often else docs.select("key")
+        for r in keys.groupBy(part("key").alias("part")).agg(_quantiles("key", inner).alias("cuts")).collect():
+            often |= {k for k, m in Counter(r.cuts).items() if m > 1}
+            cuts = cuts + r.cuts
+    splits = {(k, _SMALLEST) for k in {top, *cuts} - often}
+    if often:
+        hot = docs.where(F.col("key").isin(*often))
+        pieces = hot.groupBy("key").agg(F.ceil(F.count("*") / _ROWS).alias("pieces"))
+        high = F.floor((F.shiftright(F.col("hash"), 32) + (1 << 31)) * F.col("pieces") / (1 << 32))
+        splits |= {(r.key, r.hash) for r in hot.select("key", _hash().alias("hash")).join(pieces, "key")
+                   .groupBy("key", high.alias("piece")).agg(F.min("hash").alias("hash")).collect()}
+    return sorted(splits, key=lambda s: (-s[0], s[1]))
+
+
+def _hash() -> Column:
+    return F.xxhash64("text")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -176,22 +212,26 @@ def with_next(docs: DataFrame) -> DataFrame:
     each document is followed by the next one; a range ends with a halo row."""
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST)).alias("key"),
                        text_bytes().alias("text"))
-    splits = _splits(docs.select("key"))
-    begin = np.array([~s for s in splits], np.int64)  # rising; ~ never overflows
+    splits = _splits(docs)
+    begin = np.array([~k for k, _ in splits], np.int64)  # rising; ~ never overflows
+    lowest = np.array([h for _, h in splits], np.int64)  # text hash that begins a range, of those of one key
 
     @F.pandas_udf("array<int>")
-    def places(key: pd.Series) -> pd.Series:
-        k = ~key.to_numpy(np.int64)
-        at = np.searchsorted(begin, k, "right") - 1
-        first = begin[at] == k
+    def places(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        k, h = ~key.to_numpy(np.int64), hashed.to_numpy(np.int64)
+        left, right = np.searchsorted(begin, k, "left"), np.searchsorted(begin, k, "right")
+        at, first = right - 1, right > left
+        for i in np.flatnonzero(right - left > 1).tolist():
+            at[i] = left[i] + np.searchsorted(lowest[left[i]:right[i]], h[i], "right") - 1
+        first &= (lowest[at] == h) | (lowest[at] == _SMALLEST)
         return pd.Series([[2 * a, 2 * ((a or len(begin)) - 1) + 1] if f else [2 * a] for a, f in zip(at.tolist(), first)])
 
     n = max(1, len(splits))
-    return (docs.withColumn("place", F.explode(places("key")))
+    return (docs.withColumn("hash", _hash()).withColumn("place", F.explode(places("key", "hash")))
             .select(F.floor(F.col("place") / 2).cast("int").alias("range"), (F.col("place") % 2).alias("halo"),
-                    "key", "doc_id", "text")
-            .repartition(n, "range")
-            .sortWithinPartitions("range", "halo", F.desc("key"), "text"))
+                    "key", "doc_id", "hash", "text")
+            .repartitionById(n, "range")
+            .sortWithinPartitions("range", "halo", F.desc("key"), "hash", "text").drop("hash"))
 
 
 def fingerprint_documents(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
