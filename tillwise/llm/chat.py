@@ -14,8 +14,9 @@ of all conversations share is one row there.
 Turns are ordered by turn, role, text (nulls first).  A null role renders as
 ``unknown``, null text as empty; nulls are equal to each other and differ
 from empty strings in the hash.  Rows with a null conversation id form one
-conversation.  Repeated rows are repeated turns.  An empty table gives an
-empty result.
+conversation.  Repeated rows are repeated turns.  Texts are hashed and rendered
+whole, however long.  Other columns, of whatever name, are ignored.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
