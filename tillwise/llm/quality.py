@@ -130,13 +130,18 @@ def pool_adjacent_violators(value: np.ndarray, weight: np.ndarray) -> np.ndarray
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
+def targets_of(labels: DataFrame, target: str) -> DataFrame:
+    """``id_text, y`` of the labelled ids, each once."""
+    return (labels.select(id_text().alias("id_text"), F.col(target).cast("int").alias("y"))
+            .where(F.col("y").isNotNull()).distinct())
+
+
 def labelled(stats: DataFrame, labels: DataFrame, target: str, max_rows: int, seed: str) -> DataFrame:
     """Training rows ``stats, y, fold`` (fold 0 of 5 calibrates), at most about ``max_rows``.
 
     The threshold is on a hash of id and statistics, so of an id that many rows
     repeat a share is taken, and below the join.  Repeated rows train once."""
-    y = (labels.select(id_text().alias("id_text"), F.col(target).cast("int").alias("y"))
-         .where(F.col("y").isNotNull()).distinct())
+    y = targets_of(labels, target)
     rows = stats.where(~F.col("held_out")).select(id_text().alias("id_text"), "stats")
     n = rows.join(y, "id_text").count()
     if n > max_rows:
@@ -201,10 +206,27 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, ridge: float = RIDGE, se
     return model
 
 
+def training_documents(docs: DataFrame, labels: DataFrame, target: str, max_rows: int, seed: str) -> DataFrame:
+    """``doc_id, text`` of the documents that may train, at most about ``max_rows`` labelled ones.
+
+    The ids alone tell how many are labelled.  If more than ``max_rows``, a hash
+    of id and text picks; if not, their ids (as few) are broadcast to the texts."""
+    rows = docs.select("doc_id", "text").where(~held_out())
+    ids = rows.select(id_text().alias("id_text"))
+    y = targets_of(labels, target)
+    n = ids.join(y, "id_text").count()
+    if n > max_rows:
+        picked = F.pmod(F.xxhash64(F.lit(seed), id_text(), "text"), F.lit(1 << 30)) < int((1 << 30) * max_rows / n)
+        return rows.where(picked)
+    known = y.select("id_text").distinct().join(ids, "id_text", "left_semi")
+    return rows.join(F.broadcast(known), id_text() == known["id_text"], "left_semi")
+
+
 def kept_documents(docs: DataFrame, labels: DataFrame, target: str = "quality",
                    threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
-    model = fit(staged(labelled(staged(with_statistics(docs), "stats"), labels, target, max_rows, "quality"), "quality-train"))
+    stats = staged(with_statistics(training_documents(docs, labels, target, max_rows, "quality-text")), "stats")
+    model = fit(staged(labelled(stats, labels, target, max_rows, "quality"), "quality-train"))
     names = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes
     given = docs.toDF(*names)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema)
