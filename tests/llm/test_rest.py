@@ -197,6 +197,26 @@ def test_classifiers_on_held_out_rows_and_misspellings(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in q.items() if r.predicted}
 
 
+def test_statistics_of_training_texts_only(spark):
+    docs, labels, rows, _ = labelled_corpus(spark)
+    fit_rows = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5}
+    every = quality.training_documents(docs, labels, "quality", 10 ** 6, "seed")
+    assert {r.doc_id for r in every.collect()} == fit_rows
+    few = labels.where("doc_id % 7 = 0").unionByName(spark.createDataFrame([(None, 1, 1), (3, None, 1)], labels.schema))
+    more = docs.unionByName(spark.createDataFrame([(None, None, None, None, None), (None, "x", None, None, None)], docs.schema))
+    got = [(r.doc_id, r.text) for r in quality.training_documents(more, few, "quality", 10 ** 6, "seed").collect()]
+    assert sorted(got, key=str) == sorted([(i, t) for i, t, *_ in rows if i in fit_rows and i % 7 == 0]
+                                          + ([(None, None), (None, "x")] if zlib.crc32(b"") % 5 else []), key=str)
+    hot = min(fit_rows)
+    many = docs.unionByName(spark.createDataFrame([(hot, f"text {i} of one id", "en", "s", 1) for i in range(2000)], docs.schema))
+    share = quality.training_documents(many, labels, "quality", 200, "seed")
+    assert 130 <= share.count() <= 280 and 0.5 < share.where(f"doc_id = {hot}").count() / share.count() <= 1
+    assert quality.training_documents(docs.limit(0), labels, "quality", 10, "seed").count() == 0
+    kept = quality.kept_documents(docs, labels, max_rows=150)
+    right = {i for i, good, _ in labels.collect() if good}
+    assert len({r.doc_id for r in kept.collect()} ^ right) < 0.06 * len(rows)
+
+
 def test_classifiers_without_labels_and_without_rows(spark, docs, none, clashing):
     labels = spark.createDataFrame([(1, None, None)], "doc_id long, quality int, toxic int")
     q = quality.score_documents(clashing, labels).collect()
@@ -390,6 +410,33 @@ def test_words_encode_like_whole_texts(docs):
     assert got[sample.index("x <|endoftext|> y")] == [87, 220, 50256, 331]
 
 
+def test_latin_words_get_the_ids_of_the_plain_tokenizer():
+    """Words through the ranks, mixed with others, odd white space, joined tokens and long runs."""
+    import json
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(VOCAB_FILE)
+    plain, cache, rng = Tokenizer.from_file(path), packing.WordCache(path, limit=2000), random.Random(3)
+    visible = [t.replace("\u0120", "") for t in plain.get_vocab()]
+    letters = [chr(c) for c in range(0x280)] + [chr(c) for c in range(128)] * 4
+    made = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(3000)]
+    made += [" ".join("".join(rng.choices(visible, k=rng.randint(1, 5))) for _ in range(5)) for _ in range(3000)]
+    made += [" ".join("".join(rng.choices("abcdest'AB19.,-\n\t\u00e9\u00a0", k=rng.randint(1, 90))) for _ in range(4)) for _ in range(3000)]
+    assert cache.latin is not None
+    want = [e.ids for e in plain.encode_batch_fast(made, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in cache.encode(made)] == want
+    cache.latin, cache.known = None, {}
+    assert [np.frombuffer(b, "<u4").tolist() for b in cache.encode(made)] == want
+    # a vocabulary that ranks cannot stand for goes through its tokenizer alone
+    spec = json.loads(plain.to_str())
+    merges = spec["model"]["merges"]
+    assert packing.latin_encoding(spec | {"model": spec["model"] | {"merges": merges[::-1]}}) is None
+    assert packing.latin_encoding(spec | {"pre_tokenizer": None}) is None
+
+
 def test_packing_is_whole_gapless_and_tight(docs, clashing, none, monkeypatch):
     import public_tokenizers
 

@@ -22,13 +22,14 @@ are ignored.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import itertools
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +42,45 @@ MAX_DOCS, MAX_COST = WINDOW, WINDOW ** 2  # what a window of tokens implies: not
 WEIGHTS = (1.0, 0.1, 0.1)
 VOCABULARY = "byte_bpe_50k.json"
 
+_SHORT = 64  # longer words would cost the square of their length
+_LATIN_END = "\u0250"  # characters below have one class in every version of Unicode, so all libraries cut alike
+# fixed value: the cuts of byte-level BPE
+_CUTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def latin_encoding(tokenizer: dict):
+    """The merges of a byte-level BPE as a ``tiktoken`` encoding for Latin text.
+
+    None where ranks cannot stand for the merges: another model, another way
+    to cut words, or ids that do not follow the order of the merges."""
+    model, cutter = tokenizer["model"], tokenizer["pre_tokenizer"] or {}
+    if (model["type"] != "BPE" or tokenizer["normalizer"] or cutter.get("type") != "ByteLevel"
+            or not cutter.get("use_regex") or cutter.get("add_prefix_space") or model.get("ignore_merges")):
+        return None
+    made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    added = {t["content"] for t in tokenizer["added_tokens"]}
+    learned = {t: i for t, i in model["vocab"].items() if t not in added}
+    if any(a >= b for a, b in zip(made, made[1:])) or len(learned) != 256 + len(made):
+        return None
+    # byte-level writing: visible Latin-1 characters are their own byte, the other bytes follow from U+0100
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in learned.items()}
+    return tiktoken.Encoding("latin", pat_str=_CUTS, mergeable_ranks=ranks, special_tokens={})
+
+
 class WordCache:
     """Token ids of a text through a bounded cache of its space-led words.
 
     Byte-level BPE never merges across a space that is followed by a visible
     character, so a text may be cut there and each word encoded once.  New
     words are encoded in one call: in their joined text, the tokens that
-    begin with a space begin the words."""
+    begin with a space begin the words.  Short Latin words go through
+    ``tiktoken``, given the merges of the same vocabulary as ranks, the others
+    through ``tokenizers``; a vocabulary whose ids are not in the order of its
+    merges goes through ``tokenizers`` alone."""
 
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
@@ -63,14 +93,24 @@ class WordCache:
         vocab = self.encoder.get_vocab()
         self.leads = np.zeros(max(vocab.values()) + 1, bool)
         self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # the space, in this vocabulary's writing
+        self.latin = latin_encoding(json.loads(self.encoder.to_str()))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
+        if self.latin is None:
+            return self._joined(words, lambda text: self._ids([text])[0])
+        short = [w for w in words if len(w) <= _SHORT and (w.isascii() or max(w) < _LATIN_END)]
+        own = self._joined(short, lambda text: self.latin.encode_to_numpy(text, disallowed_special=()))
+        if len(short) < len(words):
+            own |= self._joined([w for w in words if w not in own], lambda text: self._ids([text])[0])
+        return own
+
+    def _joined(self, words: list[str], encode: Callable[[str], np.ndarray]) -> dict[str, bytes]:
         if not words:
             return {}
-        ids = self._ids([" " + " ".join(words)])[0]
+        ids = encode(" " + " ".join(words)).astype("<u4", copy=False)
         raw, at = ids.tobytes(), (4 * np.flatnonzero(self.leads[ids])).tolist()
         return dict(zip(words, [raw[i:j] for i, j in zip(at, at[1:] + [len(raw)])], strict=True))
 
@@ -88,20 +128,26 @@ class WordCache:
         known = self.known
         split = [t.split(" ") for t in texts]
         heads = [w.pop(0) for w in split]  # without a space before it
+        found = [list(map(known.get, w)) for w in split]
         special = {i for i, t in enumerate(texts) if any(map(t.__contains__, self.added))}
-        new = set(itertools.chain.from_iterable(w for i, w in enumerate(split) if i not in special)) - known.keys()
+        missing = {i: [k for k, f in enumerate(have) if f is None]
+                   for i, have in enumerate(found) if None in have and i not in special}
+        new = {split[i][k] for i, at in missing.items() for k in at}
         odd = {w for w in new if not w or w[0].isspace()}  # a run of white space is not cut
         if odd:
-            special |= {i for i, w in enumerate(split) if not odd.isdisjoint(w)}
+            special |= {i for i, at in missing.items() if any(split[i][k] in odd for k in at)}
         out = dict(zip(sorted(special), self._ids([texts[i] for i in sorted(special)])))
         own = self._words(list(new - odd))
-        known.update(own)
+        for i, at in missing.items():
+            if i not in special:
+                have, words = found[i], split[i]
+                for k in at:
+                    have[k] = own[words[k]]
         rest = [i for i in range(len(texts)) if i not in out]
         for i, head in zip(rest, self._ids([heads[i] for i in rest])):
-            out[i] = head.tobytes() + b"".join(map(known.__getitem__, split[i]))
-        if len(known) > self.limit:
-            for w in own:
-                del known[w]
+            out[i] = head.tobytes() + b"".join(found[i])
+        if len(known) + len(own) <= self.limit:
+            known.update(own)
         return [out[i] if isinstance(out[i], bytes) else out[i].tobytes() for i in range(len(texts))]
 
 
