@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -59,6 +60,15 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def give_back() -> None:
+    """Freed memory of this Python worker goes back to the system: an idle worker
+    stays alive beside the busy ones of its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], max_bytes: int, col: str,
             max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Regroup record batches by the bytes of binary column ``col``.

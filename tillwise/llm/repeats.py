@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import flat_bytes, mix64, rows_of
+from .common import flat_bytes, give_back, mix64, rows_of
 
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 48 << 20  # text per bucket, on average
@@ -107,6 +107,7 @@ def each_chunk(chunks: DataFrame, answers: DataFrame | None, work: Callable[[pa.
             for b in batches:
                 for chunk, data in zip(b.column("chunk").to_pylist(), b.column("data")):
                     yield from tagged(chunk, work(opened(data.as_py()), {})).to_batches()
+                    give_back()
 
         return chunks.select("chunk", "data").mapInArrow(per_batch, schema)
 
@@ -115,6 +116,7 @@ def each_chunk(chunks: DataFrame, answers: DataFrame | None, work: Callable[[pa.
         for kind, bucket, message in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "message"))):
             got.setdefault(kind, {})[bucket] = message
         parts = [tagged(key[0].as_py(), work(opened(d.as_py()), got)) for d in left.column("data")]
+        give_back()
         return pa.concat_tables(parts)
 
     return (chunks.select("chunk", "data").groupBy("chunk").cogroup(answers.groupBy("chunk"))
@@ -161,7 +163,8 @@ def ask_values(values: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
 def held_by_others(messages: list[bytes]) -> list[bytes]:
     """For each message a bit per value: whether another message has it too."""
     values = [unpack_rising(m) for m in messages]
-    every = np.sort(np.concatenate(values))
+    every = np.concatenate(values)
+    every.sort()  # in place: a bucket holds 8 bytes a distinct name of 48 MB of text
     twice = np.unique(every[1:][every[1:] == every[:-1]])
     return [pack_bits(np.isin(v, twice, assume_unique=True)) for v in values]
 

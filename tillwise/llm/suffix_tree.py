@@ -65,10 +65,16 @@ class Chunk:
         self.ids = rows.column("id").to_numpy()
         says = answers.get(0, {})
         self.copy = np.array([says.get(i) == b"copy" for i in range(rows.num_rows)], bool)
-        self.words = [t.split() for t in rows.column("text").to_pylist()]
+        self.texts = rows.column("text").to_pylist()
         digest = xxhash.xxh3_64_intdigest
-        size = [0 if c else len(w) for w, c in zip(self.words, self.copy)]
-        flat = np.fromiter((digest(x) for w, c in zip(self.words, self.copy) if not c for x in w), np.uint64, sum(size))
+        self.count, parts = [], []
+        for t, c in zip(self.texts, self.copy):  # the words of one document at a time
+            words = t.split()
+            self.count.append(len(words))
+            if not c:
+                parts.append(np.fromiter(map(digest, words), np.uint64, len(words)))
+        size = [0 if c else n for n, c in zip(self.count, self.copy)]
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.flat, self.window = flat, window
         self.end = np.cumsum(size)
         doc = np.repeat(np.arange(len(size)), size)
@@ -249,7 +255,8 @@ def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         np.add.at(edge, c.starts[at[gone]] + window, -1)
         keep = np.cumsum(edge[:-1]) == 0
         texts, removed = [], []
-        for words, copy, end in zip(c.words, c.copy, c.end):
+        for t, copy, end in zip(c.texts, c.copy, c.end):
+            words = t.split()
             if copy:
                 kept = [] if len(words) >= window else words
             else:
@@ -259,7 +266,7 @@ def marked_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             removed.append(len(words) - len(kept))
         out = pa.Table.from_batches([rows.drop_columns(["id", "text"])])
         return (out.append_column(text, pa.array(texts, pa.binary()))
-                .append_column("n_words", pa.array([len(w) for w in c.words], pa.int64()))
+                .append_column("n_words", pa.array(c.count, pa.int64()))
                 .append_column("n_removed", pa.array(removed, pa.int64())))
 
     fields = [f for f in given.schema if f.name != text]
