@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tillwise.operators import clean, intervals, joins, layout, windows
+from tillwise.plans import reports
 from tillwise.plans.catalog import QUERIES
 
 
@@ -87,6 +88,43 @@ def test_interval_join_spreads_a_hot_product_and_matches_plain_join(spark):
     assert joined.where("i.product_id = 1").select("_day").distinct().count() >= 28
 
 
+def _interval_join_is_sorted(spark, scratch, build) -> list[tuple]:
+    """Rows of ``build(transactions, items, promotions)`` over Parquet files small
+    enough for a broadcast by their size and by the measured one; the join with
+    the copied promotions must not become one, before or after AQE."""
+    def stored(name, data, schema):
+        spark.createDataFrame(data, schema).write.parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    tx = stored("tx", [(i, i % 3, i, day(i)) for i in range(100)],
+                "transaction_id long, store_id int, customer_id long, transaction_date date")
+    items = stored("items", [(i, i % 4 if i % 9 else None, 1, 2.0) for i in range(100)] + [(500, 1, 1, 2.0)],
+                   "transaction_id long, product_id long, quantity int, unit_price double")
+    promos = stored("promos", [(1, 1, day(0), day(60)), (2, 1, day(50), day(70)), (3, 2, day(90), day(400)), (4, 3, day(5), None)],
+                    "promo_id long, product_id long, start_date date, end_date date")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "10m")
+    try:
+        out = build(tx, items, promos)
+        planned, got = _plan(out), [tuple(r) for r in out.collect()]
+        for plan in (planned, _plan(out).split("Initial Plan")[0]):
+            join = [ln for ln in plan.splitlines() if re.search(r"Join .*_span#", ln)]
+            assert len(join) == 1 and "SortMergeJoin" in join[0], join
+    finally:
+        spark.conf.set(conf, before)
+    return got
+
+
+def test_promo_revenue_never_broadcasts_the_copied_promotions(spark, scratch):
+    got = _interval_join_is_sorted(spark, scratch, lambda t, i, p: reports.promo_revenue(t, i, p).select(
+        "is_promoted", "total_revenue", "transaction_count", "line_count"))
+    # products 1 (days 0-70) and 2 (from day 90): every fourth line, but for the null products
+    held = sum(i % 9 > 0 and (i % 4 == 1 and i <= 70 or i % 4 == 2 and i >= 90) for i in range(100))
+    assert sorted(got) == [(0, 2.0 * (100 - held), 100 - held, 100 - held), (1, 2.0 * held, held, held)]
+
+
 def test_hot_product_imputation_exact(spark):
     lines = [(i, 1, 10.0 if i % 3 else None) for i in range(3000)] + \
             [(i, 2, 4.0) for i in range(3000, 3100)]
