@@ -125,6 +125,15 @@ def test_promo_revenue_never_broadcasts_the_copied_promotions(spark, scratch):
     assert sorted(got) == [(0, 2.0 * (100 - held), 100 - held, 100 - held), (1, 2.0 * held, held, held)]
 
 
+def test_promo_interval_join_never_broadcasts_the_copied_promotions(spark, scratch):
+    got = _interval_join_is_sorted(spark, scratch, lambda t, i, p: joins.promo_interval_join(t, i, p).select(
+        "transaction_id", "promo_id"))
+    # by product: promotion and its days; lines without one are kept, the orphan line is not
+    spans = {1: [(1, 0, 60), (2, 50, 70)], 2: [(3, 90, 400)]}
+    runs = {i: [k for k, a, b in spans.get(i % 4, ()) if i % 9 and a <= i <= b] for i in range(100)}
+    assert sorted(got, key=str) == sorted(((i, k) for i, ks in runs.items() for k in ks or [None]), key=str)
+
+
 def test_hot_product_imputation_exact(spark):
     lines = [(i, 1, 10.0 if i % 3 else None) for i in range(3000)] + \
             [(i, 2, 4.0) for i in range(3000, 3100)]
