@@ -134,6 +134,13 @@ def test_promo_interval_join_never_broadcasts_the_copied_promotions(spark, scrat
     assert sorted(got, key=str) == sorted(((i, k) for i, ks in runs.items() for k in ks or [None]), key=str)
 
 
+def test_promo_uplift_never_broadcasts_the_copied_promotions(spark, scratch):
+    got = _interval_join_is_sorted(spark, scratch, lambda t, i, p: reports.promo_uplift(t, i, p).select(
+        "promoted_revenue", "non_promoted_revenue"))
+    held = sum(i % 9 > 0 and (i % 4 == 1 and i <= 70 or i % 4 == 2 and i >= 90) for i in range(100))
+    assert got == [(2.0 * held, 2.0 * (100 - held))]
+
+
 def test_hot_product_imputation_exact(spark):
     lines = [(i, 1, 10.0 if i % 3 else None) for i in range(3000)] + \
             [(i, 2, 4.0) for i in range(3000, 3100)]
